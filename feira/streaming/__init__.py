@@ -1,0 +1,5 @@
+"""Intentionally empty: every operator here is a batch job.
+
+The analytics have no watermarks, event-time windows or keyed state, so no
+streaming operator is offered.
+"""
