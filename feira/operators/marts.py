@@ -69,25 +69,29 @@ def _geolocation_key(df: DataFrame, zip_column: str, geolocation: DataFrame) ->
 def dim_customer(customers: DataFrame, orders: DataFrame, geolocation: DataFrame) -> DataFrame:
     """One row per person: first order date and the address of the latest order.
 
-    A single pass over accounts and their orders; the latest order is the
-    largest struct, so it is found during map-side aggregation.
+    Orders are reduced to their first and latest per account before they meet the
+    accounts, and accounts to persons by the largest struct. Both steps aggregate
+    on the map side, so neither a busy account nor a busy person is a hot task.
     """
+    per_account = orders.groupBy("customer_id").agg(
+        F.min("order_purchase_timestamp").alias("first"),
+        F.max(F.struct("order_purchase_timestamp", "order_id")).alias("last"),
+    )
     latest = F.when(
-        F.col("order_id").isNotNull(),
+        F.col("last").isNotNull(),
         F.struct(
-            "order_purchase_timestamp",
-            "order_id",
+            "last.order_purchase_timestamp",
+            "last.order_id",
             "customer_id",
             "customer_zip_code_prefix",
             "customer_city",
             "customer_state",
         ),
     )
-    accounts = customers.join(
-        orders.select("customer_id", "order_id", "order_purchase_timestamp"), "customer_id", "left"
-    )
-    persons = accounts.groupBy("customer_unique_id").agg(
-        F.min("order_purchase_timestamp").alias("first"), F.max(latest).alias("latest")
+    persons = (
+        customers.join(per_account, "customer_id", "left")
+        .groupBy("customer_unique_id")
+        .agg(F.min("first").alias("first"), F.max(latest).alias("latest"))
     )
     known = F.col("customer_unique_id").isNotNull()
     dim = persons.select(

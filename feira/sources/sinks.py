@@ -47,10 +47,23 @@ def read_mart(spark: SparkSession, name: str, root: str, env: str = "dev") -> Da
     return df.drop("month_key")
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header, quotes doubled and blanks kept."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
+
+
 def write_report(name: str, df: DataFrame, root: str) -> str:
     """One report as CSV with a header."""
     path = f"{root.rstrip('/')}/{name}"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    write_csv(df, path)
     return path
 
 
