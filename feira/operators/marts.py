@@ -1,13 +1,14 @@
 """Star schema: dimensions and facts.
 
-The fact builders take ``columns``: only the joins those columns need are
-planned, which the optimizer could not drop by itself because it does not know
-that the looked-up keys are unique.
+The two large fact builders take ``columns``: only the joins those columns need
+are planned, which the optimizer could not drop by itself because it does not
+know that the looked-up keys are unique. Their inputs are callables, so that
+an input nobody needs is not even built.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,16 +158,20 @@ FACT_ORDERS = [
 ]
 _ITEM_MEASURES = {"number_of_items", "gross_merchandise_value", "total_freight_value", "order_total_value"}
 _REVIEW_MEASURES = {"average_review_score", "review_count", "latest_review_date"}
+_DELIVERY = {"delivery_days", "estimated_delivery_days", "is_late"}
 _HISTORY = {"customer_type", "first_order_timestamp"}
 
+Frame = Callable[[], DataFrame]
+
 
 def fact_orders(
     orders: DataFrame,
-    customers: DataFrame,
-    order_items: DataFrame,
-    order_payments: DataFrame,
-    order_reviews: DataFrame,
     columns: Iterable[str] | None = None,
+    *,
+    customers: Frame,
+    order_items: Frame,
+    order_payments: Frame,
+    order_reviews: Frame,
 ) -> DataFrame:
     """One row per order.
 
@@ -178,25 +183,26 @@ def fact_orders(
     need = set(wanted)
     out = orders
     if need & _HISTORY:
-        out = order_customers(out, customers)
+        out = order_customers(out, customers())
     elif "customer_key" in need:
-        out = order_accounts(out, customers)
+        out = order_accounts(out, customers())
     if need & _ITEM_MEASURES:
-        rollup = order_item_rollup(order_items).withColumnRenamed("order_item_count", "number_of_items")
+        rollup = order_item_rollup(order_items()).withColumnRenamed("order_item_count", "number_of_items")
         out = out.join(rollup, "order_id", "left").withColumn(
             "gross_merchandise_value", F.coalesce("order_gmv", F.lit(0).cast("decimal(28,2)"))
         )
     if "total_payment_value" in need:
-        out = out.join(order_payments.select("order_id", "total_payment_value"), "order_id", "left")
+        out = out.join(order_payments().select("order_id", "total_payment_value"), "order_id", "left")
     if need & _REVIEW_MEASURES:
-        out = out.join(order_reviews, "order_id", "left")
+        out = out.join(order_reviews(), "order_id", "left")
+    if need & _DELIVERY:
+        out = delivery_metrics(out)
     if "customer_key" in need:
         out = out.withColumn("customer_key", surrogate_key("customer_unique_id"))
-    out = delivery_metrics(out).withColumns({
+    return out.withColumns({
         "order_key": surrogate_key("order_id"),
         "order_date_key": date_key(F.col("order_purchase_timestamp")),
-    })
-    return out.select(*wanted)
+    }).select(*wanted)
 
 
 FACT_ORDER_ITEMS = [
@@ -216,26 +222,26 @@ FACT_ORDER_ITEMS = [
 
 def fact_order_items(
     items: DataFrame,
-    orders: DataFrame,
-    products: DataFrame,
-    sellers: DataFrame,
     columns: Iterable[str] | None = None,
+    *,
+    orders: Frame,
+    products: Frame,
+    sellers: Frame,
 ) -> DataFrame:
     """One row per order item; ``products`` and ``sellers`` are the dimensions."""
     wanted = list(columns) if columns is not None else FACT_ORDER_ITEMS
     out = items
     if "order_date_key" in wanted:
-        dates = orders.select("order_id", date_key(F.col("order_purchase_timestamp")).alias("order_date_key"))
+        dates = orders().select("order_id", date_key(F.col("order_purchase_timestamp")).alias("order_date_key"))
         out = out.join(dates, "order_id", "left")
     if "product_key" in wanted:
-        out = out.join(products.select("product_id", "product_key"), "product_id", "left")
+        out = out.join(products().select("product_id", "product_key"), "product_id", "left")
     if "seller_key" in wanted:
-        out = out.join(sellers.select("seller_id", "seller_key"), "seller_id", "left")
-    out = out.withColumns({
+        out = out.join(sellers().select("seller_id", "seller_key"), "seller_id", "left")
+    return out.withColumns({
         "order_item_key": surrogate_key("order_id", "order_item_id"),
         "order_key": surrogate_key("order_id"),
-    })
-    return out.select(*wanted)
+    }).select(*wanted)
 
 
 def _order_persons(orders: DataFrame, customers: DataFrame) -> DataFrame:

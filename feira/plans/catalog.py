@@ -126,16 +126,20 @@ class Catalog:
     def fact_orders(self, columns: Iterable[str] | None = None) -> DataFrame:
         return marts.fact_orders(
             self.stg_orders,
-            self.stg_customers,
-            self.int_order_items,
-            self.int_order_payments,
-            self.int_order_reviews,
             columns,
+            customers=lambda: self.stg_customers,
+            order_items=lambda: self.int_order_items,
+            order_payments=lambda: self.int_order_payments,
+            order_reviews=lambda: self.int_order_reviews,
         )
 
     def fact_order_items(self, columns: Iterable[str] | None = None) -> DataFrame:
         return marts.fact_order_items(
-            self.int_order_items, self.stg_orders, self.dim_product, self.dim_seller, columns
+            self.int_order_items,
+            columns,
+            orders=lambda: self.stg_orders,
+            products=lambda: self.dim_product,
+            sellers=lambda: self.dim_seller,
         )
 
     @cached_property

@@ -170,6 +170,10 @@ class World:
         frames = {"fact_orders": self.cat.fact_orders(["order_total_value"]), "fact_payments": self.cat.fact_payments}
         return expectations.run_checks(frames, MART_CHECKS)
 
+    @cached_property
+    def daily_metrics(self) -> DataFrame:
+        return reports.holiday_daily_metrics_by_quarter(self.spine, self.money, self.cat.dim_date, SETTINGS)
+
     def models(self, name: str, columns: list[str]) -> DataFrame:
         """A model for the structural tests; facts are cut to ``columns`` when given."""
         if columns and name in ("fact_orders", "fact_order_items"):
@@ -185,9 +189,7 @@ class World:
             "rfm_segment_summary": reports.rfm_segment_summary(self.cat.fct_customer_rfm),
             "holiday_impact": reports.holiday_impact(self.spine, self.money, dates, SETTINGS),
             "holiday_impact_by_quarter": reports.holiday_impact_by_quarter(self.spine, self.money, dates, SETTINGS),
-            "holiday_daily_metrics_by_quarter": reports.holiday_daily_metrics_by_quarter(
-                self.spine, self.money, dates, SETTINGS
-            ),
+            "holiday_daily_metrics_by_quarter": self.daily_metrics,
             "holiday_product_category_mix": self.category_mix,
         }
 
@@ -195,11 +197,15 @@ class World:
 # --- sources and sinks ------------------------------------------------------
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+
+
 def src_csv(w: World) -> DataFrame:
     """Reviews, the entity with line breaks and quotes, written as CSV and read back."""
     root = new_folder(w.spark, "csv")
     path = f"{root}/reviews.csv"
-    sinks.write_csv(w.raw.entity("reviews"), path)
+    sinks.write_csv(as_text(w.raw.entity("reviews")), path)
     return files.read_csv_entity(w.spark, ENTITIES["reviews"], path)
 
 
@@ -207,7 +213,7 @@ def src_csv_entities(w: World) -> DataFrame:
     """All nine entities through CSV files, with a byte-order mark in every header."""
     root = new_folder(w.spark, "csv")
     for name in ENTITIES:
-        df = w.raw.entity(name)
+        df = as_text(w.raw.entity(name))
         marked = df.withColumnRenamed(df.columns[0], files.BYTE_ORDER_MARK + df.columns[0])
         sinks.write_csv(marked, f"{root}/{name}.csv")
     return profiling.profile_tables(files.read_csv_folder(w.spark, root))
@@ -346,9 +352,7 @@ QUERIES |= {
     "holiday_impact_by_quarter": lambda w: reports.holiday_impact_by_quarter(
         w.spine, w.money, w.cat.dim_date, SETTINGS
     ),
-    "holiday_daily_metrics_by_quarter": lambda w: reports.holiday_daily_metrics_by_quarter(
-        w.spine, w.money, w.cat.dim_date, SETTINGS
-    ),
+    "holiday_daily_metrics_by_quarter": lambda w: w.daily_metrics,
     "holiday_product_category_mix": lambda w: w.category_mix,
     # drill-downs
     "order_vs_aov": lambda w: w.order_vs_aov,
@@ -415,12 +419,8 @@ QUERIES |= {
     "pivot_state_month_region": lambda w: drilldown.pivot_month_region(
         drilldown.region_rollup(w.monthly_state_sales), "month"
     ),
-    "pivot_quarter_daytype": lambda w: drilldown.pivot_quarter_daytype(
-        w.reports["holiday_daily_metrics_by_quarter"], "avg_gmv_per_day"
-    ),
-    "pivot_quarter_daytype_orders": lambda w: drilldown.pivot_quarter_daytype(
-        w.reports["holiday_daily_metrics_by_quarter"], "avg_orders_per_day"
-    ),
+    "pivot_quarter_daytype": lambda w: drilldown.pivot_quarter_daytype(w.daily_metrics, "avg_gmv_per_day"),
+    "pivot_quarter_daytype_orders": lambda w: drilldown.pivot_quarter_daytype(w.daily_metrics, "avg_orders_per_day"),
     "pivot_category_daytype": lambda w: drilldown.pivot_category_daytype(w.category_mix),
     # structural tests
     "dq_not_null": lambda w: model_tests.dq_not_null(w.models),

@@ -1,6 +1,6 @@
 """Raw entities: declared columns, keys and reading options.
 
-Every raw column is text; staging gives it its type. The misspelt ``lenght``
+CSV columns are all text; staging gives them their types. The misspelt ``lenght``
 columns are the source's own names.
 """
 

@@ -1,8 +1,8 @@
 """Binds the generated order/line tables to the raw entities of ``feira.schemas``.
 
-Every column leaves here as text, like a CSV load, so that staging has real
-work to do: blanks around the status, an unparsable approval time now and
-then, repeated keys, unmatched ZIP prefixes and untranslated categories.
+Columns keep their stored type where one exists. Staging still has real work to
+do: blanks around the status, approval times as text with an unparsable one now
+and then, repeated keys, unmatched ZIP prefixes and untranslated categories.
 """
 
 from __future__ import annotations
@@ -60,9 +60,18 @@ PAYMENT_TYPES = {
 }
 UNTRANSLATED = "SMALL"
 
-
-def _text(moment: Column) -> Column:
-    return moment.cast("string")
+# Stored schemas, so that planning a query opens no file footers.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
 
 
 def _days(moment: Column, n: Column | int) -> Column:
@@ -84,7 +93,7 @@ class DriverTables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     def entity(self, name: str) -> DataFrame:
         build: Callable[[], DataFrame] = getattr(self, f"_{name}")
@@ -108,15 +117,15 @@ class DriverTables:
             k.cast("string").alias("order_id"),
             F.concat(F.lit("A"), k.cast("string")).alias("customer_id"),
             F.concat(F.lit(" "), status, F.lit(" ")).alias("order_status"),
-            _text(bought).alias("order_purchase_timestamp"),
+            bought.alias("order_purchase_timestamp"),
             F.when(k % 400 == 3, "n/a")
-            .otherwise(_text(bought + F.make_dt_interval(hours=F.lit(1))))
+            .otherwise((bought + F.make_dt_interval(hours=F.lit(1))).cast("string"))
             .alias("order_approved_at"),
-            _text(_days(bought, carrier_days)).alias("order_delivered_carrier_date"),
-            F.when(status == "delivered", _text(_days(bought, (3 + k % 25).cast("int")))).alias(
+            _days(bought, carrier_days).alias("order_delivered_carrier_date"),
+            F.when(status == "delivered", _days(bought, (3 + k % 25).cast("int"))).alias(
                 "order_delivered_customer_date"
             ),
-            _text(_days(F.col("o_orderdate"), 15)).alias("order_estimated_delivery_date"),
+            _days(F.col("o_orderdate"), 15).alias("order_estimated_delivery_date"),
         )
 
     def _accounts(self) -> DataFrame:
@@ -156,8 +165,8 @@ class DriverTables:
         z = F.col("z").cast("decimal(9,1)")
         return self._accounts().filter(F.col("z") < 23).select(
             F.col("zip").alias("geolocation_zip_code_prefix"),
-            (shift - z).cast("decimal(9,1)").cast("string").alias("geolocation_lat"),
-            (shift - z - 40).cast("decimal(9,1)").cast("string").alias("geolocation_lng"),
+            (shift - z).cast("decimal(9,1)").alias("geolocation_lat"),
+            (shift - z - 40).cast("decimal(9,1)").alias("geolocation_lng"),
             F.col("city").alias("geolocation_city"),
             F.col("state").alias("geolocation_state"),
         )
@@ -173,12 +182,12 @@ class DriverTables:
     def _order_items(self) -> DataFrame:
         return self._lines().select(
             F.col("l_orderkey").cast("string").alias("order_id"),
-            F.col("l_linenumber").cast("string").alias("order_item_id"),
+            F.col("l_linenumber").alias("order_item_id"),
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_suppkey").cast("string").alias("seller_id"),
-            _text(F.col("l_shipdate")).alias("shipping_limit_date"),
-            F.col("price").cast("string").alias("price"),
-            F.col("freight").cast("string").alias("freight_value"),
+            F.col("l_shipdate").alias("shipping_limit_date"),
+            "price",
+            F.col("freight").alias("freight_value"),
         )
 
     def _payments(self) -> DataFrame:
@@ -200,10 +209,10 @@ class DriverTables:
             .select(k, "o_orderpriority", F.explode(parts).alias("part"))
             .select(
                 k.cast("string").alias("order_id"),
-                F.col("part.seq").cast("string").alias("payment_sequential"),
+                F.col("part.seq").alias("payment_sequential"),
                 _choose(F.col("o_orderpriority"), PAYMENT_TYPES).alias("payment_type"),
-                (1 + k % 10).cast("string").alias("payment_installments"),
-                F.col("part.value").cast("string").alias("payment_value"),
+                (1 + k % 10).alias("payment_installments"),
+                F.col("part.value").alias("payment_value"),
             )
         )
 
@@ -213,13 +222,13 @@ class DriverTables:
         return self.table("orders").filter(k % 10 != 0).select(
             F.concat(F.lit("R"), F.floor(k / 2).cast("string")).alias("review_id"),
             k.cast("string").alias("order_id"),
-            (1 + k % 5).cast("string").alias("review_score"),
+            (1 + k % 5).alias("review_score"),
             F.when(k % 8 == 0, F.concat(F.lit(" title "), k.cast("string"))).alias("review_comment_title"),
             F.when(k % 2 != 0, F.concat(F.lit("message, \""), k.cast("string"), F.lit("\"\nsecond line "))).alias(
                 "review_comment_message"
             ),
-            _text(created).alias("review_creation_date"),
-            _text(_days(created, 2)).alias("review_answer_timestamp"),
+            created.alias("review_creation_date"),
+            _days(created, 2).alias("review_answer_timestamp"),
         )
 
     def _products(self) -> DataFrame:
@@ -227,13 +236,13 @@ class DriverTables:
         return self.table("part").select(
             F.col("p_partkey").cast("string").alias("product_id"),
             F.when(F.col("p_partkey") % 50 != 0, F.lower("p_type")).alias("product_category_name"),
-            F.length("p_name").cast("string").alias("product_name_lenght"),
-            (F.length("p_name") * 10).cast("string").alias("product_description_lenght"),
-            (1 + size % 5).cast("string").alias("product_photos_qty"),
-            (size * 100).cast("string").alias("product_weight_g"),
-            (size + 10).cast("string").alias("product_length_cm"),
-            (size + 5).cast("string").alias("product_height_cm"),
-            (size + 8).cast("string").alias("product_width_cm"),
+            F.length("p_name").alias("product_name_lenght"),
+            (F.length("p_name") * 10).alias("product_description_lenght"),
+            (1 + size % 5).alias("product_photos_qty"),
+            (size * 100).alias("product_weight_g"),
+            (size + 10).alias("product_length_cm"),
+            (size + 5).alias("product_height_cm"),
+            (size + 8).alias("product_width_cm"),
         )
 
     def _sellers(self) -> DataFrame:
