@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.domain import HOLIDAY, NON_HOLIDAY, REGIONS, UNKNOWN_REGION
@@ -76,13 +74,13 @@ def in_months(year: Column, month: Column, start: tuple[int, int], end: tuple[in
     return index.between(start[0] * 12 + start[1], end[0] * 12 + end[1])
 
 
-def key_in_months(key: Column, start: tuple[int, int], end: tuple[int, int]) -> Column:
-    """The same window on a YYYYMMDD key, so that it reaches the fact scan."""
-    return key.between(start[0] * 10000 + start[1] * 100 + 1, end[0] * 10000 + end[1] * 100 + 31)
-
+def keep_months(
+    fact: DataFrame, start: tuple[int, int], end: tuple[int, int], key: str = "order_date_key"
+) -> DataFrame:
+    """The same window on the fact's own YYYYMMDD key, so that it reaches the scan.
 
-def any_of(tests: Iterable[Column]) -> Column:
-    out = None
-    for test in tests:
-        out = test if out is None else out | test
-    return out
+    A fact read from month folders is also filtered by the folder, which skips files unopened.
+    """
+    low, high = start[0] * 100 + start[1], end[0] * 100 + end[1]
+    kept = fact.filter(F.col(key).between(low * 100 + 1, high * 100 + 31))
+    return kept.filter(F.col("month_key").between(low, high)) if "month_key" in fact.columns else kept

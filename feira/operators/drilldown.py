@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.domain import DAY_TYPES, REGIONS, UNKNOWN_REGION
-from feira.functions.columns import date_key, day_type, ratio, region_of, year_month
+from feira.functions.columns import date_key, day_type, keep_months, ratio, region_of, year_month
 from feira.operators import reports
 from feira.operators.reports import (
     MIX_COLUMNS,
@@ -28,16 +28,11 @@ CATEGORY = "product_category_name_english"
 H1, H2 = "H1 (Jan-Jun)", "H2 (Jul-Dec)"
 
 
-def _months(fact: DataFrame, year: int, first: int, last: int) -> DataFrame:
-    low, high = year * 10000 + first * 100, year * 10000 + last * 100 + 31
-    return fact.filter(F.col("order_date_key").between(low, high))
-
-
 def _dated(fact: DataFrame, dim_date: DataFrame, year: int, months: tuple[int, ...]) -> DataFrame:
     """Fact rows of some months of one year, with their calendar month."""
     where = (F.col("year") == year) & F.col("month").isin(*months)
     days = calendar(dim_date, "year", "month", where=where)
-    pruned = _months(fact, year, min(months), max(months))
+    pruned = keep_months(fact, (year, min(months)), (year, max(months)))
     return pruned.join(days, F.col("order_date_key") == F.col("date_key"))
 
 

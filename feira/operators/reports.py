@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from feira.functions.columns import (
     day_type,
     in_months,
-    key_in_months,
+    keep_months,
     ratio,
     region_of,
     year_month,
@@ -49,7 +49,7 @@ def _window(settings: Settings) -> Column:
 
 def _in_window(fact: DataFrame, settings: Settings) -> DataFrame:
     """The calendar filter again, on the fact's own date key, where the scan can use it."""
-    return fact.filter(key_in_months(F.col("order_date_key"), settings.report_start, settings.report_end))
+    return keep_months(fact, settings.report_start, settings.report_end)
 
 
 def order_totals(fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()) -> DataFrame:

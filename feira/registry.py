@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators import contract, drilldown, expectations, intermediate, model_tests, profiling, reports, rfm
-from feira.plans.catalog import Catalog, MartTables
+from feira.plans.build import MARTS, publish_marts
+from feira.plans.catalog import Catalog
 from feira.plans.workspace import new_folder, pinned
 from feira.schemas import ENTITIES
 from feira.session import prepare
@@ -39,6 +40,7 @@ MART_CHECKS = expectations.mart_checks(MART_BASELINES)
 
 RFM_INPUT = ["customer_key", "order_id", "order_status", "order_purchase_timestamp", "gross_merchandise_value"]
 ORDER_SPINE = ["order_key", "order_date_key"]
+ITEM_VALUES = ["order_key", "price", "freight_value"]
 ITEM_MONEY = ["order_key", "order_date_key", "price", "freight_value"]
 ITEM_SALES = [*ITEM_MONEY, "product_key"]
 SALE_ORDERS = ["order_key", "customer_key", "order_status", "order_purchase_timestamp"]
@@ -76,6 +78,10 @@ class World:
     def money(self) -> DataFrame:
         return self.cat.fact_order_items(ITEM_MONEY)
 
+    @cached_property
+    def values(self) -> DataFrame:
+        return self.cat.fact_order_items(ITEM_VALUES)
+
     @cached_property
     def sales(self) -> DataFrame:
         return self.cat.fact_order_items(ITEM_SALES)
@@ -86,7 +92,7 @@ class World:
 
     @cached_property
     def order_vs_aov(self) -> DataFrame:
-        return drilldown.order_vs_aov(self.spine, self.money, self.cat.dim_date, SETTINGS)
+        return drilldown.order_vs_aov(self.spine, self.values, self.cat.dim_date, SETTINGS)
 
     @cached_property
     def daily_activity(self) -> DataFrame:
@@ -97,7 +103,7 @@ class World:
         return drilldown.category_spike(self.sales, self.cat.dim_date, self.cat.dim_product, SETTINGS)
 
     def category_sales(self, year: int) -> DataFrame:
-        items = self.cat.fact_order_items(["order_key", "product_key", "price", "freight_value"])
+        items = self.cat.fact_order_items([*ITEM_VALUES, "product_key"])
         orders = self.cat.fact_orders(["order_key", "order_status", "order_purchase_timestamp"])
         return drilldown.category_sales(items, orders, self.cat.dim_product, year)
 
@@ -110,9 +116,8 @@ class World:
 
     @cached_property
     def monthly_state_sales(self) -> DataFrame:
-        items = self.cat.fact_order_items(["order_key", "price", "freight_value"])
         orders = self.cat.fact_orders(SALE_ORDERS)
-        return drilldown.monthly_state_sales(items, orders, self.cat.dim_customer, SETTINGS.compare_years)
+        return drilldown.monthly_state_sales(self.values, orders, self.cat.dim_customer, SETTINGS.compare_years)
 
     @cached_property
     def comparison(self) -> DataFrame:
@@ -132,7 +137,12 @@ class World:
     @cached_property
     def category_mix(self) -> DataFrame:
         return reports.holiday_product_category_mix(
-            self.spine, self.sales, self.cat.dim_date, self.cat.dim_product, SETTINGS.top_categories, SETTINGS
+            self.spine,
+            self.cat.fact_order_items([*ITEM_VALUES, "product_key"]),
+            self.cat.dim_date,
+            self.cat.dim_product,
+            SETTINGS.top_categories,
+            SETTINGS,
         )
 
     @cached_property
@@ -251,21 +261,17 @@ def src_layer_frames(w: World) -> DataFrame:
 
 
 def sink_mart(w: World) -> DataFrame:
-    """Write all marts and report on the tables read back."""
+    """Publish all marts and report on the tables read back."""
     root = new_folder(w.spark, "marts")
-    names = ["dim_date", "dim_geolocation", "dim_customer", "dim_product", "dim_seller",
-             "fact_orders", "fact_order_items", "fact_payments", "fact_reviews", "fct_customer_rfm"]
-    for name in names:
-        sinks.write_mart(name, w.cat.model(name), root)
-    return profiling.profile_tables({name: sinks.read_mart(w.spark, name, root) for name in names})
+    publish_marts(w.cat, root)
+    return profiling.profile_tables({name: sinks.read_mart(w.spark, name, root) for name in MARTS})
 
 
 def marts_monthly_sales_trend(w: World) -> DataFrame:
-    """The monthly report over mart tables written first, as in production."""
-    root = new_folder(w.spark, "marts")
-    for name in ("dim_date", "dim_customer", "fact_orders", "fact_order_items"):
-        sinks.write_mart(name, w.cat.model(name), root)
-    tables = MartTables(lambda name: sinks.read_mart(w.spark, name, root), SETTINGS)
+    """The monthly report over published mart tables, as in production."""
+    tables = publish_marts(
+        w.cat, new_folder(w.spark, "marts"), names=["dim_date", "dim_customer", "fact_orders", "fact_order_items"]
+    )
     return reports.monthly_sales_trend(
         tables.fact_orders(), tables.fact_order_items(), tables.dim_date, tables.dim_customer, SETTINGS
     )
@@ -388,13 +394,13 @@ QUERIES |= {
     "compare_category_revenue": lambda w: w.comparison,
     "category_revenue_changes": lambda w: drilldown.category_revenue_changes(w.comparison, SETTINGS.compare_years),
     "holiday_impact_all_orders": lambda w: drilldown.holiday_impact_all_orders(
-        w.spine, w.money, w.cat.dim_date, SETTINGS
+        w.spine, w.values, w.cat.dim_date, SETTINGS
     ),
     "holiday_impact_by_quarter_all_orders": lambda w: drilldown.holiday_impact_by_quarter_all_orders(
-        w.spine, w.money, w.cat.dim_date, SETTINGS
+        w.spine, w.values, w.cat.dim_date, SETTINGS
     ),
     "holiday_daily_metrics_all_orders": lambda w: drilldown.holiday_daily_metrics_all_orders(
-        w.spine, w.money, w.cat.dim_date, SETTINGS
+        w.spine, w.values, w.cat.dim_date, SETTINGS
     ),
     "holiday_category_mix_known": lambda w: drilldown.holiday_category_mix_known(
         w.sales, w.cat.dim_date, w.cat.dim_product, SETTINGS.top_categories, SETTINGS

@@ -20,6 +20,9 @@ SCALE = {
     # split a hot join partition even when that costs one more exchange later
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the JVM never compiles generated methods above 8000 bytes of bytecode;
+    # run those plans operator by operator, which it does compile
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -40,6 +43,8 @@ def local_session(cores: str = "*", app: str = "feira", memory: str = "16g") ->
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
+        # no Python call-site lookup on every column expression
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**SEMANTICS, **SCALE}.items():

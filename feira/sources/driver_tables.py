@@ -74,6 +74,10 @@ TABLES = {
 }
 
 
+def _money(cents: Column) -> Column:
+    return (cents.cast("decimal(17,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+
+
 def _days(moment: Column, n: Column | int) -> Column:
     return moment + F.make_dt_interval(F.lit(n) if isinstance(n, int) else n)
 
@@ -172,12 +176,18 @@ class DriverTables:
         )
 
     def _lines(self) -> DataFrame:
-        price = F.col("l_extendedprice").cast(MONEY)
-        tax = F.col("l_tax").cast("decimal(4,2)")
-        return self.table("lineitem").withColumns({
-            "price": price,
-            "freight": F.round(price * tax, 2).cast(MONEY),
-        })
+        """Line items with exact money: whole cents first, as a double turns into a decimal slowly."""
+        cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+        percent = F.round(F.col("l_tax") * 100).cast("bigint")
+        return (
+            self.table("lineitem")
+            .withColumns({"__cents": cents, "__percent": percent})
+            .withColumns({
+                "price": _money(F.col("__cents")),
+                # tax on the price, half up to a cent
+                "freight": _money(F.expr("(__cents * __percent + 50L) div 100L")),
+            })
+        )
 
     def _order_items(self) -> DataFrame:
         return self._lines().select(

@@ -42,9 +42,12 @@ def write_mart(name: str, df: DataFrame, root: str, env: str = "dev") -> str:
     return path
 
 
-def read_mart(spark: SparkSession, name: str, root: str, env: str = "dev") -> DataFrame:
+def read_mart(
+    spark: SparkSession, name: str, root: str, env: str = "dev", with_month: bool = False
+) -> DataFrame:
+    """A mart table; ``with_month`` keeps the folder column that reports prune by."""
     df = spark.read.parquet(table_path(root, "mart", name, env))
-    return df.drop("month_key")
+    return df if with_month else df.drop("month_key")
 
 
 def write_csv(df: DataFrame, path: str) -> None:
