@@ -19,6 +19,7 @@ from feira.functions.columns import (
     year_month,
     year_quarter,
 )
+from feira.plans.sizing import checked_broadcast
 from feira.plans.workspace import pinned
 from feira.settings import Settings
 
@@ -34,13 +35,13 @@ def positive(name: str, value: int) -> int:
 
 
 def calendar(dim_date: DataFrame, *columns: str, where: Column | None = None) -> DataFrame:
-    """Calendar rows to join to facts.
+    """Calendar rows to join to facts, broadcast when their count allows it.
 
-    Broadcast: the calendar spans the days of ``Settings`` and cannot grow with
-    the facts, and a shuffle of a fact by day would meet hot days.
+    The calendar spans the days of ``Settings``; a shuffle of a fact by day
+    would meet hot days.
     """
     days = dim_date if where is None else dim_date.filter(where)
-    return F.broadcast(days.select("date_key", *columns))
+    return checked_broadcast(days.select("date_key", *columns))
 
 
 def _window(settings: Settings) -> Column:
@@ -151,7 +152,7 @@ def rfm_analysis(
     limit = positive("limit", limit)
     top = rfm.orderBy(F.desc("monetary"), "customer_key").limit(limit)
     places = dim_customer.select("customer_key", "customer_unique_id", "customer_state", "customer_city")
-    # at most ``limit`` keys reduce the dimension before the outer join
+    # at most ``limit`` keys, fixed by the caller, reduce the dimension before the outer join
     places = places.join(F.broadcast(top.select("customer_key")), "customer_key", "left_semi")
     return (
         top.join(places, "customer_key", "left")

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SLICES = 4096
+SLICES = 16384
 
 
 @dataclass

@@ -70,6 +70,11 @@ class World:
         self.raw = DriverTables(spark, folder)
         self.cat = Catalog(spark, self.raw.entity, self.raw.holidays, SETTINGS)
 
+    @cached_property
+    def dates(self) -> DataFrame:
+        """The calendar as the table it is in production: computed once, joined several times."""
+        return pinned(self.cat.dim_date)
+
     @cached_property
     def spine(self) -> DataFrame:
         return self.cat.fact_orders(ORDER_SPINE)
@@ -92,15 +97,15 @@ class World:
 
     @cached_property
     def order_vs_aov(self) -> DataFrame:
-        return drilldown.order_vs_aov(self.spine, self.values, self.cat.dim_date, SETTINGS)
+        return drilldown.order_vs_aov(self.spine, self.values, self.dates, SETTINGS)
 
     @cached_property
     def daily_activity(self) -> DataFrame:
-        return drilldown.daily_activity(self.money, self.cat.dim_date, SETTINGS)
+        return drilldown.daily_activity(self.money, self.dates, SETTINGS)
 
     @cached_property
     def category_spike(self) -> DataFrame:
-        return drilldown.category_spike(self.sales, self.cat.dim_date, self.cat.dim_product, SETTINGS)
+        return drilldown.category_spike(self.sales, self.dates, self.cat.dim_product, SETTINGS)
 
     def category_sales(self, year: int) -> DataFrame:
         items = self.cat.fact_order_items([*ITEM_VALUES, "product_key"])
@@ -131,7 +136,7 @@ class World:
     def monthly_trend(self) -> DataFrame:
         orders = self.cat.fact_orders([*ORDER_SPINE, "customer_key"])
         return reports.monthly_sales_trend(
-            orders, self.money, self.cat.dim_date, self.cat.dim_customer, SETTINGS
+            orders, self.money, self.dates, self.cat.dim_customer, SETTINGS
         )
 
     @cached_property
@@ -139,7 +144,7 @@ class World:
         return reports.holiday_product_category_mix(
             self.spine,
             self.cat.fact_order_items([*ITEM_VALUES, "product_key"]),
-            self.cat.dim_date,
+            self.dates,
             self.cat.dim_product,
             SETTINGS.top_categories,
             SETTINGS,
@@ -182,7 +187,7 @@ class World:
 
     @cached_property
     def daily_metrics(self) -> DataFrame:
-        return reports.holiday_daily_metrics_by_quarter(self.spine, self.money, self.cat.dim_date, SETTINGS)
+        return reports.holiday_daily_metrics_by_quarter(self.spine, self.money, self.dates, SETTINGS)
 
     def models(self, name: str, columns: list[str]) -> DataFrame:
         """A model for the structural tests; facts are cut to ``columns`` when given."""
@@ -192,7 +197,7 @@ class World:
 
     @cached_property
     def reports(self) -> dict[str, DataFrame]:
-        dates = self.cat.dim_date
+        dates = self.dates
         return {
             "monthly_sales_trend": self.monthly_trend,
             "rfm_analysis": self.rfm_report,
@@ -350,13 +355,13 @@ QUERIES |= {
         "customer_key", "rfm_code", "rfm_total_score", "customer_segment"
     ),
     # published reports
-    "order_totals": lambda w: reports.order_totals(w.money, w.cat.dim_date, SETTINGS),
+    "order_totals": lambda w: reports.order_totals(w.money, w.dates, SETTINGS),
     "monthly_sales_trend": lambda w: w.monthly_trend,
     "rfm_analysis": lambda w: w.rfm_report,
     "rfm_segment_summary": lambda w: reports.rfm_segment_summary(w.cat.fct_customer_rfm),
-    "holiday_impact": lambda w: reports.holiday_impact(w.spine, w.money, w.cat.dim_date, SETTINGS),
+    "holiday_impact": lambda w: reports.holiday_impact(w.spine, w.money, w.dates, SETTINGS),
     "holiday_impact_by_quarter": lambda w: reports.holiday_impact_by_quarter(
-        w.spine, w.money, w.cat.dim_date, SETTINGS
+        w.spine, w.money, w.dates, SETTINGS
     ),
     "holiday_daily_metrics_by_quarter": lambda w: w.daily_metrics,
     "holiday_product_category_mix": lambda w: w.category_mix,
@@ -394,16 +399,16 @@ QUERIES |= {
     "compare_category_revenue": lambda w: w.comparison,
     "category_revenue_changes": lambda w: drilldown.category_revenue_changes(w.comparison, SETTINGS.compare_years),
     "holiday_impact_all_orders": lambda w: drilldown.holiday_impact_all_orders(
-        w.spine, w.values, w.cat.dim_date, SETTINGS
+        w.spine, w.values, w.dates, SETTINGS
     ),
     "holiday_impact_by_quarter_all_orders": lambda w: drilldown.holiday_impact_by_quarter_all_orders(
-        w.spine, w.values, w.cat.dim_date, SETTINGS
+        w.spine, w.values, w.dates, SETTINGS
     ),
     "holiday_daily_metrics_all_orders": lambda w: drilldown.holiday_daily_metrics_all_orders(
-        w.spine, w.values, w.cat.dim_date, SETTINGS
+        w.spine, w.values, w.dates, SETTINGS
     ),
     "holiday_category_mix_known": lambda w: drilldown.holiday_category_mix_known(
-        w.sales, w.cat.dim_date, w.cat.dim_product, SETTINGS.top_categories, SETTINGS
+        w.sales, w.dates, w.cat.dim_product, SETTINGS.top_categories, SETTINGS
     ),
     "holiday_events": lambda w: drilldown.holiday_events(w.cat.stg_holiday_calendar),
     "holiday_window_demand": lambda w: w.window_demand,

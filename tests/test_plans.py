@@ -54,3 +54,16 @@ def test_numbering_uses_one_exchange_by_person(spark, folder):
     text = plan(World(spark, folder).cat.int_customer_orders)
     initial = text.split("Initial Plan")[-1]
     assert initial.count("Exchange hashpartitioning(customer_unique_id") == 1
+
+
+def test_only_counted_frames_are_broadcast(spark):
+    from feira.plans.sizing import checked_broadcast
+
+    small, big = spark.range(10), spark.range(11)
+    facts = spark.range(100)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(facts.join(checked_broadcast(small, 10), "id"))
+        assert "BroadcastHashJoin" not in plan(facts.join(checked_broadcast(big, 10), "id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

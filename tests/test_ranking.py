@@ -16,7 +16,7 @@ from frames import make, rows
 METRICS = "customer_key string, recency bigint, frequency bigint, monetary decimal(28,2)"
 
 
-@pytest.mark.parametrize("slices", [2, 7, 4096])
+@pytest.mark.parametrize("slices", [2, 7, 16384])
 def test_order_statistics_match_a_sort(spark, monkeypatch, slices):
     monkeypatch.setattr(ranking, "SLICES", slices)
     rnd = random.Random(slices)
