@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from feira.functions.columns import date_key, region_of, surrogate_key
 from feira.operators.intermediate import delivery_metrics, order_accounts, order_customers, order_item_rollup
+from feira.plans.skew import lookup
 from feira.settings import Settings
 
 
@@ -63,8 +64,9 @@ def dim_geolocation(zips: DataFrame) -> DataFrame:
 
 
 def _geolocation_key(df: DataFrame, zip_column: str, geolocation: DataFrame) -> DataFrame:
-    keys = geolocation.select(F.col("zip_code_prefix").alias(zip_column), "geolocation_key")
-    return df.join(keys, zip_column, "left")
+    """Key of a ZIP's location; one ZIP may hold any share of the rows."""
+    known = geolocation.filter(F.col("zip_code_prefix").isNotNull())
+    return lookup(df, known.select(F.col("zip_code_prefix").alias(zip_column), "geolocation_key"), [zip_column])
 
 
 def dim_customer(customers: DataFrame, orders: DataFrame, geolocation: DataFrame) -> DataFrame:

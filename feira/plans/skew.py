@@ -26,7 +26,12 @@ def hot_groups(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFram
 
 
 def lookup(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join ``small`` (one row per key) to ``df``, NULL keys matching NULL keys."""
+    """Left join ``small`` (one row per key) to ``df``, NULL keys matching NULL keys.
+
+    Also the join to use when ``small`` was grouped by the same keys and ``df``
+    has hot ones: NULL-safe keys hash unlike the grouping did, so both sides get
+    their own exchange, and only then can a hot partition be split at run time.
+    """
     right, test = _beside(small, keys)
     return df.join(right, test, "left").drop(*[f"__{k}" for k in keys])
 

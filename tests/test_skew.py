@@ -1,9 +1,13 @@
 """One person with a third of all orders is numbered like everybody else."""
 
 import random
+from collections import Counter
 from datetime import datetime, timedelta
 
-from feira.operators import intermediate
+import pytest
+from pyspark.sql import functions as F
+
+from feira.operators import intermediate, marts
 from feira.plans.skew import hot_groups
 from frames import CUSTOMERS, ORDERS, make, rows
 
@@ -35,3 +39,83 @@ def test_hot_groups_are_found_including_null(spark):
     hot = {r[0] for r in hot_groups(history, ["customer_unique_id"], 20).collect()}
     assert hot == {"hot", None}
     assert hot_groups(history, ["customer_unique_id"], 10_000) is None
+
+
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+}
+N = 120_000
+
+
+@pytest.fixture
+def cluster_like(spark):
+    """Thresholds small enough for test data to meet the run-time rules of large data."""
+    for name, value in SMALL.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name in SMALL:
+        spark.conf.unset(name)
+
+
+def hot_third(spark, others):
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % others).cast("string")))
+    return spark.range(0, N, 1, 16).withColumn("k", key)
+
+
+def hot_tasks(df, hot):
+    """Tasks the hot group's rows are spread over, and whether the join was split."""
+    marked = df.withColumns({"task": F.spark_partition_id(), "hot": hot})
+    tasks = Counter(r["task"] for r in marked.collect() if r["hot"])
+    assert sum(tasks.values()) == N // 3
+    return len(tasks), "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_order_is_split_over_tasks(cluster_like, tmp_path):
+    items = hot_third(cluster_like, 5000).select(
+        F.col("k").alias("order_id"), F.col("id").alias("order_item_id"), F.lit("p").alias("product_id"),
+        F.lit("s").alias("seller_id"),
+    )
+    items.select("order_id").distinct().withColumn(
+        "order_purchase_timestamp", F.to_timestamp(F.lit("2018-01-01 00:00:00"))
+    ).write.parquet(str(tmp_path / "orders"))
+    orders = cluster_like.read.parquet(str(tmp_path / "orders"))
+    fact = marts.fact_order_items(
+        items, ["order_key", "order_item_id", "order_date_key"],
+        orders=lambda: orders, products=lambda: None, sellers=lambda: None,
+    )
+    tasks, split = hot_tasks(fact, F.col("order_key") == F.md5(F.lit("hot")))
+    assert split and tasks > 1
+    assert fact.count() == N and fact.filter("order_date_key is null").count() == 0
+
+
+def test_a_hot_zip_is_split_over_tasks(cluster_like):
+    sellers = hot_third(cluster_like, 900).select(
+        F.col("id").cast("string").alias("seller_id"), F.col("k").alias("seller_zip_code_prefix")
+    )
+    points = sellers.select(
+        F.col("seller_zip_code_prefix").alias("geolocation_zip_code_prefix"), F.lit(1.0).alias("latitude"),
+        F.lit(1.0).alias("longitude"), F.lit("X").alias("city"), F.lit("SP").alias("state"),
+    )
+    dim = marts.dim_seller(sellers, marts.dim_geolocation(intermediate.int_geolocation(points)))
+    tasks, split = hot_tasks(dim, F.col("seller_zip_code_prefix") == "hot")
+    assert split and tasks > 1
+    assert dim.count() == N and dim.filter("geolocation_key is null").count() == 0
+
+
+def test_a_hot_person_is_split_over_tasks(cluster_like, tmp_path):
+    base = hot_third(cluster_like, 5000).select(
+        F.concat(F.lit("o"), F.col("id").cast("string")).alias("order_id"), F.col("id").cast("string").alias("customer_id"),
+        F.col("k").alias("customer_unique_id"),
+    )
+    orders = base.select(
+        "order_id", "customer_id", F.lit("DELIVERED").alias("order_status"),
+        F.timestamp_seconds(F.lit(1_500_000_000) + F.xxhash64("order_id") % 1_000_000).alias("order_purchase_timestamp"),
+    )
+    typed = intermediate.order_customers(orders, base.select("customer_id", "customer_unique_id"))
+    tasks, split = hot_tasks(typed, F.col("customer_unique_id") == "hot")
+    assert split and tasks > 1
+    assert typed.filter("customer_type = 'new'").count() == typed.select("customer_unique_id").distinct().count()
