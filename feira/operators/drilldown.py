@@ -245,7 +245,7 @@ def holiday_impact_all_orders(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Like ``holiday_impact``, with every order in the count and the average."""
-    orders = reports._orders_by_day_type(fact_orders, dim_date, settings)
+    orders = reports.orders_by_day_type(fact_orders, dim_date, settings)
     return (
         per_order(orders, all_order_totals(fact_order_items), ["day_type"])
         .groupBy("day_type")
@@ -257,7 +257,7 @@ def holiday_impact_all_orders(
 def holiday_impact_by_quarter_all_orders(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    orders = reports._orders_by_day_type(fact_orders, dim_date, settings)
+    orders = reports.orders_by_day_type(fact_orders, dim_date, settings)
     by = ["year_quarter", "day_type"]
     return (
         per_order(orders, all_order_totals(fact_order_items), by)
@@ -282,10 +282,10 @@ def holiday_category_mix_known(
 ) -> DataFrame:
     """Category mix of known products, dated by the item; 'Unknown' is never a top category."""
     positive("top_n", top_n)
-    known = reports._window(settings) & F.col("is_holiday").isNotNull()
+    known = reports.report_window(settings) & F.col("is_holiday").isNotNull()
     days = calendar(dim_date, "is_holiday", where=known)
     sales = (
-        reports._in_window(fact_order_items, settings)
+        reports.in_report_window(fact_order_items, settings)
         .join(days, F.col("order_date_key") == F.col("date_key"))
         .join(dim_product.select("product_key", CATEGORY), "product_key")
         .withColumns({

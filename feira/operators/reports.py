@@ -44,20 +44,20 @@ def calendar(dim_date: DataFrame, *columns: str, where: Column | None = None) ->
     return checked_broadcast(days.select("date_key", *columns))
 
 
-def _window(settings: Settings) -> Column:
+def report_window(settings: Settings) -> Column:
     return in_months(F.col("year"), F.col("month"), settings.report_start, settings.report_end)
 
 
-def _in_window(fact: DataFrame, settings: Settings) -> DataFrame:
+def in_report_window(fact: DataFrame, settings: Settings) -> DataFrame:
     """The calendar filter again, on the fact's own date key, where the scan can use it."""
     return keep_months(fact, settings.report_start, settings.report_end)
 
 
 def order_totals(fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Price plus freight per order inside the report window."""
-    days = calendar(dim_date, where=_window(settings)).withColumnRenamed("date_key", "order_date_key")
+    days = calendar(dim_date, where=report_window(settings)).withColumnRenamed("date_key", "order_date_key")
     return (
-        _in_window(fact_order_items, settings)
+        in_report_window(fact_order_items, settings)
         .join(days, "order_date_key")
         .groupBy("order_key")
         .agg(F.sum(item_value()).alias("total_order_value"))
@@ -123,10 +123,10 @@ def monthly_sales_trend(
     settings: Settings = Settings(),
 ) -> DataFrame:
     """Orders, value and average order value per month and customer region."""
-    days = calendar(dim_date, "year", "month", where=_window(settings))
+    days = calendar(dim_date, "year", "month", where=report_window(settings))
     states = dim_customer.select("customer_key", "customer_state")
     orders = (
-        _in_window(fact_orders, settings)
+        in_report_window(fact_orders, settings)
         .join(days, F.col("order_date_key") == F.col("date_key"))
         .join(states, "customer_key", "left")
         .withColumn("region", region_of(F.col("customer_state")))
@@ -203,11 +203,11 @@ def rfm_segment_summary(rfm: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), "customer_segment")
 
 
-def _orders_by_day_type(fact_orders: DataFrame, dim_date: DataFrame, settings: Settings) -> DataFrame:
-    known = _window(settings) & F.col("is_holiday").isNotNull()
+def orders_by_day_type(fact_orders: DataFrame, dim_date: DataFrame, settings: Settings) -> DataFrame:
+    known = report_window(settings) & F.col("is_holiday").isNotNull()
     days = calendar(dim_date, "year", "quarter", "is_holiday", where=known)
     return (
-        _in_window(fact_orders, settings)
+        in_report_window(fact_orders, settings)
         .join(days, F.col("order_date_key") == F.col("date_key"))
         .select(
             "order_key",
@@ -221,7 +221,7 @@ def holiday_impact(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Orders with items, value and average order value of holidays and other days."""
-    orders = _orders_by_day_type(fact_orders, dim_date, settings)
+    orders = orders_by_day_type(fact_orders, dim_date, settings)
     return (
         per_order(orders, order_totals(fact_order_items, dim_date, settings), ["day_type"])
         .groupBy("day_type")
@@ -234,7 +234,7 @@ def holiday_impact_by_quarter(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """``holiday_impact`` per quarter."""
-    orders = _orders_by_day_type(fact_orders, dim_date, settings)
+    orders = orders_by_day_type(fact_orders, dim_date, settings)
     by = ["year_quarter", "day_type"]
     return (
         per_order(orders, order_totals(fact_order_items, dim_date, settings), by)
@@ -249,11 +249,11 @@ def daily_metrics(
 ) -> DataFrame:
     """Per quarter and day type; calendar days without orders stay in the averages."""
     by_day = (
-        per_order(_in_window(fact_orders, settings), totals, ["order_date_key"])
+        per_order(in_report_window(fact_orders, settings), totals, ["order_date_key"])
         .groupBy("order_date_key")
         .agg(orders.alias("orders"), gmv().alias("gmv"))
     )
-    known = _window(settings) & F.col("is_holiday").isNotNull()
+    known = report_window(settings) & F.col("is_holiday").isNotNull()
     days = dim_date.filter(known).select(
         "date_key",
         year_quarter(F.col("year"), F.col("quarter")).alias("year_quarter"),
@@ -335,7 +335,7 @@ def holiday_product_category_mix(
 ) -> DataFrame:
     """Category mix of holidays and other days, dated by the order."""
     positive("top_n", top_n)
-    orders = _orders_by_day_type(fact_orders, dim_date, settings).select("order_key", "day_type")
+    orders = orders_by_day_type(fact_orders, dim_date, settings).select("order_key", "day_type")
     categories = dim_product.select("product_key", "product_category_name_english")
     sales = (
         fact_order_items.join(orders, "order_key")
