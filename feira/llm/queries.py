@@ -8,8 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm.chat_format import format_chats, read_chats
-from feira.llm.common import table
+from feira.llm.common import stored, table
 from feira.llm.line_dedup import line_dedup
+from feira.llm.packing import best_fit, cut_pieces
+from feira.llm.quality import THRESHOLD, held_out, train, with_quality
+from feira.llm.token_store import open_shards, read_documents, write_shards
+from feira.llm.tokens import BYTE_SPLIT, WORD_SPLIT, vocabulary
+from feira.plans.workspace import new_folder
 from feira.session import prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +103,41 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(chars) AS BIGINT) AS formatted_chars, true AS round_trip
 FROM pieces GROUP BY conv_id
 """
+
+
+@query
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Per piece: its place in a packed sequence, and a checksum of its ids."""
+    pieces = cut_pieces(
+        table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), BYTE_SPLIT, lower=False, end_id=2
+    )
+    digests = stored(
+        pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces"
+    )
+    return best_fit(digests)
+
+
+@query
+def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, read back by key from the written shards: place, length and checksum of its ids."""
+    path = new_folder(spark, "token-shards")
+    write_shards(
+        table(spark, folder, "documents"), path, vocabulary("word_bpe_49k.json"), WORD_SPLIT, lower=True, end_id=1
+    )
+    found = read_documents(open_shards(spark, path))
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: whether it was held out of training, its quality score, and the verdict."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    field = train(docs, labels.filter(~held_out(F.col("doc_id"))))
+    scored = with_quality(docs, field, keep=["doc_id"])
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
