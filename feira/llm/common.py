@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from feira.plans.workspace import new_folder
 
 
+def sized_batches(spark: SparkSession) -> SparkSession:
+    """Whole texts travel to Python a thousand at a time, so that a worker's memory stays small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark wherever the folder lies."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm.chat_format import format_chats, read_chats
-from feira.llm.common import stored, table
+from feira.llm.common import sized_batches, stored, table
 from feira.llm.line_dedup import line_dedup
 from feira.llm.packing import best_fit, cut_pieces
 from feira.llm.quality import THRESHOLD, held_out, train, with_quality
@@ -23,7 +23,7 @@ ORACLE: dict[str, str] = {}
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return fn(prepare(spark), folder)
+        return fn(sized_batches(prepare(spark)), folder)
 
     QUERIES[fn.__name__] = run
     return fn

@@ -2,7 +2,7 @@
 
 The library spends most of its time on words it has seen before. Both vocabularies
 encode every pre-token by itself, so a worker keeps the ids of the pre-tokens
-it has met and hands the library only new ones. Texts with characters for which the
+it has met and hands the library's merge model only new ones. Texts with characters for which the
 split below is not certain to be the library's own (anything outside basic and
 extended Latin, unusual blanks, strings of special tokens) are encoded whole by
 the library; the result is the same either way.
@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import sys
 import types
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -28,8 +29,39 @@ BYTE_SPLIT = (
     f"|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+"
 )
 WORD_SPLIT = f"'(?:s|t|re|ve|m|ll|d)|[{_LETTER}]+|[{_NUMBER}]|[^{_BLANK}{_LETTER}{_NUMBER}]+"
-KEPT = 300_000  # pre-tokens a worker remembers at a time; the memory they take is bounded
-GROUP_CHARS = 1 << 20
+KEPT = 200_000  # pre-tokens of a generation; the memory they take is bounded
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+class _Known(dict):
+    """Pre-token -> its ids as bytes; asks the vocabulary's merge model for those it has not met.
+
+    Two generations: when the young one is full it becomes the old one, so that
+    frequent pre-tokens stay and memory is bounded.
+    """
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.merge, self.alphabet, self.old = tokenizer.model.tokenize, _byte_alphabet(), {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.old.get(piece)
+        if found is None:
+            shown = piece.encode().decode("latin1").translate(self.alphabet)
+            found = array("I", [t.id for t in self.merge(shown)]).tobytes()
+        self[piece] = found
+        return found
+
+    def age(self) -> None:
+        if len(self) > KEPT:
+            self.old = dict(self)
+            self.clear()
 
 
 def _worker_state(definition: str) -> dict:
@@ -39,7 +71,8 @@ def _worker_state(definition: str) -> dict:
     home = sys.modules.setdefault("feira_worker_state", types.ModuleType("feira_worker_state"))
     states = vars(home).setdefault("tokenizers", {})
     if definition not in states:
-        states[definition] = {"tokenizer": Tokenizer.from_str(definition), "known": {}}
+        tokenizer = Tokenizer.from_str(definition)
+        states[definition] = {"tokenizer": tokenizer, "known": _Known(tokenizer)}
     return states[definition]
 
 
@@ -52,45 +85,19 @@ def text_encoder(definition: str, split: str, lower: bool) -> Callable[[list], l
     state = _worker_state(definition)
     tokenizer, known = state["tokenizer"], state["known"]
     pieces_of, safe = re.compile(split).findall, re.compile(SAFE).fullmatch
-
-    def raw(ids: list[int]) -> bytes:
-        return np.asarray(ids, dtype="<u4").tobytes()
-
-    def group(texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
-        new: set[str] = set()
-        for text in texts:
-            if "<|" in text or not safe(text):
-                cut.append(None)
-                continue
-            pieces = pieces_of(text.lower() if lower else text)
-            cut.append(pieces)
-            new.update(pieces)
-        missing = [p for p in new if p not in known]
-        if len(known) + len(missing) > KEPT:
-            known.clear()
-            missing = list(new)
-        for at in range(0, len(missing), 4096):
-            part = missing[at : at + 4096]
-            for piece, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[piece] = raw(found.ids)
-        lookup = known.__getitem__
-        return [
-            raw(tokenizer.encode(text, add_special_tokens=False).ids) if pieces is None else b"".join(map(lookup, pieces))
-            for text, pieces in zip(texts, cut)
-        ]
+    ids_of = known.__getitem__
 
     def encode(texts: list) -> list[bytes]:
         out: list[bytes] = []
-        waiting: list[str] = []
-        chars = 0
         for text in texts:
-            waiting.append(text or "")
-            chars += len(waiting[-1])
-            if chars >= GROUP_CHARS:
-                out += group(waiting)
-                waiting, chars = [], 0
-        return out + group(waiting)
+            text = text or ""
+            if "<|" in text or not safe(text):
+                ids = tokenizer.encode(text, add_special_tokens=False).ids
+                out.append(np.asarray(ids, dtype="<u4").tobytes())
+            else:
+                out.append(b"".join(map(ids_of, pieces_of(text.lower() if lower else text))))
+                known.age()
+        return out
 
     return encode
 
