@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feira.llm.chat_format import format_chats, read_chats
 from feira.llm.common import sized_batches, stored, table
 from feira.llm.line_dedup import line_dedup
+from feira.llm.minhash import near_duplicates
 from feira.llm.packing import best_fit, cut_pieces
 from feira.llm.quality import THRESHOLD, held_out, train, with_quality
 from feira.llm.token_store import open_shards, read_documents, write_shards
@@ -141,3 +142,9 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+@query
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its set of two-word shingles, and its component of near duplicates."""
+    return near_duplicates(table(spark, folder, "documents"), words=2, share=80)
