@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm.chat_format import format_chats, read_chats
-from feira.llm.common import sized_batches, stored, table
+from feira.llm.common import sized_batches, stored, table, version
 from feira.llm.line_dedup import line_dedup
 from feira.llm.minhash import near_duplicates
 from feira.llm.packing import best_fit, cut_pieces
 from feira.llm.quality import THRESHOLD, held_out, train, with_quality
+from feira.llm.repeats import copies
+from feira.llm.substring_dedup import remove_repeated_words
+from feira.llm.suffix_dedup import remove_repeated_bytes
 from feira.llm.token_store import open_shards, read_documents, write_shards
 from feira.llm.tokens import BYTE_SPLIT, WORD_SPLIT, vocabulary
 from feira.plans.workspace import new_folder
@@ -148,3 +151,45 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: its set of two-word shingles, and its component of near duplicates."""
     return near_duplicates(table(spark, folder, "documents"), words=2, share=80)
+
+
+def _after_removal(docs: DataFrame, cut: DataFrame, n_units: Column, at_least: int) -> DataFrame:
+    """Every document: (doc_id, n_units, n_removed, n_spans, kept_sha256 or NULL for those that stay whole)."""
+    changed = cut.select(
+        "doc", "ver", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("sha")
+    )
+    copied = copies(docs).withColumn("copy", F.lit(True))
+    rows = docs.select("doc_id", version(F.col("text")).alias("ver"), n_units.alias("n_units"), F.col("whole"))
+    met = (
+        rows.join(changed.withColumnRenamed("doc", "doc_id"), ["doc_id", "ver"], "left")
+        .join(copied.withColumnRenamed("doc", "doc_id"), ["doc_id", "ver"], "left")
+    )
+    gone = F.coalesce("copy", F.lit(False)) & (F.col("n_units") >= at_least)
+    return met.select(
+        "doc_id",
+        "n_units",
+        F.when(gone, F.col("n_units")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
+        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("bigint").alias("n_spans"),
+        F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("sha", "whole")).alias("kept_sha256"),
+    )
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: bytes, bytes removed as repeats of smaller ids, removed runs, digest of the rest."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = docs.withColumn("whole", F.sha2("text", 256))
+    n_bytes = F.octet_length("text").cast("bigint")
+    out = _after_removal(docs, remove_repeated_bytes(docs), n_bytes, 50)
+    return out.withColumnRenamed("n_units", "n_bytes")
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: words, words removed as repeats of smaller ids, digest of the kept words."""
+    docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    plain = F.trim(F.regexp_replace("text", r"[\x09-\x0D\x20]+", " "))
+    docs = docs.withColumn("whole", F.sha2(plain, 256))
+    n_words = F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1)
+    out = _after_removal(docs, remove_repeated_words(docs), n_words.cast("bigint"), 13)
+    return out.withColumnRenamed("n_units", "n_words").drop("n_spans")
