@@ -85,28 +85,46 @@ def _unpacked_tokens(raw: bytes) -> np.ndarray:
     return low.astype(np.uint64) | (high.astype(np.uint64) << np.uint64(32))
 
 
+def _edges(sorted_values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    if not sorted_values.size:
+        return np.zeros(1, dtype=np.int64)
+    return np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1], [True]]))
+
+
+def _answers(names: list[bytes], owner: np.ndarray, token: np.ndarray, parts: int) -> list[tuple[int, bytes, bytes, bytes]]:
+    """Tokens by owner, packed by target: (target, digests, counts, tokens)."""
+    of_name = np.array([int.from_bytes(n[:4], "little") % parts for n in names], dtype=np.int64)
+    order = np.lexsort((owner, of_name[owner]))
+    owner, token = owner[order], token[order]
+    target = of_name[owner]
+    edges = _edges(target)
+    out = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        who, counts = np.unique(owner[a:b], return_counts=True)
+        out.append((int(target[a]), b"".join(names[w] for w in who), counts.astype("<u4").tobytes(), token[a:b].tobytes()))
+    return out
+
+
 def _posted(kind: Kind, parts: int) -> Callable:
-    """Batches of (digest, text) to packed anchors: rows (bucket, digest, counts, digests, tokens).
+    """Batches of (digest, text) to packed anchors: rows (bucket, digests, counts, tokens).
 
-    Rows with a digest are answers already: anchors that texts of the batch share.
+    Rows of buckets from ``parts`` on are answers already: anchors that texts of the batch share.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests = np.array([*batch.column(0).to_pylist(), b""], dtype="S16")[:-1]
-            digests = [d.ljust(16, b"\0") for d in digests.tolist()]
             index: dict[bytes, int] = {}
-            of_row = np.array([index.setdefault(d, len(index)) for d in digests], dtype=np.int64)
+            of_row = np.array([index.setdefault(d, len(index)) for d in batch.column(0).to_pylist()], dtype=np.int64)
             owners, keys = [], []
             for at, held in groups(batch.column(1).to_pylist()):
                 (text, _, _, key), _ = _runs(kind, held)
                 owners.append(of_row[at + text])
                 keys.append(key)
-            if not keys:
-                continue
-            owner, key = np.concatenate(owners), np.concatenate(keys)
-            if not key.size:
+            owner = np.concatenate(owners) if owners else np.zeros(0, dtype=np.int64)
+            if not owner.size:
                 continue
+            key = np.concatenate(keys)
             bucket = (key % np.uint64(parts)).astype(np.int64)
             token = (key // np.uint64(parts)) & _TOKEN
             order = np.lexsort((owner, token, bucket))
@@ -119,65 +137,93 @@ def _posted(kind: Kind, parts: int) -> Callable:
             group = np.cumsum(head) - 1
             shared = np.bincount(group)[group] > 1
             names = list(index)
-            rows: list[tuple] = []
-            # answers of the batch itself, by text
-            s_owner, s_token = owner[shared], token[shared]
-            order = np.argsort(s_owner, kind="stable")
-            s_owner, s_token = s_owner[order], s_token[order]
-            edges = np.flatnonzero(np.concatenate([[True], s_owner[1:] != s_owner[:-1], [True]])) if s_owner.size else []
-            for a, b in zip(edges[:-1], edges[1:]):
-                name = names[s_owner[a]]
-                rows.append((parts + int.from_bytes(name[:4], "little") % parts, name, None, None, s_token[a:b].tobytes()))
+            rows = [(parts + t, *rest) for t, *rest in _answers(names, owner[shared], token[shared], parts)]
             # every anchor once per bucket, by text
             owner, bucket, token = owner[head], bucket[head], token[head]
             order = np.lexsort((owner, bucket))
             owner, bucket, token = owner[order], bucket[order], token[order]
-            edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+            edges = _edges(bucket)
             for a, b in zip(edges[:-1], edges[1:]):
                 who, counts = np.unique(owner[a:b], return_counts=True)
-                rows.append((
-                    int(bucket[a]), None, counts.astype("<u4").tobytes(), b"".join(names[w] for w in who), _packed_tokens(token[a:b]),
-                ))
+                digests = b"".join(names[w] for w in who)
+                rows.append((int(bucket[a]), digests, counts.astype("<u4").tobytes(), _packed_tokens(token[a:b])))
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
-                names=["bucket", "digest", "counts", "digests", "tokens"],
+                names=["bucket", "digests", "counts", "tokens"],
             )
 
     return run
 
 
-def _answered(rows: pa.Table) -> pa.Table:
-    """The anchors of one bucket that different texts share, as (digest, tokens)."""
-    if rows.column("digest")[0].as_py() is not None:  # already answers
-        return rows.select(["digest", "tokens"])
-    index: dict[bytes, int] = {}
-    owners, tokens = [], []
-    for counts, digests, packed in zip(*[rows.column(c).to_pylist() for c in ("counts", "digests", "tokens")]):
-        own = [index.setdefault(digests[at : at + 16], len(index)) for at in range(0, len(digests), 16)]
-        owners.append(np.repeat(np.array(own, dtype=np.int32), np.frombuffer(counts, dtype="<u4")))
-        tokens.append(_unpacked_tokens(packed))
-    owner, token = np.concatenate(owners), np.concatenate(tokens)
-    order = np.argsort(token)
-    owner, token = owner[order], token[order]
-    head = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    differ = np.minimum.reduceat(owner, head) != np.maximum.reduceat(owner, head)
-    shared = np.repeat(differ, np.diff(np.concatenate([head, [token.size]])))
-    owner, token = owner[shared], token[shared]
-    order = np.argsort(owner, kind="stable")
-    owner, token = owner[order], token[order]
-    edges = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1], [True]])) if owner.size else np.zeros(1, dtype=int)
-    names = list(index)
-    return pa.table({
-        "digest": pa.array([names[owner[a]] for a in edges[:-1]], pa.binary()),
-        "tokens": pa.array([np.unique(token[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary()),
-    })
+def _answered(parts: int) -> Callable:
+    """The anchors of one bucket that different texts share, as (target, digests, counts, tokens)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        bucket = rows.column("bucket")[0].as_py()
+        found: list[tuple]
+        if bucket >= parts:  # answers already
+            found = [(bucket - parts, *r) for r in zip(*[rows.column(c).to_pylist() for c in ("digests", "counts", "tokens")])]
+        else:
+            index: dict[bytes, int] = {}
+            owners, tokens = [], []
+            for digests, counts, packed in zip(*[rows.column(c).to_pylist() for c in ("digests", "counts", "tokens")]):
+                own = [index.setdefault(digests[at : at + 16], len(index)) for at in range(0, len(digests), 16)]
+                owners.append(np.repeat(np.array(own, dtype=np.int32), np.frombuffer(counts, dtype="<u4")))
+                tokens.append(_unpacked_tokens(packed))
+            owner, token = np.concatenate(owners), np.concatenate(tokens)
+            order = np.argsort(token)
+            owner, token = owner[order], token[order]
+            head = _edges(token)
+            differ = np.minimum.reduceat(owner, head[:-1]) != np.maximum.reduceat(owner, head[:-1])
+            shared = np.repeat(differ, np.diff(head))
+            found = _answers(list(index), owner[shared], token[shared], parts)
+        columns = list(zip(*found)) or [(), (), (), ()]
+        return pa.table({
+            "target": pa.array(columns[0], pa.int32()),
+            **{n: pa.array(c, pa.binary()) for n, c in zip(("digests", "counts", "tokens"), columns[1:])},
+        })
+
+    return run
+
+
+def _by_text(rows: pa.Table) -> pa.Table:
+    """One target's answers to (digest, tokens), a row per text."""
+    tokens: dict[bytes, list[bytes]] = {}
+    for digests, counts, packed in zip(*[rows.column(c).to_pylist() for c in ("digests", "counts", "tokens")]):
+        ends = (8 * np.cumsum(np.frombuffer(counts, dtype="<u4"))).tolist()
+        for k, (a, b) in enumerate(zip([0, *ends[:-1]], ends)):
+            tokens.setdefault(digests[16 * k : 16 * k + 16], []).append(packed[a:b])
+    joined = [np.unique(np.frombuffer(b"".join(t), dtype="<u8")).tobytes() for t in tokens.values()]
+    return pa.table({"digest": pa.array(list(tokens), pa.binary()), "tokens": pa.array(joined, pa.binary())})
+
+
+def _results(
+    doc: np.ndarray, ver: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray, parts: int
+) -> list[tuple[int, bytes, bytes, bytes, bytes]]:
+    """Ranges of the rows (doc, ver), merged and packed by target: (target, docs, vers, counts, ranges)."""
+    target = ver[row].view(np.uint64) % np.uint64(parts)
+    order = np.lexsort((row, target))
+    row, start, end, target = row[order], start[order], end[order], target[order]
+    by_row = _edges(row + target.astype(np.int64) * (len(doc) + 1))
+    merged = [joined_ranges(start[a:b], end[a:b]) for a, b in zip(by_row[:-1], by_row[1:])]
+    heads = by_row[:-1]
+    out = []
+    by_target = _edges(target[heads])
+    for a, b in zip(by_target[:-1], by_target[1:]):
+        own = row[heads[a:b]]
+        out.append((
+            int(target[heads[a]]), doc[own].astype("<i8").tobytes(), ver[own].astype("<i8").tobytes(),
+            np.array([len(m[0]) for m in merged[a:b]], dtype="<u4").tobytes(),
+            b"".join(np.column_stack(m).astype("<i8").tobytes() for m in merged[a:b]),
+        ))
+    return out
 
 
 def _sent(kind: Kind, anchor_parts: int, parts: int) -> Callable:
-    """Batches of (doc, ver, text, tokens) to rows (bucket, doc, ver, docs, vers, who, first, sizes, content).
+    """Batches of (doc, ver, text, tokens) to packed runs: rows (bucket, docs, vers, who, first, sizes, content).
 
-    Rows with a single doc are results already: ranges covered by equal runs of the batch.
+    Rows of buckets from ``parts`` on are results already: ranges covered by equal runs of the batch.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +240,7 @@ def _sent(kind: Kind, anchor_parts: int, parts: int) -> Callable:
                 for t in range(len(held)):
                     a, b = edges[t], edges[t + 1]
                     if b > a:
-                        mine[a:b] = np.isin(token[a:b], np.frombuffer(b"".join(wanted[at + t]), dtype="<u8"))
+                        mine[a:b] = np.isin(token[a:b], np.frombuffer(wanted[at + t], dtype="<u8"))
                 which = np.flatnonzero(mine)
                 held_runs.append((at + text[which], first[which], count[which], key[which]))
                 held_content += contents(which)
@@ -209,50 +255,39 @@ def _sent(kind: Kind, anchor_parts: int, parts: int) -> Callable:
                     leader[content] = k
             lead = np.array([leader[c] for c in held_content], dtype=np.int64)
             settled = doc[row[lead]] < doc[row]
-            goes = (lead == np.arange(lead.size)) & ~settled
-            out: list[tuple] = []
-            done = np.flatnonzero(settled)
-            edges = np.flatnonzero(np.concatenate([[True], row[done][1:] != row[done][:-1], [True]])) if done.size else []
-            for a, b in zip(edges[:-1], edges[1:]):
-                some = done[a:b]
-                start, end = joined_ranges(first[some], first[some] + count[some] + kind.length - 1)
-                r = row[some[0]]
-                out.append((
-                    parts + int(ver[r]) % parts, int(doc[r]), int(ver[r]), None, None, None,
-                    np.column_stack([start, end]).astype("<i8").tobytes(), None, None,
-                ))
+            goes = ~settled  # with its repeats in the same document
+            done = row[settled], first[settled], (first + count + kind.length - 1)[settled]
+            out = [(parts + t, *rest, None, None) for t, *rest in _results(doc, ver, *done, parts)]
             bucket = (key % np.uint64(parts)).astype(np.int64)
             which = np.flatnonzero(goes)
             which = which[np.argsort(bucket[which], kind="stable")]
-            edges = np.flatnonzero(np.concatenate([[True], bucket[which][1:] != bucket[which][:-1], [True]])) if which.size else []
+            edges = _edges(bucket[which])
             for a, b in zip(edges[:-1], edges[1:]):
                 some = which[a:b]
                 rows, who = np.unique(row[some], return_inverse=True)
                 content = [held_content[k] for k in some]
                 out.append((
-                    int(bucket[some[0]]), None, None, doc[rows].astype("<i8").tobytes(), ver[rows].astype("<i8").tobytes(),
+                    int(bucket[some[0]]), doc[rows].astype("<i8").tobytes(), ver[rows].astype("<i8").tobytes(),
                     who.astype("<i4").tobytes(), first[some].astype("<i8").tobytes(),
                     np.array([len(c) for c in content], dtype="<i4").tobytes(), b"".join(content),
                 ))
             columns = list(zip(*out))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int64()),
-                    *[pa.array(c, pa.binary()) for c in columns[3:]],
-                ],
-                names=["bucket", "doc", "ver", "docs", "vers", "who", "first", "sizes", "content"],
-            )
+                [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
+                names=["bucket", "docs", "vers", "who", "first", "sizes", "content"],
+            )
 
     return run
 
 
-def _covered(kind: Kind, matcher: Callable[[np.ndarray, list[bytes]], list[np.ndarray]]) -> Callable:
-    """One bucket's runs to (doc, ver, ranges). ``matcher`` gets runs by rising id: (ids, contents), all contents
+def _covered(kind: Kind, parts: int, matcher: Callable[[np.ndarray, list[bytes]], list[np.ndarray]]) -> Callable:
+    """One bucket's runs to packed results (target, docs, vers, counts, ranges). ``matcher`` gets runs by rising id: (ids, contents), all contents
     different or of different ids, and returns the covered windows of each run."""
 
     def run(rows: pa.Table) -> pa.Table:
-        if rows.column("doc")[0].as_py() is not None:  # already results
-            return rows.select(["doc", "ver", "first"]).rename_columns(["doc", "ver", "ranges"])
+        bucket = rows.column("bucket")[0].as_py()
+        if bucket >= parts:  # results already
+            return packed([(bucket - parts, *r) for r in zip(*[rows.column(c).to_pylist() for c in ("docs", "vers", "who", "first")])])
         doc, ver, first, content = [], [], [], []
         for docs, vers, who, at, sizes, joined in zip(
             *[rows.column(c).to_pylist() for c in ("docs", "vers", "who", "first", "sizes", "content")]
@@ -284,21 +319,36 @@ def _covered(kind: Kind, matcher: Callable[[np.ndarray, list[bytes]], list[np.nd
                 ends.append(first[k] + hit + kind.length)
                 owners.append(np.full(hit.size, k))
         start, end, owner = np.concatenate(starts), np.concatenate(ends), np.concatenate(owners)
-        row = np.unique(np.column_stack([doc, ver]), axis=0, return_inverse=True)[1].ravel()[owner]
-        order = np.argsort(row, kind="stable")
-        start, end, owner, row = start[order], end[order], owner[order], row[order]
-        edges = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]])) if row.size else np.zeros(1, dtype=int)
-        ranges = [
-            np.column_stack(joined_ranges(start[a:b], end[a:b])).astype("<i8").tobytes() for a, b in zip(edges[:-1], edges[1:])
-        ]
-        heads = owner[edges[:-1]]
+        opens = np.ones(doc.size, dtype=bool)
+        opens[1:] = (doc[1:] != doc[:-1]) | (ver[1:] != ver[:-1])
+        row, heads = np.cumsum(opens) - 1, np.flatnonzero(opens)
+        return packed(_results(doc[heads], ver[heads], row[owner], start, end, parts))
+
+    def packed(found: list[tuple]) -> pa.Table:
+        columns = list(zip(*found)) or [(), (), (), (), ()]
         return pa.table({
-            "doc": pa.array(doc[heads], pa.int64()), "ver": pa.array(ver[heads], pa.int64()), "ranges": pa.array(ranges, pa.binary()),
-        })
+            "target": pa.array(columns[0], pa.int32()),
+            **{n: pa.array(c, pa.binary()) for n, c in zip(("docs", "vers", "counts", "ranges"), columns[1:])},
+        })
 
     return run
 
 
+def _by_doc(rows: pa.Table) -> pa.Table:
+    """One target's results to (doc, ver, ranges), a row per document."""
+    ranges: dict[tuple[int, int], list[bytes]] = {}
+    for docs, vers, counts, packed in zip(*[rows.column(c).to_pylist() for c in ("docs", "vers", "counts", "ranges")]):
+        ends = (16 * np.cumsum(np.frombuffer(counts, dtype="<u4"))).tolist()
+        owners = zip(np.frombuffer(docs, dtype="<i8").tolist(), np.frombuffer(vers, dtype="<i8").tolist())
+        for own, a, b in zip(owners, [0, *ends[:-1]], ends):
+            ranges.setdefault(own, []).append(packed[a:b])
+    return pa.table({
+        "doc": pa.array([d for d, _ in ranges], pa.int64()),
+        "ver": pa.array([v for _, v in ranges], pa.int64()),
+        "ranges": pa.array([b"".join(r) for r in ranges.values()], pa.binary()),
+    })
+
+
 def _digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
@@ -309,30 +359,33 @@ def marked(
 ) -> DataFrame:
     """(doc, ver, text, ranges) of the documents with windows that start in a smaller id as well.
 
-    ``ranges`` is an array of packed [start, end) pairs in units, which may overlap. Later copies of a whole text are not among
+    ``ranges`` packs [start, end) pairs in units, which may overlap. Later copies of a whole text are not among
     them: see ``copies``.
     """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text")).filter("doc is not null and text is not null")
     size = total_of(rows, F.octet_length("text"))
     anchor_parts = buckets_for(size * kind.per_byte, ANCHORS_TOGETHER)
     posted = rows.select(_digest(F.col("text")).alias("digest"), "text").mapInArrow(
-        _posted(kind, anchor_parts), "bucket int, digest binary, counts binary, digests binary, tokens binary"
+        _posted(kind, anchor_parts), "bucket int, digests binary, counts binary, tokens binary"
     )
-    shared = posted.groupBy("bucket").applyInArrow(_answered, "digest binary, tokens binary")
-    by_text = shared.groupBy("digest").agg(F.collect_list("tokens").alias("tokens"))
+    shared = posted.groupBy("bucket").applyInArrow(
+        _answered(anchor_parts), "target int, digests binary, counts binary, tokens binary"
+    )
+    by_text = shared.groupBy("target").applyInArrow(_by_text, "digest binary, tokens binary")
     first = rows.groupBy(_digest(F.col("text")).alias("digest")).agg(F.min(F.struct("doc", version(F.col("text")).alias("ver"))).alias("f"))
     asked = by_text.join(first, "digest").select(F.col("f.doc").alias("doc"), F.col("f.ver").alias("ver"), "tokens")
     candidates = stored(
         rows.withColumn("ver", version(F.col("text"))).join(asked, ["doc", "ver"]).select("doc", "ver", "text", "tokens"), "candidates"
     )
-    held = F.aggregate("tokens", F.lit(0).cast("bigint"), lambda n, t: n + F.octet_length(t))
-    parts = buckets_for(total_of(candidates, held) / 8, RUNS_TOGETHER)
+    parts = buckets_for(total_of(candidates, F.octet_length("tokens")) / 8, RUNS_TOGETHER)
     sent = candidates.mapInArrow(
         _sent(kind, anchor_parts, parts),
-        "bucket int, doc bigint, ver bigint, docs binary, vers binary, who binary, first binary, sizes binary, content binary",
+        "bucket int, docs binary, vers binary, who binary, first binary, sizes binary, content binary",
+    )
+    found = sent.groupBy("bucket").applyInArrow(
+        _covered(kind, parts, matcher), "target int, docs binary, vers binary, counts binary, ranges binary"
     )
-    found = sent.groupBy("bucket").applyInArrow(_covered(kind, matcher), "doc bigint, ver bigint, ranges binary")
-    by_doc = found.groupBy("doc", "ver").agg(F.collect_list("ranges").alias("ranges"))
+    by_doc = found.groupBy("target").applyInArrow(_by_doc, "doc bigint, ver bigint, ranges binary")
     return candidates.select("doc", "ver", "text").join(by_doc, ["doc", "ver"])
 
 
@@ -351,7 +404,7 @@ def cut(
             units, removed, spans, kept = [], [], [], []
             for content, ranges in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 raw = content.encode()
-                pairs = np.frombuffer(b"".join(ranges), dtype="<i8").reshape(-1, 2)
+                pairs = np.frombuffer(ranges, dtype="<i8").reshape(-1, 2)
                 start, end = joined_ranges(pairs[:, 0], pairs[:, 1])
                 parts = raw.split() if kind.words else raw
                 gaps = zip([0, *end.tolist()], [*start.tolist(), len(parts)])
