@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feira.llm import decontaminate
 from feira.llm.chat_format import format_chats, read_chats
 from feira.llm.common import sized_batches, stored, table, version
+from feira.llm.decontaminate import contaminated
 from feira.llm.line_dedup import line_dedup
 from feira.llm.minhash import near_duplicates
 from feira.llm.packing import best_fit, cut_pieces
@@ -193,3 +195,53 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     n_words = F.when(plain == "", 0).otherwise(F.length(plain) - F.length(F.replace(plain, F.lit(" "))) + 1)
     out = _after_removal(docs, remove_repeated_words(docs), n_words.cast("bigint"), 13)
     return out.withColumnRenamed("n_units", "n_words").drop("n_spans")
+
+
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Per contaminated document and benchmark item: matched windows, slots, and whether values were changed."""
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def _valued_sql(text: str) -> str:
+    out = f"(' ' || coalesce({text}, ''))"
+    for pattern, replacement in decontaminate.STEPS:
+        back = replacement.replace("$", "\\")
+        quoted = [x.replace("'", "''") for x in (pattern, back)]
+        out = f"regexp_replace({out}, '{quoted[0]}', '{quoted[1]}', 'g')"
+    return f"trim(lower({out}))"
+
+
+_SLOT_SQL = f"'{decontaminate.SLOT}', '\\1', 'g'"
+ORACLE["op1_decontaminate"] = f"""
+WITH d AS (
+  SELECT doc_id, string_split(v, ' ') AS theirs, string_split(regexp_replace(v, {_SLOT_SQL}), ' ') AS t
+  FROM (SELECT doc_id, {_valued_sql('text')} AS v FROM documents)
+), b AS (
+  SELECT item_id, string_split(v, ' ') AS own, string_split(regexp_replace(v, {_SLOT_SQL}), ' ') AS t
+  FROM (SELECT item_id, {_valued_sql('text')} AS v FROM benchmark)
+), dw AS (
+  SELECT doc_id, pos, array_to_string(t[pos + 1 : pos + 8], ' ') AS key
+  FROM (SELECT doc_id, t, unnest(range(len(t) - 7)) AS pos FROM d WHERE len(t) >= 8)
+), bw AS (
+  SELECT item_id, pos AS ipos, array_to_string(w, ' ') AS key, count(*) OVER (PARTITION BY item_id) AS n_windows
+  FROM (SELECT item_id, pos, t[pos + 1 : pos + 8] AS w FROM (
+    SELECT item_id, t, unnest(range(len(t) - 7)) AS pos FROM b WHERE len(t) >= 8))
+  WHERE len(list_filter(w, lambda x: ord(x) BETWEEN 1 AND 3)) * 2 <= 8
+), aligned AS (
+  SELECT doc_id, item_id, n_windows, pos - ipos AS shift, count(DISTINCT ipos) AS n_matched, min(ipos) AS first, max(ipos) AS last
+  FROM dw JOIN bw USING (key) GROUP BY ALL HAVING count(DISTINCT ipos) >= n_windows * 0.5
+), pairs AS (
+  SELECT a.*, own[ipos + 1] AS x, theirs[ipos + shift + 1] AS y
+  FROM (SELECT *, unnest(range(first, last + 8)) AS ipos FROM aligned) a JOIN d USING (doc_id) JOIN b USING (item_id)
+), checked AS (
+  SELECT doc_id, item_id, n_windows, shift, n_matched,
+    count(*) FILTER (ord(x) BETWEEN 1 AND 3 AND ord(x) = ord(y)) AS n_slots,
+    coalesce(bool_or(x <> y) FILTER (ord(x) BETWEEN 1 AND 3 AND ord(x) = ord(y)), false) AS reparameterised,
+    count(DISTINCT x || ' ' || y) FILTER (ord(x) BETWEEN 1 AND 3 AND ord(x) = ord(y))
+      = count(DISTINCT x) FILTER (ord(x) BETWEEN 1 AND 3 AND ord(x) = ord(y)) AS consistent
+  FROM pairs GROUP BY doc_id, item_id, n_windows, shift, n_matched
+)
+SELECT doc_id, item_id, n_matched, n_windows, n_slots, reparameterised FROM checked WHERE consistent
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, shift) = 1
+"""
