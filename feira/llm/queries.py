@@ -11,6 +11,7 @@ from feira.llm import decontaminate
 from feira.llm.chat_format import format_chats, read_chats
 from feira.llm.common import sized_batches, stored, table, version
 from feira.llm.decontaminate import contaminated
+from feira.llm.embedding_dedup import near_vectors
 from feira.llm.line_dedup import line_dedup
 from feira.llm.minhash import near_duplicates
 from feira.llm.packing import best_fit, cut_pieces
@@ -245,3 +246,9 @@ WITH d AS (
 SELECT doc_id, item_id, n_matched, n_windows, n_slots, reparameterised FROM checked WHERE consistent
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC, shift) = 1
 """
+
+
+@query
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Per vector: its links within the label, its component, and whether it is the component's smallest."""
+    return near_vectors(table(spark, folder, "embeddings"))
