@@ -56,15 +56,21 @@ STEPS = [
     ("([.!?:]|^) \x02", "$1 "),
     (" [^\\p{L}\\p{N}\x02 ]*([0-9])", " \x01$1"),
     (_UNIT_PATTERN, "$1 \x03$2$3"),
-    ("[.,']*[^\\p{L}\\p{N}\\x01-\\x03.,'%/]+[.,'%/]*|[.,'%/]+$", " "),
+    ("[.,'%/]+( |$)| [.,'%/]+", " "),
+    (" +", " "),
 ]
+# marks that part words wherever they stand; they become blanks before the last two steps
+PARTING = "!\"#$&()*+:;<=>?@[]^_`{|}~\\¡¿«»–—‘’“”„…·•"
 SLOT = "([\\x01-\\x03])[^ ]*"
 
 
 def valued(text: Column) -> Column:
     """Template tokens joined by single spaces; slots are a type mark and the value."""
     out = F.concat(F.lit(" "), F.coalesce(text, F.lit("")))
-    for pattern, replacement in STEPS:
+    for pattern, replacement in STEPS[:-2]:
+        out = F.regexp_replace(out, pattern, replacement)
+    out = F.translate(out, PARTING, " " * len(PARTING))
+    for pattern, replacement in STEPS[-2:]:
         out = F.regexp_replace(out, pattern, replacement)
     return F.trim(F.lower(out))
 

@@ -7,7 +7,7 @@ Vectors are compared within equal labels (and dimensions) by cosine. Identical v
    for a task and no pair of a shard is lost.
 2. Build: a shard links each vector to close ones in different directions (robust pruning). The adjacency
    lists of all shards are united per vector.
-3. Search: every vector is a query in each of its shards: a greedy search from the medoids,
+3. Search: every vector is a query in each of its shards: a greedy search from the medoids and its own list,
    which then expands every node inside the range widened by ``SLACK``.
 4. Verify: what was found counts if its cosine, in double precision from the given components, reaches the threshold.
 
@@ -165,6 +165,8 @@ def search(x: np.ndarray, graph: list[np.ndarray], threshold: float) -> tuple[np
         closest = np.maximum(closest, x @ x[starts[-1]])
     seen = np.full((n, n), -np.inf, dtype=np.float32)
     seen[:, starts] = x @ x[starts].T
+    # a query also knows its own list; a tight group may have no way in from outside
+    np.fill_diagonal(seen, 1.0)
     open_ = seen.copy()  # seen and not yet expanded
     active = np.arange(n)
     step = 0

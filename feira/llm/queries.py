@@ -206,7 +206,10 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 def _valued_sql(text: str) -> str:
     out = f"(' ' || coalesce({text}, ''))"
-    for pattern, replacement in decontaminate.STEPS:
+    for k, (pattern, replacement) in enumerate(decontaminate.STEPS):
+        if k == len(decontaminate.STEPS) - 2:
+            marks = decontaminate.PARTING.replace("'", "''")
+            out = f"translate({out}, '{marks}', '{' ' * len(decontaminate.PARTING)}')"
         back = replacement.replace("$", "\\")
         quoted = [x.replace("'", "''") for x in (pattern, back)]
         out = f"regexp_replace({out}, '{quoted[0]}', '{quoted[1]}', 'g')"
