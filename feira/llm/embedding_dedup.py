@@ -37,6 +37,7 @@ SAMPLE = 20_000
 SHARD = 800
 OVERLAP = 3
 DEGREE = 24
+BACK = 4
 ALPHA = 1.2
 BEAM = 32
 SLACK = 0.2
@@ -147,7 +148,12 @@ def pruned_graph(x: np.ndarray) -> list[np.ndarray]:
                     break
                 alive &= ALPHA * among[c] > far
         out.append(np.array(kept, dtype=np.int64))
-    return out
+    # the closest neighbours link back, else vectors at the rim of a tight group have no way in
+    back: list[list[int]] = [[] for _ in range(n)]
+    for k, kept in enumerate(out):
+        for m in kept[:BACK].tolist():
+            back[m].append(k)
+    return [np.union1d(own, np.array(b, dtype=np.int64)) for own, b in zip(out, back)]
 
 
 def search(x: np.ndarray, graph: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
