@@ -245,7 +245,7 @@ def near_duplicates(
         .select("key", F.coalesce("component", "rep").alias("component"))
     )
     out = signed.select("doc", "n", "key").join(component, "key", "left")
-    found = F.coalesce("component", "doc")
+    found = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return out.select(
         F.col("doc").alias(doc_id),
         F.col("n").alias("n_shingles"),
