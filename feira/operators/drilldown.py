@@ -408,7 +408,8 @@ def rfm_detail(rfm: DataFrame, dim_customer: DataFrame) -> DataFrame:
             "rfm_code",
             F.col("rfm_total_score").alias("rfm_score"),
         )
-        .orderBy(F.desc("monetary_value"))
+        # the key splits customers of equal spend over the sorted parts
+        .orderBy(F.desc("monetary_value"), "customer_key")
     )
 
 

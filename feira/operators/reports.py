@@ -152,8 +152,8 @@ def rfm_analysis(
     limit = positive("limit", limit)
     top = rfm.orderBy(F.desc("monetary"), "customer_key").limit(limit)
     places = dim_customer.select("customer_key", "customer_unique_id", "customer_state", "customer_city")
-    # at most ``limit`` keys, fixed by the caller, reduce the dimension before the outer join
-    places = places.join(F.broadcast(top.select("customer_key")), "customer_key", "left_semi")
+    # at most ``limit`` keys reduce the dimension before the outer join
+    places = places.join(checked_broadcast(top.select("customer_key")), "customer_key", "left_semi")
     return (
         top.join(places, "customer_key", "left")
         .select(

@@ -12,7 +12,8 @@ from feira.settings import Settings
 
 
 class Catalog:
-    """Lazy frames by model name; nothing runs until a frame is used.
+    """Frames by model name, built when asked for. Building some of them runs jobs: counted
+    broadcasts, hot groups, selected ranks and stored results.
 
     ``entity`` and ``holidays`` supply raw frames, from files or tables alike.
     """

@@ -45,7 +45,9 @@ def split_by(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame,
 def bucketed_row_number(
     df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str
 ) -> DataFrame:
-    """``row_number`` over (keys, order) that never sorts a whole group in one task.
+    """``row_number`` over (keys, order) that sorts a group bucket by bucket.
+
+    Rows of one bucket (also those whose bucket is NULL) are sorted in one task.
 
     ``bucket`` must rise with the order: rows are numbered inside (keys, bucket)
     and shifted by the number of rows in the group's earlier buckets.

@@ -71,7 +71,14 @@ def write_report(name: str, df: DataFrame, root: str) -> str:
 
 
 def read_report(spark: SparkSession, name: str, root: str) -> DataFrame:
-    return spark.read.option("header", True).csv(f"{root.rstrip('/')}/{name}")
+    """A written report, read with the writer's quoting."""
+    return (
+        spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", True)
+        .csv(f"{root.rstrip('/')}/{name}")
+    )
 
 
 def published_columns(df: DataFrame, read_back: DataFrame) -> bool:
