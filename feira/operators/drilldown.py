@@ -21,6 +21,7 @@ from feira.operators.reports import (
     per_order,
     positive,
 )
+from feira.plans.sizing import checked_broadcast
 from feira.plans.workspace import pinned
 from feira.settings import Settings
 
@@ -36,6 +37,15 @@ def _dated(fact: DataFrame, dim_date: DataFrame, year: int, months: tuple[int, .
     return pruned.join(days, F.col("order_date_key") == F.col("date_key"))
 
 
+def _items_of(fact: DataFrame, start: tuple[int, int], end: tuple[int, int]) -> DataFrame:
+    """Items of orders bought in these months.
+
+    An item carries its order's date, so the orders' window prunes the items as well. A view cut
+    to fewer columns may lack the date; the join with the orders then does it alone.
+    """
+    return keep_months(fact, start, end) if "order_date_key" in fact.columns else fact
+
+
 # --- spike ----------------------------------------------------------------
 
 
@@ -45,8 +55,10 @@ def order_vs_aov(
     """Orders, value and value per order of the spike months; orders without items count."""
     orders = _dated(fact_orders, dim_date, settings.spike_year, settings.spike_months)
     by = ["year", "month"]
+    year, months = settings.spike_year, settings.spike_months
+    items = _items_of(fact_order_items, (year, min(months)), (year, max(months)))
     return (
-        per_order(orders.select("order_key", *by), all_order_totals(fact_order_items), by)
+        per_order(orders.select("order_key", *by), all_order_totals(items), by)
         .groupBy(year_month(F.col("year"), F.col("month")).alias("year_month"))
         .agg(all_orders().alias("orders"), gmv().alias("gmv"), avg_all().alias("avg_order_value"))
         .orderBy("year_month")
@@ -141,11 +153,12 @@ def category_sales(
 ) -> DataFrame:
     """Delivered value per month and category of one year."""
     bought = F.col("order_purchase_timestamp")
-    orders = fact_orders.filter((F.col("order_status") == "DELIVERED") & (F.year(bought) == year)).select(
-        "order_key", F.month(bought).alias("month")
-    )
+    window = (year, 1), (year, 12)
+    delivered = (F.col("order_status") == "DELIVERED") & (F.year(bought) == year)
+    orders = _items_of(fact_orders, *window).filter(delivered).select("order_key", F.month(bought).alias("month"))
     return (
-        fact_order_items.join(orders, "order_key")
+        _items_of(fact_order_items, *window)
+        .join(orders, "order_key")
         .join(dim_product.select("product_key", CATEGORY), "product_key")
         .groupBy("month", CATEGORY)
         .agg(F.sum(item_value()).alias("total_sales_value"))
@@ -160,11 +173,13 @@ def monthly_state_sales(
     Items are summed per order before they meet the customers.
     """
     bought = F.col("order_purchase_timestamp")
-    orders = fact_orders.filter((F.col("order_status") == "DELIVERED") & F.year(bought).isin(*years)).select(
+    window = (min(years), 1), (max(years), 12)
+    delivered = (F.col("order_status") == "DELIVERED") & F.year(bought).isin(*years)
+    orders = _items_of(fact_orders, *window).filter(delivered).select(
         "order_key", "customer_key", F.date_format(bought, "yyyy-MM").alias("month")
     )
     return (
-        orders.join(all_order_totals(fact_order_items), "order_key")
+        orders.join(all_order_totals(_items_of(fact_order_items, *window)), "order_key")
         .join(dim_customer.select("customer_key", "customer_state"), "customer_key")
         .groupBy("month", "customer_state")
         .agg(F.sum("total_order_value").alias("gmv"))
@@ -246,8 +261,9 @@ def holiday_impact_all_orders(
 ) -> DataFrame:
     """Like ``holiday_impact``, with every order in the count and the average."""
     orders = reports.orders_by_day_type(fact_orders, dim_date, settings)
+    items = _items_of(fact_order_items, settings.report_start, settings.report_end)
     return (
-        per_order(orders, all_order_totals(fact_order_items), ["day_type"])
+        per_order(orders, all_order_totals(items), ["day_type"])
         .groupBy("day_type")
         .agg(all_orders().alias("order_count"), gmv().alias("gmv"), avg_all().alias("avg_order_value"))
         .orderBy(F.desc("gmv"))
@@ -258,9 +274,10 @@ def holiday_impact_by_quarter_all_orders(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     orders = reports.orders_by_day_type(fact_orders, dim_date, settings)
+    items = _items_of(fact_order_items, settings.report_start, settings.report_end)
     by = ["year_quarter", "day_type"]
     return (
-        per_order(orders, all_order_totals(fact_order_items), by)
+        per_order(orders, all_order_totals(items), by)
         .groupBy(*by)
         .agg(all_orders().alias("order_count"), gmv().alias("gmv"), avg_all().alias("avg_order_value"))
         .orderBy(*by)
@@ -270,7 +287,8 @@ def holiday_impact_by_quarter_all_orders(
 def holiday_daily_metrics_all_orders(
     fact_orders: DataFrame, fact_order_items: DataFrame, dim_date: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
-    return daily_metrics(fact_orders, all_order_totals(fact_order_items), dim_date, all_orders(), settings)
+    items = _items_of(fact_order_items, settings.report_start, settings.report_end)
+    return daily_metrics(fact_orders, all_order_totals(items), dim_date, all_orders(), settings)
 
 
 def holiday_category_mix_known(
@@ -339,8 +357,11 @@ def holiday_window_demand(
             F.when(day < start, "before").when(day > end, "after").otherwise("holiday").alias("period"),
         )
     )
+    # only days inside a window are summed, so the rest of the history is left out before the sum
+    days = checked_broadcast(windows.select("order_date_key").distinct())
+    sold = fact_order_items.join(days, "order_date_key", "left_semi")
     # days x categories: both the completeness test and the sums read it
-    sales = pinned(category_daily_sales(fact_order_items, dim_product))
+    sales = pinned(category_daily_sales(sold, dim_product))
     sold_days = sales.select("order_date_key").distinct()
     complete = (
         windows.join(sold_days, "order_date_key")
@@ -413,6 +434,11 @@ def rfm_detail(rfm: DataFrame, dim_customer: DataFrame) -> DataFrame:
     )
 
 
+def rfm_scores(rfm: DataFrame) -> DataFrame:
+    """What the segment figures read of the scores; no customer dimension is needed for them."""
+    return rfm.select("customer_key", "customer_segment", F.col("monetary").alias("monetary_value"))
+
+
 def rfm_segment_filtered(detail: DataFrame, segments: list[str]) -> DataFrame:
     """Revenue, customers and average of the chosen segments, smallest revenue first."""
     return (

@@ -337,8 +337,11 @@ def holiday_product_category_mix(
     positive("top_n", top_n)
     orders = orders_by_day_type(fact_orders, dim_date, settings).select("order_key", "day_type")
     categories = dim_product.select("product_key", "product_category_name_english")
+    # an item carries its order's date; a view cut to fewer columns may lack it
+    dated = "order_date_key" in fact_order_items.columns
+    items = in_report_window(fact_order_items, settings) if dated else fact_order_items
     sales = (
-        fact_order_items.join(orders, "order_key")
+        items.join(orders, "order_key")
         .join(categories, "product_key", "left")
         .withColumn("product_category", F.coalesce("product_category_name_english", F.lit("Unknown")))
     )

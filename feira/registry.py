@@ -160,6 +160,10 @@ class World:
     def rfm_detail(self) -> DataFrame:
         return drilldown.rfm_detail(self.cat.fct_customer_rfm, self.cat.dim_customer)
 
+    @cached_property
+    def rfm_scores(self) -> DataFrame:
+        return drilldown.rfm_scores(self.cat.fct_customer_rfm)
+
     @cached_property
     def rfm_report(self) -> DataFrame:
         return reports.rfm_analysis(self.cat.fct_customer_rfm, self.cat.dim_customer, SETTINGS.top_customers)
@@ -282,6 +286,37 @@ def marts_monthly_sales_trend(w: World) -> DataFrame:
     )
 
 
+def _published(w: World, *names: str):
+    return publish_marts(w.cat, new_folder(w.spark, "marts"), names=names)
+
+
+def marts_order_vs_aov(w: World) -> DataFrame:
+    """The spike months over published tables: both facts open the folders of those months only."""
+    tables = _published(w, "dim_date", "fact_orders", "fact_order_items")
+    return drilldown.order_vs_aov(tables.fact_orders(), tables.fact_order_items(), tables.dim_date, SETTINGS)
+
+
+def marts_holiday_impact_all_orders(w: World) -> DataFrame:
+    tables = _published(w, "dim_date", "fact_orders", "fact_order_items")
+    return drilldown.holiday_impact_all_orders(
+        tables.fact_orders(), tables.fact_order_items(), tables.dim_date, SETTINGS
+    )
+
+
+def marts_category_sales(w: World) -> DataFrame:
+    tables = _published(w, "dim_product", "fact_orders", "fact_order_items")
+    return drilldown.category_sales(
+        tables.fact_order_items(), tables.fact_orders(), tables.dim_product, SETTINGS.compare_years[0]
+    )
+
+
+def marts_holiday_window_demand(w: World) -> DataFrame:
+    tables = _published(w, "dim_product", "fact_order_items")
+    return drilldown.holiday_window_demand(
+        w.cat.stg_holiday_calendar, tables.fact_order_items(), tables.dim_product, SETTINGS.pad_days
+    )
+
+
 def sink_raw_load(w: World) -> DataFrame:
     root = new_folder(w.spark, "raw")
     paths = sinks.load_raw(w.raw.entities(), root)
@@ -323,6 +358,10 @@ QUERIES: dict[str, Callable[[World], DataFrame]] = {
     "src_layer_frames": src_layer_frames,
     "sink_mart": sink_mart,
     "marts_monthly_sales_trend": marts_monthly_sales_trend,
+    "marts_order_vs_aov": marts_order_vs_aov,
+    "marts_holiday_impact_all_orders": marts_holiday_impact_all_orders,
+    "marts_category_sales": marts_category_sales,
+    "marts_holiday_window_demand": marts_holiday_window_demand,
     "sink_raw_load": sink_raw_load,
     "sink_report": sink_report,
 }
@@ -419,9 +458,9 @@ QUERIES |= {
         drilldown.biggest_holiday_changes(w.window_demand, SETTINGS.holiday_years[-1])
     ).select("holiday_category", "holiday_change_value"),
     "rfm_detail": lambda w: w.rfm_detail,
-    "rfm_segment_filtered": lambda w: drilldown.rfm_segment_filtered(w.rfm_detail, SEGMENTS),
-    "rfm_kpis": lambda w: drilldown.rfm_kpis(w.rfm_detail),
-    "rfm_segment_list": lambda w: drilldown.rfm_segment_list(w.rfm_detail),
+    "rfm_segment_filtered": lambda w: drilldown.rfm_segment_filtered(w.rfm_scores, SEGMENTS),
+    "rfm_kpis": lambda w: drilldown.rfm_kpis(w.rfm_scores),
+    "rfm_segment_list": lambda w: drilldown.rfm_segment_list(w.rfm_scores),
     "top_customers": lambda w: drilldown.top_customers(w.rfm_detail, 10, "monetary_value"),
     "top_customers_by_frequency": lambda w: drilldown.top_customers(w.rfm_detail, 10, "frequency"),
     "top_customers_by_recency": lambda w: drilldown.top_customers(w.rfm_detail, 10, "recency_days"),

@@ -16,6 +16,7 @@ def plan(df) -> str:
 # queries that write and read tables or files, or run dozens of plans
 LARGE = {
     "src_csv_entities", "sink_mart", "sink_raw_load", "sink_report", "marts_monthly_sales_trend", "report_contract",
+    "marts_order_vs_aov", "marts_holiday_impact_all_orders", "marts_category_sales", "marts_holiday_window_demand",
     "dq_not_null", "dq_unique", "dq_relationships",
 }
 NAMES = sorted(set(__spark_entry__.queries()) - LARGE)
@@ -42,6 +43,21 @@ def test_window_reaches_the_scan_columns(spark, folder):
     assert all("l_quantity" not in s and "o_totalprice" not in s for s in schemas)
 
 
+@pytest.mark.parametrize("name", [
+    "marts_monthly_sales_trend", "marts_order_vs_aov", "marts_holiday_impact_all_orders", "marts_category_sales",
+])
+def test_windows_open_month_folders_of_both_facts(spark, folder, name):
+    text = plan(__spark_entry__.queries()[name](spark, folder)).split("Initial Plan")[-1]
+    facts = [line for line in text.splitlines() if "FileScan" in line and "order_key#" in line]
+    assert len(facts) == 2
+    assert all("month_key" in re.search(r"PartitionFilters: \[([^\]]*)", line)[1] for line in facts)
+
+
+def test_segment_figures_leave_out_the_customer_dimension(spark, folder):
+    w = World(spark, folder)
+    assert "first_order" not in plan(w.rfm_scores) and "customer_unique_id" not in plan(w.rfm_scores)
+
+
 def test_narrow_facts_skip_lookups(spark, folder):
     w = World(spark, folder)
     assert "supplier.parquet" not in plan(w.money) and "part.parquet" not in plan(w.money)
