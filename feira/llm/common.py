@@ -11,8 +11,12 @@ from feira.plans.workspace import new_folder
 
 
 def sized_batches(spark: SparkSession) -> SparkSession:
-    """Whole texts travel to Python a thousand at a time, so that a worker's memory stays small."""
+    """Whole texts travel to Python a thousand at a time, so that a worker's memory stays small.
+
+    A finished query's shuffle files go at once: its result is a stored table by then.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

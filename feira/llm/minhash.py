@@ -8,6 +8,7 @@ Every distinct shingle set gets a signature of ``COORDINATES`` minima and is pos
 * Skip: a posting list first meets its smallest member only (a join, no group is gathered). Lists whose
   members are then one component are skipped. The others count collisions block against block, leaving out pairs
   that are already connected; blocks have at most ``BLOCK`` members, so no list is too long for a task.
+* Merge: a pair that shares several lists is counted in the first of them only.
 
 Candidates are confirmed on their full shingle sets in whole numbers, then connected. At similarity 0.8 a pair misses
 the match threshold with a probability of about one in a million, less above it.
@@ -22,32 +23,38 @@ Defined results
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.llm.common import stored
+from feira.llm.common import buckets_for, stored, total_of, version
 from feira.llm.components import components
 from feira.llm.words import groups, shingle_sets
 
 COORDINATES = 32
 MATCHES = 14
 BLOCK = 512
+ROWS_TOGETHER = 30_000
+PAIRS_TOGETHER = 1 << 17
 _DRAW = np.random.default_rng(5)
 _MASKS = _DRAW.integers(0, 2**63, COORDINATES, dtype=np.int64).astype(np.uint64)
 _FACTORS = _DRAW.integers(0, 2**63, COORDINATES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def signature(keys: np.ndarray) -> np.ndarray:
-    """One minimum per coordinate, 32 bits each."""
-    out = np.empty(COORDINATES, dtype="<u4")
-    for c in range(COORDINATES):
-        x = (keys ^ _MASKS[c]) * _FACTORS[c]
-        x = (x ^ (x >> np.uint64(32))) * _FACTORS[c]
-        out[c] = (x >> np.uint64(32)).min()
+def signature_rows(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of minima per set, 32 bits per coordinate; zeros for empty sets."""
+    out = np.zeros((len(sets), COORDINATES), dtype="<u4")
+    full = [k for k, s in enumerate(sets) if s.size]
+    if full:
+        keys = np.concatenate([sets[k] for k in full])
+        begins = np.cumsum([0, *[sets[k].size for k in full[:-1]]])
+        for c in range(COORDINATES):
+            x = (keys ^ _MASKS[c]) * _FACTORS[c]
+            x = (x ^ (x >> np.uint64(32))) * _FACTORS[c]
+            out[full, c] = np.minimum.reduceat(x, begins) >> np.uint64(32)
     return out
 
 
@@ -58,10 +65,11 @@ def signatures(docs: DataFrame, words: int, doc_id: str = "doc_id", text: str =
         for batch in batches:
             sizes, keys, sigs = [], [], []
             for _, held in groups(batch.column(1).to_pylist()):
-                for found in shingle_sets(held, words):
+                sets = shingle_sets(held, words)
+                for found, row in zip(sets, signature_rows(sets)):
                     sizes.append(found.size)
                     keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if found.size else None)
-                    sigs.append(signature(found).tobytes() if found.size else None)
+                    sigs.append(row.tobytes() if found.size else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
                 names=["doc", "n", "key", "sig"],
@@ -76,7 +84,10 @@ def _coordinate(sig: Column, c: Column) -> Column:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(c, value, key, rep, n, sig): each class under its rarest coordinates, where it meets others at all."""
+    """(c, value, key, rep, n, lists): each class under its rarest coordinates, where it meets others at all.
+
+    ``lists`` has a bit for every coordinate under which the class is posted.
+    """
     tokens = classes.select("key", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda c: _coordinate(F.col("sig"), c)
     )).alias("c", "value"))
@@ -90,9 +101,9 @@ def postings(classes: DataFrame) -> DataFrame:
         ranked.withColumn("nth", F.row_number().over(rare))
         .withColumn("shared", F.count("*").over(own))
         .filter(F.col("nth") + (COORDINATES - F.col("shared")) <= prefix)
-        .select("c", "value", "key")
+        .select("c", "value", "key", F.bit_or(F.expr("shiftleft(1L, c)")).over(own).alias("lists"))
     )
-    return posted.join(classes.select("key", "rep", "n", "sig"), "key")
+    return posted.join(classes.select("key", "rep", "n"), "key")
 
 
 def _matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,51 +120,83 @@ def _size_fits(a: Column, b: Column, share: int) -> Column:
     return (F.least(a, b) * 100) >= (F.greatest(a, b) * share)
 
 
-def leader_candidates(posted: DataFrame, share: int) -> DataFrame:
+def leader_candidates(posted: DataFrame, classes: DataFrame, share: int) -> DataFrame:
     """(ka, kb): every list's smallest member with its other members, where signatures match."""
-    leaders = posted.groupBy("c", "value").agg(F.min(F.struct("rep", "key", "n", "sig")).alias("l"))
+    leaders = posted.groupBy("c", "value").agg(F.min(F.struct("rep", "key", "n")).alias("l"))
     pairs = (
         posted.join(leaders, ["c", "value"])
         .filter((F.col("key") != F.col("l.key")) & _size_fits(F.col("n"), F.col("l.n"), share))
-        .select(F.col("l.key").alias("ka"), F.col("key").alias("kb"), F.col("l.sig").alias("sa"), F.col("sig").alias("sb"))
+        .select(F.col("l.key").alias("ka"), F.col("key").alias("kb"))
+        .distinct()
     )
-    return pairs.mapInArrow(_matching, "ka binary, kb binary").distinct()
+    signed = pairs.join(classes.select(F.col("key").alias("ka"), F.col("sig").alias("sa")), "ka").join(
+        classes.select(F.col("key").alias("kb"), F.col("sig").alias("sb")), "kb"
+    )
+    return signed.select("ka", "kb", "sa", "sb").mapInArrow(_matching, "ka binary, kb binary")
+
 
+def _collisions(share: int) -> Callable[[pa.Table], pa.Table]:
+    """Lists, or pairs of their blocks, to the pairs whose signatures match; each pair in its first common list."""
 
-def block_candidates(posted: DataFrame, share: int) -> DataFrame:
-    """(ka, kb): pairs of one list that are not connected yet (column ``comp``), block against block."""
-    mixed = (
+    def count(group: pa.Table) -> pa.Table:
+        column = {name: group.column(name).to_numpy() for name in ("c", "i", "j", "own", "comp", "n", "lists")}
+        value = np.frombuffer(b"".join(group.column("value").to_pylist()), dtype="<u4")
+        order = np.lexsort((column["j"], column["i"], value, column["c"]))
+        c, i, j, own, comp, n, lists = (column[name][order] for name in column)
+        value = value[order]
+        key = group.column("key").take(pa.array(order)).combine_chunks()
+        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u4").reshape(-1, COORDINATES)[order]
+        posted = (lists[:, None] >> np.arange(COORDINATES)) & 1 == 1
+        opens = np.ones(c.size, dtype=bool)
+        opens[1:] = (c[1:] != c[:-1]) | (value[1:] != value[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        edges = np.concatenate([np.flatnonzero(opens), [c.size]])
+        # every row meets the rows behind it in its list, as many together as memory allows
+        behind = np.repeat(edges[1:], np.diff(edges)) - np.arange(c.size) - 1
+        reach = np.cumsum(behind)
+        found, low = [], 0
+        while low < c.size:
+            high = max(low + 1, int(np.searchsorted(reach, reach[low] - behind[low] + PAIRS_TOGETHER, side="right")))
+            some = behind[low:high]
+            a = np.repeat(np.arange(low, high), some)
+            b = a + 1 + np.arange(a.size) - np.repeat(np.cumsum(some) - some, some)
+            low = high
+            # inside a block all pairs; between blocks only across
+            open_ = (comp[a] != comp[b]) & ((i[a] == j[a]) | (own[a] != own[b]))
+            open_ &= np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * share
+            a, b = a[open_], b[open_]
+            equal = sig[a] == sig[b]
+            enough = equal.sum(axis=1) >= MATCHES
+            a, b, equal = a[enough], b[enough], equal[enough]
+            here = (equal & posted[a] & posted[b]).argmax(axis=1) == c[a]
+            found.append((a[here], b[here]))
+        ka, kb = (np.concatenate(side) for side in zip(*found))
+        return pa.table({"ka": key.take(pa.array(ka)), "kb": key.take(pa.array(kb))})
+
+    return count
+
+
+def block_candidates(posted: DataFrame, classes: DataFrame, share: int) -> DataFrame:
+    """(ka, kb): pairs of one list that are not connected yet (column ``comp``), block against block, each once."""
+    mixed = stored(
         posted.groupBy("c", "value")
         .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"))
         .filter("low < high")
-        .select("c", "value", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+        .select("c", "value", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")),
+        "lists",
     )
-    rows = posted.join(mixed, ["c", "value"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    dealt = rows.select(
-        "c", "value", "key", "comp", "n", "sig", "own",
+    # several lists share a task's call
+    parts = buckets_for(total_of(mixed, F.col("m") * F.col("blocks")), ROWS_TOGETHER)
+    rows = posted.join(mixed.drop("m"), ["c", "value"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = rows.join(classes.select("key", "sig"), "key").select(
+        "c", "value", "key", "comp", "n", "sig", "lists", "own",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"),
     ).select(
-        "c", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "comp", "n", "sig"
+        "c", "value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "own", "key", "comp", "n", "sig", "lists",
     )
-
-    def count(group: pa.Table) -> pa.Table:
-        key, comp, n = group.column("key").to_pylist(), group.column("comp").to_numpy(), group.column("n").to_numpy()
-        own = group.column("own").to_numpy()
-        one_block = group.column("i")[0].as_py() == group.column("j")[0].as_py()
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
-        ka, kb = [], []
-        for x in range(len(key)):
-            # inside a block each pair once; between blocks only across
-            rest = np.arange(x + 1, len(key)) if one_block else np.flatnonzero(own > own[x])
-            rest = rest[(comp[rest] != comp[x])]
-            rest = rest[np.minimum(n[rest], n[x]) * 100 >= np.maximum(n[rest], n[x]) * share]
-            for y in rest[(sig[rest] == sig[x]).sum(axis=1) >= MATCHES].tolist():
-                ka.append(key[x])
-                kb.append(key[y])
-        return pa.table({"ka": pa.array(ka, pa.binary()), "kb": pa.array(kb, pa.binary())})
-
-    found = dealt.groupBy("c", "value", "i", "j").applyInArrow(count, "ka binary, kb binary")
-    return found.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb")).distinct()
+    together = F.pmod(F.xxhash64("c", "value", "i", "j"), F.lit(parts)).cast("int")
+    found = dealt.withColumn("part", together).groupBy("part").applyInArrow(_collisions(share), "ka binary, kb binary")
+    return found.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -175,22 +218,27 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
-    """(key, keys): the full shingle sets of the documents ``wanted`` (doc)."""
+    """(key, keys): the full shingle sets ``wanted`` (doc, key). Texts travel once, sets not at all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, held in groups(batch.column(0).to_pylist()):
-                found = [s.tobytes() for s in shingle_sets(held, words)]
+            asked = batch.column(1).to_pylist()
+            for at, held in groups(batch.column(0).to_pylist()):
+                raw = [s.tobytes() for s in shingle_sets(held, words)]
+                # an id may have other texts as well
+                found = [
+                    (key, s) for key, s in zip(asked[at : at + len(raw)], raw)
+                    if hashlib.blake2b(s, digest_size=16).digest() == key
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([hashlib.blake2b(s, digest_size=16).digest() for s in found], pa.binary()),
-                        pa.array(found, pa.binary()),
-                    ],
+                    [pa.array([k for k, _ in found], pa.binary()), pa.array([s for _, s in found], pa.binary())],
                     names=["key", "keys"],
                 )
 
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text")).join(wanted, "doc")
-    return rows.select("text").mapInArrow(run, "key binary, keys binary")
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc"), F.col(text).alias("text")).withColumn("ver", version(F.col("text")))
+    # repeated rows once; both steps are dealt by the id
+    once = rows.join(wanted, "doc").groupBy("doc", "key", "ver").agg(F.first("text").alias("text"))
+    return once.select("text", "key").mapInArrow(run, "key binary, keys binary")
 
 
 def near_duplicates(
@@ -209,12 +257,7 @@ def near_duplicates(
         "classes",
     )
     posted = stored(postings(classes), "postings")
-    sets = stored(
-        _sets(docs, posted.select(F.col("rep").alias("doc")).distinct(), words, doc_id, text)
-        .join(posted.select("key").distinct(), "key", "left_semi")
-        .dropDuplicates(["key"]),
-        "sets",
-    )
+    sets = stored(_sets(docs, posted.select(F.col("rep").alias("doc"), "key").distinct(), words, doc_id, text), "sets")
 
     def named(links: DataFrame) -> DataFrame:
         ids = classes.select("key", "rep")
@@ -229,7 +272,7 @@ def near_duplicates(
     same_id = of_id.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
     spread = of_id.join(same_id.select("doc", "a"), "doc").select("a", F.col("rep").alias("b"))
 
-    first = named(_confirmed(leader_candidates(posted, share), sets, share)).unionByName(spread)
+    first = named(_confirmed(leader_candidates(posted, classes, share), sets, share)).unionByName(spread)
     first = stored(first, "links")
     joined = components(first)
     labelled = (
@@ -237,8 +280,10 @@ def near_duplicates(
         .withColumn("comp", F.coalesce("component", "rep"))
         .drop("component")
     )
-    second = named(_confirmed(block_candidates(labelled, share), sets, share))
-    linked = components(first.unionByName(second))
+    second = named(_confirmed(block_candidates(labelled, classes, share), sets, share))
+    # the first links go on as stars
+    stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
+    linked = components(stars.unionByName(second))
     component = (
         classes.select("key", "rep")
         .join(linked.withColumnRenamed("node", "rep"), "rep", "left")
