@@ -7,7 +7,8 @@ Every distinct shingle set gets a signature of ``COORDINATES`` minima and is pos
   posted only under its rarest ones; a set with enough values of its own is posted nowhere.
 * Skip: a posting list first meets its smallest member only (a join, no group is gathered). Lists whose
   members are then one component are skipped. The others count collisions block against block, leaving out pairs
-  that are already connected; blocks have at most ``BLOCK`` members, so no list is too long for a task.
+  that are already connected; blocks have about ``BLOCK`` members at most, fewer of long texts, so no list is too long
+  for a task. A member that has pairs to confirm goes on once per list and block, with its set; pairs are not written.
 * Merge: a pair that shares several lists is counted in the first of them only.
 
 Candidates are confirmed on their full shingle sets in whole numbers, then connected. At similarity 0.8 a pair misses
@@ -36,8 +37,12 @@ from feira.llm.words import groups, shingle_sets
 
 COORDINATES = 32
 MATCHES = 14
-BLOCK = 512
+BLOCK = 1024
+BLOCK_SHINGLES = 1 << 21
 ROWS_TOGETHER = 30_000
+SET_BYTES_TOGETHER = 1 << 23
+PARTNERS_TOGETHER = 256
+MEMBER = ["c", "value", "i", "j", "own", "key", "comp", "n", "sig", "lists"]
 PAIRS_TOGETHER = 1 << 17
 _DRAW = np.random.default_rng(5)
 _MASKS = _DRAW.integers(0, 2**63, COORDINATES, dtype=np.int64).astype(np.uint64)
@@ -135,25 +140,25 @@ def leader_candidates(posted: DataFrame, classes: DataFrame, share: int) -> Data
     return signed.select("ka", "kb", "sa", "sb").mapInArrow(_matching, "ka binary, kb binary")
 
 
-def _collisions(share: int) -> Callable[[pa.Table], pa.Table]:
-    """Lists, or pairs of their blocks, to the pairs whose signatures match; each pair in its first common list."""
-
-    def count(group: pa.Table) -> pa.Table:
-        column = {name: group.column(name).to_numpy() for name in ("c", "i", "j", "own", "comp", "n", "lists")}
-        value = np.frombuffer(b"".join(group.column("value").to_pylist()), dtype="<u4")
-        order = np.lexsort((column["j"], column["i"], value, column["c"]))
-        c, i, j, own, comp, n, lists = (column[name][order] for name in column)
-        value = value[order]
-        key = group.column("key").take(pa.array(order)).combine_chunks()
-        sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u4").reshape(-1, COORDINATES)[order]
-        posted = (lists[:, None] >> np.arange(COORDINATES)) & 1 == 1
-        opens = np.ones(c.size, dtype=bool)
-        opens[1:] = (c[1:] != c[:-1]) | (value[1:] != value[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-        edges = np.concatenate([np.flatnonzero(opens), [c.size]])
-        # every row meets the rows behind it in its list, as many together as memory allows
-        behind = np.repeat(edges[1:], np.diff(edges)) - np.arange(c.size) - 1
-        reach = np.cumsum(behind)
-        found, low = [], 0
+def _open_pairs(group: pa.Table, share: int) -> tuple[pa.Table, Iterator[tuple[np.ndarray, np.ndarray]]]:
+    """``group`` by list and block pair, and the row numbers of its pairs that are not connected, whose sizes fit and
+    whose signatures match; each pair in its first common list, as many together as memory allows."""
+    value = np.frombuffer(b"".join(group.column("value").to_pylist()), dtype="<u4")
+    c, i, j = (group.column(name).to_numpy() for name in ("c", "i", "j"))
+    order = np.lexsort((j, i, value, c))
+    group, value = group.take(pa.array(order)), value[order]
+    c, i, j, own, comp, n, lists = (group.column(name).to_numpy() for name in ("c", "i", "j", "own", "comp", "n", "lists"))
+    sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), dtype="<u4").reshape(-1, COORDINATES)
+    posted = (lists[:, None] >> np.arange(COORDINATES)) & 1 == 1
+    opens = np.ones(c.size, dtype=bool)
+    opens[1:] = (c[1:] != c[:-1]) | (value[1:] != value[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    edges = np.concatenate([np.flatnonzero(opens), [c.size]])
+    # every row meets the rows behind it in its list
+    behind = np.repeat(edges[1:], np.diff(edges)) - np.arange(c.size) - 1
+    reach = np.cumsum(behind)
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        low = 0
         while low < c.size:
             high = max(low + 1, int(np.searchsorted(reach, reach[low] - behind[low] + PAIRS_TOGETHER, side="right")))
             some = behind[low:high]
@@ -168,20 +173,32 @@ def _collisions(share: int) -> Callable[[pa.Table], pa.Table]:
             enough = equal.sum(axis=1) >= MATCHES
             a, b, equal = a[enough], b[enough], equal[enough]
             here = (equal & posted[a] & posted[b]).argmax(axis=1) == c[a]
-            found.append((a[here], b[here]))
-        ka, kb = (np.concatenate(side) for side in zip(*found))
-        return pa.table({"ka": key.take(pa.array(ka)), "kb": key.take(pa.array(kb))})
+            yield a[here], b[here]
+
+    return group, pairs()
+
+
+def _collisions(share: int) -> Callable[[pa.Table], pa.Table]:
+    """Lists, or pairs of their blocks, to those of their members that have a pair to confirm there."""
+
+    def count(group: pa.Table) -> pa.Table:
+        group, pairs = _open_pairs(group.select(MEMBER), share)
+        met = np.zeros(group.num_rows, dtype=bool)
+        for a, b in pairs:
+            met[a] = met[b] = True
+        return group.filter(pa.array(met))
 
     return count
 
 
 def block_candidates(posted: DataFrame, classes: DataFrame, share: int) -> DataFrame:
-    """(ka, kb): pairs of one list that are not connected yet (column ``comp``), block against block, each once."""
+    """Members (``MEMBER``) of lists, dealt as pairs of blocks, that have pairs to confirm which are not connected yet
+    (column ``comp``). A list of m members gives at most m rows for each of its blocks, however many pairs it holds."""
     mixed = stored(
         posted.groupBy("c", "value")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"))
+        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m"), F.sum("n").alias("size"))
         .filter("low < high")
-        .select("c", "value", "m", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")),
+        .select("c", "value", "m", F.ceil(F.greatest(F.col("m") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")),
         "lists",
     )
     # several lists share a task's call
@@ -195,8 +212,56 @@ def block_candidates(posted: DataFrame, classes: DataFrame, share: int) -> DataF
         "own", "key", "comp", "n", "sig", "lists",
     )
     together = F.pmod(F.xxhash64("c", "value", "i", "j"), F.lit(parts)).cast("int")
-    found = dealt.withColumn("part", together).groupBy("part").applyInArrow(_collisions(share), "ka binary, kb binary")
-    return found.select(F.least("ka", "kb").alias("ka"), F.greatest("ka", "kb").alias("kb"))
+    return dealt.withColumn("part", together).groupBy("part").applyInArrow(_collisions(share), dealt.select(MEMBER).schema)
+
+
+def _links(share: int) -> Callable[[pa.Table], pa.Table]:
+    """Members with their full sets to confirmed links; pairs that a link found here has connected are left out."""
+
+    def confirm(group: pa.Table) -> pa.Table:
+        group, pairs = _open_pairs(group, share)
+        key, comp = group.column("key").to_pylist(), group.column("comp").to_pylist()
+        sets = [np.frombuffer(s, dtype="<u8") for s in group.column("keys").to_pylist()]
+        above: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while x in above:
+                x = above[x]
+            return x
+
+        found: list[tuple[int, int]] = []
+        for a, b in pairs:
+            heads = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if a.size else a
+            for low, high in zip(heads.tolist(), [*heads[1:].tolist(), a.size]):
+                one = int(a[low])
+                mine = top(comp[one])
+                others = [k for k in b[low:high].tolist() if top(comp[k]) != mine]
+                # so many partners at once that their sets stay within memory
+                for at in range(0, len(others), PARTNERS_TOGETHER):
+                    some = others[at : at + PARTNERS_TOGETHER]
+                    sizes = np.array([sets[k].size for k in some])
+                    joined = np.concatenate([sets[k] for k in some])
+                    place = np.minimum(np.searchsorted(sets[one], joined), sets[one].size - 1)
+                    shared = np.add.reduceat(sets[one][place] == joined, np.cumsum(sizes) - sizes, dtype=np.int64)
+                    linked = 100 * shared >= share * (sizes + sets[one].size - shared)
+                    for k in np.flatnonzero(linked).tolist():
+                        x, y = top(comp[one]), top(comp[some[k]])
+                        if x != y:
+                            above[max(x, y)] = min(x, y)
+                            found.append((one, some[k]))
+        return pa.table({
+            "ka": pa.array([key[x] for x, _ in found], pa.binary()), "kb": pa.array([key[y] for _, y in found], pa.binary())
+        })
+
+    return confirm
+
+
+def block_links(members: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """(ka, kb): confirmed links among ``members``, enough of them to connect all that the links of a list connect."""
+    parts = buckets_for(total_of(members, F.col("n") * 8), SET_BYTES_TOGETHER)
+    together = F.pmod(F.xxhash64("c", "value", "i", "j"), F.lit(parts)).cast("int")
+    rows = members.join(sets, "key").withColumn("part", together)
+    return rows.groupBy("part").applyInArrow(_links(share), "ka binary, kb binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
@@ -257,7 +322,10 @@ def near_duplicates(
         "classes",
     )
     posted = stored(postings(classes), "postings")
-    sets = stored(_sets(docs, posted.select(F.col("rep").alias("doc"), "key").distinct(), words, doc_id, text), "sets")
+
+    def sets_of(keys: DataFrame, purpose: str) -> DataFrame:
+        wanted = keys.distinct().join(classes.select("key", F.col("rep").alias("doc")), "key")
+        return stored(_sets(docs, wanted, words, doc_id, text), purpose)
 
     def named(links: DataFrame) -> DataFrame:
         ids = classes.select("key", "rep")
@@ -272,7 +340,9 @@ def near_duplicates(
     same_id = of_id.groupBy("doc").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
     spread = of_id.join(same_id.select("doc", "a"), "doc").select("a", F.col("rep").alias("b"))
 
-    first = named(_confirmed(leader_candidates(posted, classes, share), sets, share)).unionByName(spread)
+    led = stored(leader_candidates(posted, classes, share), "led")
+    ends = led.select(F.col("ka").alias("key")).unionByName(led.select(F.col("kb").alias("key")))
+    first = named(_confirmed(led, sets_of(ends, "led-sets"), share)).unionByName(spread)
     first = stored(first, "links")
     joined = components(first)
     labelled = (
@@ -280,7 +350,8 @@ def near_duplicates(
         .withColumn("comp", F.coalesce("component", "rep"))
         .drop("component")
     )
-    second = named(_confirmed(block_candidates(labelled, classes, share), sets, share))
+    members = stored(block_candidates(labelled, classes, share), "members")
+    second = named(block_links(members, sets_of(members.select("key"), "member-sets"), share))
     # the first links go on as stars
     stars = joined.select(F.col("node").alias("a"), F.col("component").alias("b"))
     linked = components(stars.unionByName(second))

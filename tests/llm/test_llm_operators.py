@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from feira.llm import embedding_dedup, repeats, substring_dedup, suffix_dedup
+from feira.llm import embedding_dedup, minhash, repeats, substring_dedup, suffix_dedup
 from feira.llm.chat_format import format_chats, read_chats
 from feira.llm.common import sized_batches
 from feira.llm.decontaminate import contaminated
@@ -72,6 +72,26 @@ def test_near_duplicates_edges(spark):
     assert near_duplicates(docs(spark, [])).count() == 0
 
 
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    """Chains whose ends differ: one list's smallest member links with few, the rest meet block against block."""
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    draw = np.random.default_rng(6)
+    words = [f"v{k}" for k in draw.permutation(400)]
+    rows = [(100 * g + k, " ".join(words[130 * g + 4 * k : 130 * g + 4 * k + 80])) for g in range(2) for k in range(12)]
+    draw.shuffle(rows)
+    rows = [(int(d), t) for d, t in rows] + [(500, LONG), (501, " ".join([*WORDS[:30], *words[:30]]))]
+    sets = {d: set(zip(t.split(), t.split()[1:])) for d, t in rows}
+    first = {d: d for d in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    first[a] = min(first[a], first[b])
+    got = near_duplicates(docs(spark, rows), words=2).collect()
+    assert {r.doc_id: r.component_id for r in got} == first
+    assert len(set(first.values())) == 4
+
+
 def _covered(units, length):
     seen, out = {}, {}
     for i, u in units:
