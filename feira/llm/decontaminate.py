@@ -7,10 +7,13 @@ Texts become templates: words in lower case without punctuation around them, wit
 * names    words that begin with a capital and do not begin a sentence.
 
 Windows of eight template tokens of all documents are hash-joined with those of the benchmark. Matches of one
-document and item that lie on one diagonal (position minus position) are one alignment. A document is
-contaminated where an alignment covers at least half of the item's windows and its slots are
-consistent: along the alignment, every value of an item's slot always stands for one and the same value of the
-document. So a question with other numbers or names is caught, and text that merely has the same shape is not.
+document and item that lie on one diagonal (position minus position) side by side are a run. Runs that rise in both
+texts form a chain; between two of them the document may hold as many other words as the item has windows (32 at
+least), the item any number. So an inserted, dropped or replaced word parts a match in two runs of one chain. A document
+is contaminated where a chain covers at least half of the item's windows, or half of the words in them, or has a run of
+``RUN`` windows, and its slots are consistent: along the chain, every value of an item's slot always stands for one and
+the same value of the document. So a question with other numbers or names is caught, and text that merely has the same
+shape is not.
 
 Everything is DataFrame functions. The benchmark's windows are broadcast if they are counted to be few, else both
 sides are shuffled by the window's hash.
@@ -19,8 +22,9 @@ Defined results
 * NULL and empty texts, and items of fewer tokens than a window, match nothing; windows of which more than half are
   placeholders do not count.
 * A NULL id (of a document or an item) takes no part.
-* Rows that repeat an id with equal text count once; with different texts, the best alignment counts.
-* Among alignments of one document and item the one with most windows counts, then the first.
+* Rows that repeat an id with equal text count once; with different texts, the best chain counts.
+* Among consistent chains of one document and item the one with most windows counts, then the first. To choose from
+  are each diagonal alone and, for each run, the chain that ends there and covers most.
 * Only the named columns are read.
 """
 
@@ -34,6 +38,10 @@ from feira.plans.sizing import checked_broadcast
 
 WINDOW = 8
 COVERED = 0.5
+# 50 words in a row, however long the item is
+RUN = 43
+# words between two runs that a short item allows
+LEAST_GAP = 32
 # fixed values: units that may follow a number
 UNITS = [
     "%", "mm", "cm", "m", "km", "in", "ft", "mi", "inch", "inches", "foot", "feet", "yard", "yards", "mile", "miles",
@@ -96,30 +104,111 @@ def _mostly_slots(tokens: Column) -> Column:
 
 
 def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item, at, key, n_windows): the benchmark's windows that count."""
+    """(item, at, key, n_windows, n_words): the benchmark's windows that count, and how many words lie in them."""
     rows = items.select(F.col(item_id).alias("item"), template(F.col(text)).alias("tokens")).filter("item is not null")
     rows = with_window_keys(rows.filter(F.size("tokens") >= WINDOW))
     windows = rows.select("item", "tokens", F.posexplode_outer("keys").alias("at", "key")).filter("key is not null")
     windows = windows.filter(~_mostly_slots(F.slice("tokens", F.col("at") + 1, WINDOW))).select("item", "at", "key").distinct()
-    counts = windows.groupBy("item").agg(F.countDistinct("at").alias("n_windows"))
-    return windows.join(counts, "item")
+    counts = windows.groupBy("item").agg(F.collect_set("at").alias("ats"))
+    inside = F.array_distinct(F.flatten(F.transform("ats", lambda at: F.sequence(at, at + (WINDOW - 1)))))
+    return windows.join(counts.select("item", F.size("ats").alias("n_windows"), F.size(inside).alias("n_words")), "item")
 
 
-def alignments(
+def matched_runs(
     docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str
 ) -> DataFrame:
-    """(doc, ver, item, shift, n_matched, n_windows): diagonals that cover enough of an item, slots not yet checked."""
+    """(doc, ver, item, n_windows, n_words, shift, first, last): matched windows side by side on one diagonal."""
     wanted = checked_broadcast(stored(item_windows(items, item_id, item_text), "item-windows"), BROADCAST_ROWS)
     rows = docs.select(
         F.col(doc_id).alias("doc"), version(F.col(text)).alias("ver"), template(F.col(text)).alias("tokens")
     ).filter("doc is not null")
     windows = with_window_keys(rows).select("doc", "ver", F.posexplode_outer("keys").alias("pos", "key")).filter("key is not null")
-    met = windows.join(wanted, "key").select("doc", "ver", "item", "n_windows", "at", (F.col("pos") - F.col("at")).alias("shift"))
+    met = windows.join(wanted, "key").select(
+        "doc", "ver", "item", "n_windows", "n_words", "at", (F.col("pos") - F.col("at")).alias("shift")
+    )
+    nth = F.dense_rank().over(Window.partitionBy("doc", "ver", "item").orderBy("shift", "at"))
     return (
-        met.groupBy("doc", "ver", "item", "n_windows", "shift")
-        .agg(F.countDistinct("at").alias("n_matched"), F.min("at").alias("first"), F.max("at").alias("last"))
+        met.withColumn("run", F.col("at") - nth)
+        .groupBy("doc", "ver", "item", "n_windows", "n_words", "shift", "run")
+        .agg(F.min("at").alias("first"), F.max("at").alias("last"))
+        .drop("run")
+    )
+
+
+_CHAIN = "struct<words:int,n:int,few:int,last:int,end:int,parts:array<struct<shift:int,first:int,last:int>>>"
+
+
+def _enough(n: Column, words: Column, longest: Column) -> Column:
+    """Whether so many windows and words of an item, with a run of so many windows, are a leak."""
+    return (n >= F.col("n_windows") * COVERED) | (words >= F.col("n_words") * COVERED) | (longest >= RUN)
+
+
+def _chain(words: Column, n: Column, run: Column, parts: Column) -> Column:
+    return F.struct(
+        words.alias("words"), n.alias("n"), (-F.size(parts)).alias("few"),
+        run["last"].alias("last"), (run["last"] + run["shift"]).alias("end"), parts.alias("parts"),
+    )
+
+
+def _part(shift: Column, first: Column, last: Column) -> Column:
+    return F.struct(shift.alias("shift"), first.alias("first"), last.alias("last"))
+
+
+def _longer(chain: Column, run: Column) -> Column:
+    """``chain`` with the windows of ``run`` behind its own; on the same diagonal its last part grows."""
+    start = F.greatest(run["first"], chain["last"] + 1, chain["end"] + 1 - run["shift"])
+    tail = F.element_at(chain["parts"], -1)
+    same = tail["shift"] == run["shift"]
+    kept = F.when(same, F.slice(chain["parts"], 1, F.size(chain["parts"]) - 1)).otherwise(chain["parts"])
+    # a part begins behind the words of the one before
+    first = F.when(same, tail["first"]).otherwise(F.greatest(start, F.least(chain["last"] + WINDOW, run["last"])))
+    parts = F.concat(kept, F.array(_part(run["shift"], first, run["last"])))
+    words = F.least(run["last"] - start + WINDOW, run["last"] - chain["last"])
+    return _chain(chain["words"] + words, chain["n"] + run["last"] - start + 1, run, parts)
+
+
+def _chains(runs: Column) -> Column:
+    """For each of ``runs`` (sorted by their place in the document) the best chain that ends there, if it is enough.
+
+    ``open`` are the chains near enough to go on.
+    """
+    gap = F.greatest(F.col("n_windows"), F.lit(LEAST_GAP)) + WINDOW
+
+    def step(state: Column, run: Column) -> Column:
+        near = F.filter(state["open"], lambda c: run["pos"] - c["end"] <= gap)
+        fits = F.filter(near, lambda c: (run["last"] > c["last"]) & (run["last"] + run["shift"] > c["end"]))
+        n = run["last"] - run["first"] + 1
+        alone = _chain(n + (WINDOW - 1), n, run, F.array(_part(run["shift"], run["first"], run["last"])))
+        best = F.array(F.array_max(F.concat(F.transform(fits, lambda c: _longer(c, run)), F.array(alone))))
+        done = F.filter(best, lambda c: _enough(c["n"], c["words"], n))
+        return F.struct(F.concat(near, best).alias("open"), F.concat(state["done"], done).alias("done"))
+
+    none = F.array().cast(f"array<{_CHAIN}>")
+    return F.aggregate(runs, F.struct(none.alias("open"), none.alias("done")), step, lambda state: state["done"])
+
+
+def alignments(
+    docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str
+) -> DataFrame:
+    """(doc, ver, item, n_windows, n_matched, parts): diagonals and chains that cover enough, slots not yet checked."""
+    runs = stored(matched_runs(docs, items, doc_id, text, item_id, item_text), "matched-runs")
+    n = F.col("last") - F.col("first") + 1
+    pair = ["doc", "ver", "item", "n_windows", "n_words"]
+    diagonals = (
+        runs.groupBy(*pair, "shift")
+        .agg(F.sum(n).cast("int").alias("n_matched"), F.min("first").alias("first"), F.max("last").alias("last"))
         .filter(F.col("n_matched") >= F.col("n_windows") * COVERED)
+        .select("doc", "ver", "item", "n_windows", "n_matched", F.array(_part(F.col("shift"), F.col("first"), F.col("last"))).alias("parts"))
+    )
+    run = F.struct((F.col("first") + F.col("shift")).alias("pos"), "first", "last", "shift")
+    chains = (
+        runs.groupBy(*pair)
+        .agg(F.sum(n).alias("n"), F.sum(n + (WINDOW - 1)).alias("words"), F.max(n).alias("longest"), F.collect_list(run).alias("runs"))
+        .filter(_enough(F.col("n"), F.col("words"), F.col("longest")))
+        .withColumn("chain", F.explode(_chains(F.sort_array("runs"))))
+        .select("doc", "ver", "item", "n_windows", F.col("chain.n").alias("n_matched"), "chain.parts")
     )
+    return diagonals.unionByName(chains)
 
 
 def contaminated(
@@ -129,7 +218,7 @@ def contaminated(
     """One row per document and benchmark item that it holds: ids, ``n_matched`` of ``n_windows`` windows, ``n_slots``
     compared, and whether a slot's value was ``reparameterised``."""
     found = stored(alignments(docs, items, doc_id, text, item_id, item_text), "alignments")
-    asked = found.select("doc", "ver").distinct()
+    asked = checked_broadcast(found.select("doc", "ver").distinct(), BROADCAST_ROWS)
     doc_tokens = (
         docs.select(F.col(doc_id).alias("doc"), version(F.col(text)).alias("ver"), F.col(text).alias("t"))
         .join(asked, ["doc", "ver"])
@@ -138,20 +227,22 @@ def contaminated(
     )
     item_tokens = items.select(F.col(item_id).alias("item"), F.split(valued(F.col(item_text)), " ").alias("own"))
     both = found.join(item_tokens, "item").join(doc_tokens, ["doc", "ver"])
-    span = F.col("last") - F.col("first") + WINDOW
-    own = F.slice("own", F.col("first") + 1, span)
-    theirs = F.slice("theirs", F.col("first") + F.col("shift") + 1, span)
     marks = [NUMBER, NAME, UNIT]
-    # slots of one type at one place; elsewhere the alignment has a gap or the same word
-    slots = F.filter(
-        F.arrays_zip(own.alias("a"), theirs.alias("b")),
-        lambda z: F.substring(z["a"], 1, 1).isin(marks) & (F.substring(z["a"], 1, 1) == F.substring(z["b"], 1, 1)),
-    )
+
+    def slots_of(part: Column) -> Column:
+        span = part["last"] - part["first"] + WINDOW
+        own = F.slice("own", part["first"] + 1, span)
+        theirs = F.slice("theirs", part["first"] + part["shift"] + 1, span)
+        pairs = F.zip_with(own, theirs, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        # slots of one type at one place; elsewhere the part has a gap or the same word
+        return F.filter(pairs, lambda z: F.substring(z["a"], 1, 1).isin(marks) & (F.substring(z["a"], 1, 1) == F.substring(z["b"], 1, 1)))
+
+    slots = F.flatten(F.transform("parts", slots_of))
     checked = both.withColumn("slots", slots).withColumn(
         "consistent",
         F.size(F.array_distinct("slots")) == F.size(F.array_distinct(F.transform("slots", lambda z: z["a"]))),
     )
-    best = Window.partitionBy("doc", "item").orderBy(F.desc("n_matched"), "shift", "ver")
+    best = Window.partitionBy("doc", "item").orderBy(F.desc("n_matched"), F.col("parts")[0]["shift"], "ver", "parts")
     return (
         checked.filter("consistent")
         .withColumn("nth", F.row_number().over(best))
@@ -159,8 +250,8 @@ def contaminated(
         .select(
             F.col("doc").alias(doc_id),
             F.col("item").alias(item_id),
-            "n_matched",
-            "n_windows",
+            F.col("n_matched").cast("bigint").alias("n_matched"),
+            F.col("n_windows").cast("bigint").alias("n_windows"),
             F.size("slots").cast("bigint").alias("n_slots"),
             F.exists("slots", lambda z: z["a"] != z["b"]).alias("reparameterised"),
         )

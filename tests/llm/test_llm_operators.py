@@ -66,6 +66,38 @@ def test_decontamination_slots(spark):
     assert contaminated(docs(spark, []), items).count() == 0 and contaminated(docs(spark, rows), items.limit(0)).count() == 0
 
 
+def test_decontamination_of_edited_copies(spark):
+    words = [f"w{k}" for k in range(40)]
+    item = " ".join(words)
+    edits = {
+        1: [*words[:20], "new", *words[20:]],
+        2: [*words[:20], *words[21:]],
+        3: [*words[:13], *words[14:27], *words[28:]],
+        4: ["other" if k % 10 == 5 else w for k, w in enumerate(words)],
+        5: words[:24],
+        6: [*words[:20], *[f"x{k}" for k in range(30)], *words[20:]],
+    }
+    slots = "Tom has 3 apples and walked 5 km to school before he gave them all to his friend at noon and then walked 5 km home again with him"
+    rows = [(k, "Before it. " + " ".join(e) + " and after it") for k, e in edits.items()] + [
+        (10, " ".join(words[:17])),
+        (11, " ".join(words[20:] + words[:20])),
+        (12, slots.replace("all to", "both to").replace("5 km", "8 km")),
+        (13, slots.replace("all to", "both to").replace("5 km home", "8 km home")),
+        (14, " ".join(words[:16] + [f"x{k}" for k in range(300)] + words[24:])),
+    ]
+    items = spark.createDataFrame([(0, item), (1, slots)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): (r.n_matched, r.reparameterised) for r in contaminated(docs(spark, rows), items).collect()}
+    assert set(got) == {*((k, 0) for k in edits), (11, 0), (12, 1)}
+    assert got[1, 0] == (26, False) and got[4, 0][0] == 6 and got[12, 1][1]
+
+
+def test_decontamination_of_a_long_run(spark):
+    words = [f"w{k}" for k in range(400)]
+    items = spark.createDataFrame([(0, " ".join(words))], "item_id bigint, text string")
+    rows = [(1, " ".join(words[100:150])), (2, " ".join(words[100:149]))]
+    assert [r.doc_id for r in contaminated(docs(spark, rows), items).collect()] == [1]
+
+
 def test_near_duplicates_edges(spark):
     out = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs(spark, ROWS), words=2).collect()}
     assert out == {(1, 1, True), (2, 1, False), (3, 3, True), (4, 4, True), (None, None, True), (5, 5, True), (6, 1, False)}
