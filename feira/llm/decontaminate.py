@@ -6,7 +6,12 @@ Texts become templates: words in lower case without punctuation around them, wit
 * units    a word of ``UNITS`` behind or glued to a number,
 * names    words that begin with a capital and do not begin a sentence.
 
-Windows of eight template tokens of all documents are hash-joined with those of the benchmark. Matches of one
+A second, blind template does not ask for sentences or the case of units. Its windows have two keys, one with all
+capitalised words as names and one with none as names; a window matches if either key does. So a copy in capitals, in
+title case or without punctuation is found, and one whose names begin sentences. It counts where the first template
+finds nothing for a document and item.
+
+Of each template, windows of eight tokens of all documents are hash-joined with those of the benchmark. Matches of one
 document and item that lie on one diagonal (position minus position) side by side are a run. Runs that rise in both
 texts form a chain; between two of them the document may hold as many other words as the item has windows (32 at
 least), the item any number. So an inserted, dropped or replaced word parts a match in two runs of one chain. A document
@@ -56,6 +61,7 @@ UNITS = [
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 BROADCAST_ROWS = 300_000
 
+SENTENCES, BLIND = 0, 1
 #: (pattern, replacement) in order; neither Java nor RE2 needs look-around for them
 _UNIT_PATTERN = "(\x01[0-9.,]*[0-9]) ?(" + "|".join(sorted(UNITS, key=lambda u: (-len(u), u))) + ")([^\\p{L}\\p{N}]|$)"
 STEPS = [
@@ -70,32 +76,62 @@ STEPS = [
 # marks that part words wherever they stand; they become blanks before the last two steps
 PARTING = "!\"#$&()*+:;<=>?@[]^_`{|}~\\¡¿«»–—‘’“”„…·•"
 SLOT = "([\\x01-\\x03])[^ ]*"
+_BLIND_UNIT_PATTERN = _UNIT_PATTERN.replace(" ?(", " ?\x02?(", 1)
 
 
-def valued(text: Column) -> Column:
-    """Template tokens joined by single spaces; slots are a type mark and the value."""
-    out = F.concat(F.lit(" "), F.coalesce(text, F.lit("")))
-    for pattern, replacement in STEPS[:-2]:
-        out = F.regexp_replace(out, pattern, replacement)
-    out = F.translate(out, PARTING, " " * len(PARTING))
-    for pattern, replacement in STEPS[-2:]:
+def _replaced(out: Column, steps: list[tuple[str, str]]) -> Column:
+    for pattern, replacement in steps:
         out = F.regexp_replace(out, pattern, replacement)
-    return F.trim(F.lower(out))
+    return out
+
+
+def _parted(out: Column) -> Column:
+    return _replaced(F.translate(out, PARTING, " " * len(PARTING)), STEPS[-2:])
+
+
+def marked(text: Column) -> Column:
+    """What both templates begin with: single spaces, and capitalised words with a mark."""
+    return _replaced(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), STEPS[:2])
+
 
+def valued(start: Column) -> Column:
+    """Template tokens of ``marked`` text joined by single spaces; slots are a type mark and the value."""
+    return F.trim(F.lower(_parted(_replaced(start, STEPS[2:-2]))))
 
-def template(text: Column) -> Column:
+
+def blind_valued(start: Column) -> Column:
+    """The same for the blind template, with all capitalised words as names."""
+    numbers = F.lower(_replaced(start, [STEPS[3]]))
+    return F.trim(_parted(F.regexp_replace(numbers, _BLIND_UNIT_PATTERN, STEPS[4][1])))
+
+
+def _tokens(values: Column) -> Column:
     """Template tokens: slots are their type mark alone."""
-    return F.split(F.regexp_replace(valued(text), SLOT, "$1"), " ")
+    return F.split(F.regexp_replace(values, SLOT, "$1"), " ")
+
+
+def templates(rows: DataFrame, text: str) -> DataFrame:
+    """``rows`` once per way of writing their ``text``: ``kind`` of template, ``way``, and ``tokens`` instead of the text."""
+    others = [c for c in rows.columns if c != text]
+    starts = rows.select(*others, marked(F.col(text)).alias("start"))
+    values = starts.select(*others, valued(F.col("start")).alias("a"), blind_valued(F.col("start")).alias("b"))
+    ways = [(SENTENCES, F.col("a")), (BLIND, F.col("b")), (BLIND, F.translate("b", NAME, ""))]
+    structs = [
+        F.struct(F.lit(kind).alias("kind"), F.lit(way).alias("way"), _tokens(v).alias("tokens"))
+        for way, (kind, v) in enumerate(ways)
+    ]
+    return values.select(*others, F.explode_outer(F.array(*structs)).alias("t")).select(*others, "t.*")
 
 
 def with_window_keys(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``keys``: a 64-bit key per window of eight of their ``tokens``.
+    """``rows`` with ``keys``: a 64-bit key per window of eight of their ``tokens``, other ones for each ``way``.
 
     Explode the keys with the outer form: of the inner one the optimizer infers a filter that computes them again.
     """
-    starts = F.sequence(F.lit(1), F.size("tokens") - (WINDOW - 1))
-    keys = F.transform(starts, lambda at: F.xxhash64(F.slice("tokens", at, WINDOW)))
-    return rows.withColumn("keys", F.when(F.size("tokens") >= WINDOW, keys))
+    rows = rows.withColumn("hashes", F.transform("tokens", lambda t: F.xxhash64(t)))
+    starts = F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1))
+    keys = F.transform(starts, lambda at: F.xxhash64(F.col("way"), F.slice("hashes", at, WINDOW)))
+    return rows.withColumn("keys", F.when(F.size("hashes") >= WINDOW, keys)).drop("hashes")
 
 
 def _mostly_slots(tokens: Column) -> Column:
@@ -104,32 +140,32 @@ def _mostly_slots(tokens: Column) -> Column:
 
 
 def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
-    """(item, at, key, n_windows, n_words): the benchmark's windows that count, and how many words lie in them."""
-    rows = items.select(F.col(item_id).alias("item"), template(F.col(text)).alias("tokens")).filter("item is not null")
-    rows = with_window_keys(rows.filter(F.size("tokens") >= WINDOW))
-    windows = rows.select("item", "tokens", F.posexplode_outer("keys").alias("at", "key")).filter("key is not null")
-    windows = windows.filter(~_mostly_slots(F.slice("tokens", F.col("at") + 1, WINDOW))).select("item", "at", "key").distinct()
-    counts = windows.groupBy("item").agg(F.collect_set("at").alias("ats"))
+    """(item, kind, at, key, n_windows, n_words): the benchmark's windows that count, and how many words lie in them."""
+    rows = items.select(F.col(item_id).alias("item"), F.col(text).alias("text")).filter("item is not null")
+    rows = with_window_keys(templates(rows, "text").filter(F.size("tokens") >= WINDOW))
+    windows = rows.select("item", "kind", "tokens", F.posexplode_outer("keys").alias("at", "key")).filter("key is not null")
+    windows = windows.filter(~_mostly_slots(F.slice("tokens", F.col("at") + 1, WINDOW))).select("item", "kind", "at", "key").distinct()
+    counts = windows.groupBy("item", "kind").agg(F.collect_set("at").alias("ats"))
     inside = F.array_distinct(F.flatten(F.transform("ats", lambda at: F.sequence(at, at + (WINDOW - 1)))))
-    return windows.join(counts.select("item", F.size("ats").alias("n_windows"), F.size(inside).alias("n_words")), "item")
+    counts = counts.select("item", "kind", F.size("ats").alias("n_windows"), F.size(inside).alias("n_words"))
+    return windows.join(counts, ["item", "kind"])
 
 
 def matched_runs(
     docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str
 ) -> DataFrame:
-    """(doc, ver, item, n_windows, n_words, shift, first, last): matched windows side by side on one diagonal."""
+    """(doc, ver, item, kind, n_windows, n_words, shift, first, last): matched windows side by side on one diagonal."""
     wanted = checked_broadcast(stored(item_windows(items, item_id, item_text), "item-windows"), BROADCAST_ROWS)
-    rows = docs.select(
-        F.col(doc_id).alias("doc"), version(F.col(text)).alias("ver"), template(F.col(text)).alias("tokens")
-    ).filter("doc is not null")
+    rows = docs.select(F.col(doc_id).alias("doc"), version(F.col(text)).alias("ver"), F.col(text).alias("text"))
+    rows = templates(rows.filter("doc is not null"), "text")
     windows = with_window_keys(rows).select("doc", "ver", F.posexplode_outer("keys").alias("pos", "key")).filter("key is not null")
     met = windows.join(wanted, "key").select(
-        "doc", "ver", "item", "n_windows", "n_words", "at", (F.col("pos") - F.col("at")).alias("shift")
+        "doc", "ver", "item", "kind", "n_windows", "n_words", "at", (F.col("pos") - F.col("at")).alias("shift")
     )
-    nth = F.dense_rank().over(Window.partitionBy("doc", "ver", "item").orderBy("shift", "at"))
+    nth = F.dense_rank().over(Window.partitionBy("doc", "ver", "item", "kind").orderBy("shift", "at"))
     return (
         met.withColumn("run", F.col("at") - nth)
-        .groupBy("doc", "ver", "item", "n_windows", "n_words", "shift", "run")
+        .groupBy("doc", "ver", "item", "kind", "n_windows", "n_words", "shift", "run")
         .agg(F.min("at").alias("first"), F.max("at").alias("last"))
         .drop("run")
     )
@@ -190,15 +226,15 @@ def _chains(runs: Column) -> Column:
 def alignments(
     docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str, item_text: str
 ) -> DataFrame:
-    """(doc, ver, item, n_windows, n_matched, parts): diagonals and chains that cover enough, slots not yet checked."""
+    """(doc, ver, item, kind, n_windows, n_matched, parts): diagonals and chains that cover enough, slots not yet checked."""
     runs = stored(matched_runs(docs, items, doc_id, text, item_id, item_text), "matched-runs")
     n = F.col("last") - F.col("first") + 1
-    pair = ["doc", "ver", "item", "n_windows", "n_words"]
+    pair = ["doc", "ver", "item", "kind", "n_windows", "n_words"]
     diagonals = (
         runs.groupBy(*pair, "shift")
         .agg(F.sum(n).cast("int").alias("n_matched"), F.min("first").alias("first"), F.max("last").alias("last"))
         .filter(F.col("n_matched") >= F.col("n_windows") * COVERED)
-        .select("doc", "ver", "item", "n_windows", "n_matched", F.array(_part(F.col("shift"), F.col("first"), F.col("last"))).alias("parts"))
+        .select("doc", "ver", "item", "kind", "n_windows", "n_matched", F.array(_part(F.col("shift"), F.col("first"), F.col("last"))).alias("parts"))
     )
     run = F.struct((F.col("first") + F.col("shift")).alias("pos"), "first", "last", "shift")
     chains = (
@@ -206,11 +242,15 @@ def alignments(
         .agg(F.sum(n).alias("n"), F.sum(n + (WINDOW - 1)).alias("words"), F.max(n).alias("longest"), F.collect_list(run).alias("runs"))
         .filter(_enough(F.col("n"), F.col("words"), F.col("longest")))
         .withColumn("chain", F.explode(_chains(F.sort_array("runs"))))
-        .select("doc", "ver", "item", "n_windows", F.col("chain.n").alias("n_matched"), "chain.parts")
+        .select("doc", "ver", "item", "kind", "n_windows", F.col("chain.n").alias("n_matched"), "chain.parts")
     )
     return diagonals.unionByName(chains)
 
 
+def _values_by_kind(text: Column, side: str) -> list[Column]:
+    return [valued(marked(text)).alias(f"{side}_a"), blind_valued(marked(text)).alias(f"{side}_b")]
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text",
@@ -223,10 +263,12 @@ def contaminated(
         docs.select(F.col(doc_id).alias("doc"), version(F.col(text)).alias("ver"), F.col(text).alias("t"))
         .join(asked, ["doc", "ver"])
         .dropDuplicates(["doc", "ver"])
-        .select("doc", "ver", F.split(valued(F.col("t")), " ").alias("theirs"))
+        .select("doc", "ver", *_values_by_kind(F.col("t"), "theirs"))
     )
-    item_tokens = items.select(F.col(item_id).alias("item"), F.split(valued(F.col(item_text)), " ").alias("own"))
+    item_tokens = items.select(F.col(item_id).alias("item"), *_values_by_kind(F.col(item_text), "own"))
     both = found.join(item_tokens, "item").join(doc_tokens, ["doc", "ver"])
+    for side in ("own", "theirs"):
+        both = both.withColumn(side, F.split(F.when(F.col("kind") == BLIND, F.col(f"{side}_b")).otherwise(F.col(f"{side}_a")), " "))
     marks = [NUMBER, NAME, UNIT]
 
     def slots_of(part: Column) -> Column:
@@ -242,7 +284,7 @@ def contaminated(
         "consistent",
         F.size(F.array_distinct("slots")) == F.size(F.array_distinct(F.transform("slots", lambda z: z["a"]))),
     )
-    best = Window.partitionBy("doc", "item").orderBy(F.desc("n_matched"), F.col("parts")[0]["shift"], "ver", "parts")
+    best = Window.partitionBy("doc", "item").orderBy("kind", F.desc("n_matched"), F.col("parts")[0]["shift"], "ver", "parts")
     return (
         checked.filter("consistent")
         .withColumn("nth", F.row_number().over(best))

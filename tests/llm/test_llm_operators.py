@@ -91,6 +91,20 @@ def test_decontamination_of_edited_copies(spark):
     assert got[1, 0] == (26, False) and got[4, 0][0] == 6 and got[12, 1][1]
 
 
+def test_decontamination_ignores_case_and_punctuation(spark):
+    prose = "We walked to the old mill. There Tom sold 3 sacks, each of 5 kg of flour! Nobody saw the miller come back. He left at noon"
+    named = "Alice has 12 apples. Bob gives her 3 more apples. How many apples does Alice have?"
+    other = named.replace("Alice", "Carol").replace("12", "15").replace("Bob", "Dave").replace("3", "4")
+    rows = [
+        (1, prose.upper()), (2, prose.title()), (3, prose.translate(str.maketrans("", "", ".,!?"))), (4, prose.lower()), (5, other),
+        (6, other.upper()), (7, named.upper()), (9, prose),
+        (10, "THE OLD MILL WAS SOLD TO TOM AND NOBODY SAW THE MILLER COME BACK TO 3 SACKS OF FLOUR"),
+    ]
+    items = spark.createDataFrame([(0, prose), (1, named)], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.reparameterised for r in contaminated(docs(spark, rows), items).collect()}
+    assert got == {(1, 0): False, (2, 0): False, (3, 0): False, (4, 0): False, (5, 1): True, (6, 1): True, (7, 1): False, (9, 0): False}
+
+
 def test_decontamination_of_a_long_run(spark):
     words = [f"w{k}" for k in range(400)]
     items = spark.createDataFrame([(0, " ".join(words))], "item_id bigint, text string")
