@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feira.llm import decontaminate
 from feira.llm.chat_format import format_chats, read_chats
 from feira.llm.common import sized_batches, stored, table, version
+from feira.llm.conversation_repair import COUNTS, repaired_pieces
 from feira.llm.decontaminate import contaminated
 from feira.llm.embedding_dedup import near_vectors
 from feira.llm.line_dedup import line_dedup
@@ -255,3 +256,47 @@ QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_matched DESC,
 def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per vector: its links within the label, its component, and whether it is the component's smallest."""
     return near_vectors(table(spark, folder, "embeddings"))
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Rows with faults chosen by their conversation and turn: dropped, emptied, cut, repeated, given to the user."""
+    text = {c: F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")}
+    fault = F.crc32(F.concat(text["conv_id"], F.lit(":"), text["turn"])) % 20
+    return (
+        rows.withColumn("__fault", fault)
+        .filter("__fault != 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("__fault") == 4, "user").otherwise(text["role"]).alias("role"),
+            F.when(F.col("__fault") == 1, "")
+            .when(F.col("__fault") == 2, F.translate(text["text"], ".!?", ""))
+            .otherwise(text["text"])
+            .alias("text"),
+            F.explode(F.sequence(F.lit(1), F.when(F.col("__fault") == 3, 2).otherwise(1))).alias("__copy"),
+        )
+        .drop("__copy")
+    )
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Per conversation, after known damage: its faults, the cheapest repair, digest of the repaired turns."""
+    given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    whole, loose = repaired_pieces(_damaged(given))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    # the digest is over a conversation as a whole, so a conversation's lines meet in one row here
+    gathered = loose.groupBy("conv_id").agg(
+        *[F.max(c).alias(c) for c in (*COUNTS, "audit")],
+        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("piece", lines.alias("l")))), lambda x: x["l"])).alias("l"),
+    )
+    each = whole.select("conv_id", *COUNTS, "audit", lines.alias("l")).unionByName(gathered)
+    done = each.withColumn("repaired_sha256", F.sha2(F.array_join("l", "\n"), 256)).drop("l")
+    ids = given.select(F.col("conv_id").alias("__id")).distinct()
+    met = ids.join(done, F.col("__id").eqNullSafe(F.col("conv_id")), "left")
+    return met.select(
+        F.col("__id").alias("conv_id"),
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
