@@ -15,6 +15,7 @@ from feira.llm.decontaminate import contaminated
 from feira.llm.embedding_dedup import near_vectors
 from feira.llm.line_dedup import line_dedup
 from feira.llm.minhash import near_duplicates
+from feira.llm.order_minhash import fingerprints_with_next
 from feira.llm.packing import best_fit, cut_pieces
 from feira.llm.quality import THRESHOLD, held_out, train, with_quality
 from feira.llm.repeats import copies
@@ -300,3 +301,17 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
         F.coalesce("audit", F.lit("")).alias("audit"),
         F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
     )
+
+
+@query
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: its fingerprint, its edited text's, and their likeness; likeness to the next document's."""
+    found = fingerprints_with_next(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        *[F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")],
+        "near_edited",
+        "near_next",
+    )
