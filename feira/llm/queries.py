@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm import decontaminate
+from feira.llm.alignment import align_tokens
 from feira.llm.chat_format import format_chats, read_chats
 from feira.llm.common import sized_batches, stored, table, version
 from feira.llm.conversation_repair import COUNTS, repaired_pieces
@@ -22,7 +23,7 @@ from feira.llm.repeats import copies
 from feira.llm.substring_dedup import remove_repeated_words
 from feira.llm.suffix_dedup import remove_repeated_bytes
 from feira.llm.token_store import open_shards, read_documents, write_shards
-from feira.llm.tokens import BYTE_SPLIT, WORD_SPLIT, vocabulary
+from feira.llm.tokens import BYTE_SPLIT, WORD_SPLIT, model_file, vocabulary
 from feira.plans.workspace import new_folder
 from feira.session import prepare
 
@@ -315,3 +316,11 @@ def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: tokens of two tokenizers, groups that cover the same bytes, links and how common they are."""
+    docs = table(spark, folder, "documents")
+    found = align_tokens(docs, vocabulary("byte_bpe_50k.json"), model_file("piece_bpe_32k.model"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")

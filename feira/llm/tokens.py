@@ -108,3 +108,11 @@ def vocabulary(name: str) -> str:
 
     with open(public_tokenizers.path(name), encoding="utf-8") as file:
         return file.read()
+
+
+def model_file(name: str) -> bytes:
+    """Content of a public model file, to be handed to the operators."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as file:
+        return file.read()
