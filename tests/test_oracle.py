@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__
 import compare
 
-QUERIES = __spark_entry__.queries()
-ORACLE = __spark_entry__.oracle_sql()
+from feira import registry
+from oracle.selects import ORACLE
+
+QUERIES = registry.queries()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def con(folder):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

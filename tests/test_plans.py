@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__
+from feira import registry
 from feira.operators import rfm
 from feira.registry import RFM_INPUT, World
 
@@ -19,12 +19,12 @@ LARGE = {
     "marts_order_vs_aov", "marts_holiday_impact_all_orders", "marts_category_sales", "marts_holiday_window_demand",
     "dq_not_null", "dq_unique", "dq_relationships",
 }
-NAMES = sorted(set(__spark_entry__.queries()) - LARGE)
+NAMES = sorted(set(registry.queries()) - LARGE)
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_no_nested_loops_or_cross_joins(spark, folder, name):
-    text = plan(__spark_entry__.queries()[name](spark, folder))
+    text = plan(registry.queries()[name](spark, folder))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert not re.search(r"(BatchEvalPython|ArrowEvalPython|MapInPandas)", text)
@@ -38,7 +38,7 @@ def test_scores_need_no_global_sort(spark, folder):
 
 def test_window_reaches_the_scan_columns(spark, folder):
     """Reports read only the columns they use."""
-    text = plan(__spark_entry__.queries()["order_vs_aov"](spark, folder))
+    text = plan(registry.queries()["order_vs_aov"](spark, folder))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
     assert all("l_quantity" not in s and "o_totalprice" not in s for s in schemas)
 
@@ -47,7 +47,7 @@ def test_window_reaches_the_scan_columns(spark, folder):
     "marts_monthly_sales_trend", "marts_order_vs_aov", "marts_holiday_impact_all_orders", "marts_category_sales",
 ])
 def test_windows_open_month_folders_of_both_facts(spark, folder, name):
-    text = plan(__spark_entry__.queries()[name](spark, folder)).split("Initial Plan")[-1]
+    text = plan(registry.queries()[name](spark, folder)).split("Initial Plan")[-1]
     facts = [line for line in text.splitlines() if "FileScan" in line and "order_key#" in line]
     assert len(facts) == 2
     assert all("month_key" in re.search(r"PartitionFilters: \[([^\]]*)", line)[1] for line in facts)
@@ -65,13 +65,6 @@ def test_narrow_facts_skip_lookups(spark, folder):
     assert "lineitem" not in plan(w.spine)
 
 
-def test_numbering_uses_one_exchange_by_person(spark, folder):
-    """Both windows of the order history share one shuffle."""
-    text = plan(World(spark, folder).cat.int_customer_orders)
-    initial = text.split("Initial Plan")[-1]
-    assert initial.count("Exchange hashpartitioning(customer_unique_id") == 1
-
-
 def test_only_counted_frames_are_broadcast(spark):
     from feira.plans.sizing import checked_broadcast
 
