@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.domain import HOLIDAY, NON_HOLIDAY, REGIONS, UNKNOWN_REGION
 
-# Money fits 16 integer digits; scale 2 keeps sums exact and in any order equal.
-MONEY = "decimal(18,2)"
+# Money keeps nine decimals and 28 integer digits. One digit is left free: the sum of two amounts, and of
+# any number of them, is a TOTAL with the same scale, where decimal(38,9) on both sides would drop a decimal.
+MONEY = "decimal(37,9)"
+TOTAL = "decimal(38,9)"
 MEASURE = "decimal(18,9)"
 
 # Unicode white space, so a trailing carriage return is trimmed like a blank.
@@ -62,10 +66,25 @@ def year_quarter(year: Column, quarter: Column) -> Column:
     return F.concat(year.cast("string"), F.lit("-Q"), quarter.cast("string"))
 
 
+def minus(a: Column, b: Column) -> Column:
+    """Exact difference of two totals."""
+    return a.cast(MONEY) - b.cast(MONEY)
+
+
 def ratio(num: Column, den: Column, digits: int = 2, factor: int = 1) -> Column:
-    """``factor * num / den`` rounded half up on exact decimals; NULL when den is 0."""
-    top = num.cast("decimal(22,2)") * F.lit(factor)
-    return F.round(F.try_divide(top, den.cast("decimal(20,2)")), digits).cast(f"decimal(22,{digits})")
+    """``factor * num / den`` rounded half up, exactly; NULL when den is 0. ``den`` is a count or a total, not negative.
+
+    A decimal quotient would be rounded twice, so the whole part and the rest are taken apart:
+    both are exact, and only the rest is rounded.
+    """
+    below = F.when(den != 0, den).cast("decimal(31,9)")
+    size = F.abs(num.cast(TOTAL))
+    rest = size % below
+    whole = (minus(size, rest) / below).cast("decimal(32,0)")
+    double = (rest.cast("decimal(31,9)") * F.lit(2 * factor * 10**digits) + below).cast("decimal(38,9)")
+    part = F.call_function("div", double, (below * 2).cast("decimal(38,9)"))
+    scaled = part.cast("decimal(20,0)") * F.lit(Decimal(1).scaleb(-digits))
+    return (F.signum(num.cast(TOTAL)).cast("int") * (whole * factor + scaled)).cast(f"decimal(38,{digits})")
 
 
 def in_months(year: Column, month: Column, start: tuple[int, int], end: tuple[int, int]) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.domain import DAY_TYPES, REGIONS, UNKNOWN_REGION
-from feira.functions.columns import date_key, day_type, keep_months, ratio, region_of, year_month
+from feira.functions.columns import TOTAL, date_key, day_type, keep_months, minus, ratio, region_of, year_month
 from feira.operators import reports
 from feira.operators.reports import (
     MIX_COLUMNS,
@@ -124,7 +124,7 @@ def category_spike(
             of(base, "orders").alias("base_orders"),
             of(peak, "orders").alias("spike_orders"),
         )
-        .withColumn("gmv_increase", F.col("spike_gmv") - F.col("base_gmv"))
+        .withColumn("gmv_increase", minus(F.col("spike_gmv"), F.col("base_gmv")))
         .filter(F.col("gmv_increase") > 0)
     )
     all_growth = growth.agg(F.sum("gmv_increase")).scalar()
@@ -238,7 +238,7 @@ def compare_category_revenue(
     joined = earlier.withColumnRenamed("total_revenue", names[0]).join(
         later.withColumnRenamed("total_revenue", names[1]), CATEGORY, "full"
     )
-    zero = F.lit(0).cast("decimal(38,2)")
+    zero = F.lit(0).cast(TOTAL)
     return joined.select(CATEGORY, *[F.coalesce(n, zero).alias(n) for n in names])
 
 
@@ -246,7 +246,7 @@ def category_revenue_changes(
     comparison: DataFrame, years: tuple[int, int] = Settings().compare_years, n: int = 5
 ) -> DataFrame:
     """The largest increases followed by the largest decreases; they overlap in a short list."""
-    change = F.col(f"total_revenue_{years[1]}") - F.col(f"total_revenue_{years[0]}")
+    change = minus(F.col(f"total_revenue_{years[1]}"), F.col(f"total_revenue_{years[0]}"))
     changes = comparison.withColumn("revenue_change", change)
     up = changes.orderBy(F.desc("revenue_change"), CATEGORY).limit(n)
     down = changes.orderBy("revenue_change", CATEGORY).limit(n)
@@ -505,7 +505,7 @@ def pivot_quarter_daytype(quarterly: DataFrame, metric: str) -> DataFrame:
 def pivot_category_daytype(mix: DataFrame) -> DataFrame:
     """Category by day type matrix of value shares, smallest combined value first."""
     shares = {d: F.sum(F.when(F.col("day_type") == d, F.col("gmv_share_pct"))) for d in DAY_TYPES}
-    zero = F.lit(0).cast("decimal(22,2)")
+    zero = F.lit(0).cast("decimal(38,2)")
     return (
         mix.groupBy("product_category")
         .agg(*[F.coalesce(v, zero).alias(d) for d, v in shares.items()], F.sum("gmv").alias("combined_gmv"))

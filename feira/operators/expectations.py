@@ -21,7 +21,7 @@ from feira.domain import (
     STAGING_ROWS,
     STATES,
 )
-from feira.functions.columns import MONEY
+from feira.functions.columns import MONEY, TOTAL, minus
 from feira.operators.model_tests import as_rows, stacked
 
 CRITICAL, OBSERVATION, MART = "critical", "observation", "mart"
@@ -312,14 +312,14 @@ def dq_shipping_after_purchase(items: DataFrame, orders: DataFrame) -> DataFrame
 
 def dq_order_reconciliation(items: DataFrame, payments: DataFrame) -> DataFrame:
     """Items against payments of the orders that have both; one cent of difference is allowed."""
-    none = F.lit(0).cast("decimal(38,2)")
+    none = F.lit(0).cast(TOTAL)
     due = items.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(
         F.coalesce(F.sum(F.col("price") + F.col("freight_value")), none).alias("order_item_freight_total")
     )
     paid = payments.filter(F.col("order_id").isNotNull()).groupBy("order_id").agg(
         F.coalesce(F.sum("payment_value"), none).alias("order_payment_total")
     )
-    gap = F.abs(F.col("order_payment_total") - F.col("order_item_freight_total"))
+    gap = F.abs(minus(F.col("order_payment_total"), F.col("order_item_freight_total")))
     cent = F.lit("0.01").cast("decimal(4,2)")
     return due.join(paid, "order_id").withColumn("payment_matches_items", gap <= cent)
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.domain import NON_QUALIFYING
-from feira.plans.skew import HOT_ROWS, bucketed_row_number, hot_groups, lookup, split_by
+from feira.functions.columns import TOTAL
+from feira.plans.numbering import range_layout
+from feira.plans.skew import lookup
 
 
 def int_order_items(items: DataFrame) -> DataFrame:
@@ -75,11 +77,11 @@ _HISTORY = [
 ]
 
 
-def int_customer_orders(orders: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def int_customer_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Order history per person: first qualifying purchase and running number of it.
 
-    Persons with at most ``hot_rows`` orders are numbered by one window shuffle.
-    The orders of larger persons are numbered minute by minute instead.
+    Orders meet their accounts once, in ranges of (person, qualifying, time, order): also a person of very many
+    orders, of one minute or without times, is numbered by several tasks. Orders without a person are one group.
     """
     person = ["customer_unique_id"]
     group = [*person, "is_qualifying_order"]
@@ -87,17 +89,10 @@ def int_customer_orders(orders: DataFrame, customers: DataFrame, hot_rows: int =
     qualifying_time = F.when(F.col("is_qualifying_order"), F.col("order_purchase_timestamp"))
 
     history = order_accounts(orders, customers)
-    hot = hot_groups(history, person, hot_rows)
-    usual, large = (history, None) if hot is None else split_by(history, hot, person)
-
-    out = usual.withColumn(
-        "first_order_timestamp", F.min(qualifying_time).over(Window.partitionBy(*person))
-    ).withColumn("__number", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
-    if large is not None:
-        firsts = large.groupBy(*person).agg(F.min(qualifying_time).alias("first_order_timestamp"))
-        minute = F.date_trunc("minute", F.col("order_purchase_timestamp"))
-        numbered = bucketed_row_number(lookup(large, firsts, person), group, order, minute, "__number")
-        out = out.unionByName(numbered)
+    needed = [c for c in _HISTORY if c in history.columns]
+    layout = range_layout(history.select(*needed), [*group, *order])
+    out = layout.with_minimum(layout.frame, person, qualifying_time, "first_order_timestamp")
+    out = layout.with_row_number(out, group, order, "__number")
     number = F.when(F.col("is_qualifying_order"), F.col("__number").cast("bigint"))
     return out.withColumn("customer_order_number", number).select(*_HISTORY)
 
@@ -189,7 +184,7 @@ def int_orders(
         .join(order_reviews, "order_id", "left")
     )
     out = joined.withColumns({
-        "order_gmv": F.coalesce("order_gmv", F.lit(0).cast("decimal(28,2)")),
+        "order_gmv": F.coalesce("order_gmv", F.lit(0).cast(TOTAL)),
         "customer_type": customer_type(F.col("customer_order_number")),
     })
     return delivery_metrics(out).select(*_ORDER_COLUMNS)

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.functions.columns import date_key, region_of, surrogate_key
+from feira.functions.columns import TOTAL, date_key, region_of, surrogate_key
 from feira.operators.intermediate import delivery_metrics, order_accounts, order_customers, order_item_rollup
 from feira.plans.skew import lookup
 from feira.settings import Settings
@@ -191,7 +191,7 @@ def fact_orders(
     if need & _ITEM_MEASURES:
         rollup = order_item_rollup(order_items()).withColumnRenamed("order_item_count", "number_of_items")
         out = out.join(rollup, "order_id", "left").withColumn(
-            "gross_merchandise_value", F.coalesce("order_gmv", F.lit(0).cast("decimal(28,2)"))
+            "gross_merchandise_value", F.coalesce("order_gmv", F.lit(0).cast(TOTAL))
         )
     if "total_payment_value" in need:
         out = out.join(order_payments().select("order_id", "total_payment_value"), "order_id", "left")

@@ -101,27 +101,21 @@ PERCENTILES = (50, 75, 90, 95)
 
 def profile_distribution(rfm: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and linearly interpolated percentiles of R, F and M."""
-    metrics = {
-        "recency": F.col("recency"),
-        "frequency": F.col("frequency"),
-        "monetary": (F.col("monetary") * 100).cast("bigint"),
-    }
-    scale = {"recency": 1, "frequency": 1, "monetary": 100}
+    metrics = {m: F.col(m) for m in ("recency", "frequency", "monetary")}
 
     def positions(total: int) -> list[int]:
         below = [(total - 1) * p // 100 for p in PERCENTILES]
         return [k for b in below for k in (b, min(b + 1, total - 1))]
 
     # missing values are no part of a metric's distribution
-    ranked = {m: order_statistics(rfm.filter(v.isNotNull()), {m: v}, positions) for m, v in metrics.items()}
+    ranked = order_statistics(rfm, metrics, positions, known_only=True)
 
     def percentile(metric: str, p: int):
-        total, found = ranked[metric]
+        total, found = ranked[0][metric], ranked[1][metric]
         if total == 0:
             return F.lit(None).cast("double")
         below, part = divmod((total - 1) * p, 100)
-        low = found[metric][below] / scale[metric]
-        high = found[metric][min(below + 1, total - 1)] / scale[metric]
+        low, high = float(found[below]), float(found[min(below + 1, total - 1)])
         return F.lit(low + (high - low) * (part / 100))
 
     rows = []

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.functions.columns import (
+    TOTAL,
     day_type,
     in_months,
     keep_months,
@@ -259,7 +260,7 @@ def daily_metrics(
         year_quarter(F.col("year"), F.col("quarter")).alias("year_quarter"),
         day_type().alias("day_type"),
     )
-    no_money = F.lit(0).cast("decimal(38,2)")
+    no_money = F.lit(0).cast(TOTAL)
     return (
         days.join(by_day, F.col("date_key") == F.col("order_date_key"), "left")
         .groupBy("year_quarter", "day_type")

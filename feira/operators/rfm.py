@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.domain import NON_QUALIFYING
+from feira.functions.columns import TOTAL
 from feira.plans.ranking import order_statistics, rank_cuts
 from feira.plans.workspace import pinned
 from feira.settings import Settings
@@ -51,12 +52,12 @@ def rfm_percentile_scores(metrics: DataFrame) -> DataFrame:
     them a few times and the scoring once more.
     """
     metrics = pinned(metrics)
-    cents = (F.col("monetary") * 100).cast("bigint")
-    total, found = order_statistics(metrics, {"recency": F.col("recency"), "cents": cents}, rank_cuts)
+    value = F.col("monetary").cast(TOTAL)
+    total, found = order_statistics(metrics, {"recency": F.col("recency"), "monetary": value}, rank_cuts)
     positions = rank_cuts(total) if total else []
     return metrics.withColumns({
         "recency_score": _score(F.col("recency"), [found["recency"][k] for k in positions], best_first=True),
-        "monetary_score": _score(cents, [found["cents"][k] for k in positions], best_first=False),
+        "monetary_score": _score(value, [found["monetary"][k] for k in positions], best_first=False),
     })
 
 

@@ -1,17 +1,12 @@
-"""Row numbers inside groups of which one may hold a large share of the rows."""
+"""Joins of which one key may hold a large share of the rows."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feira.plans.workspace import pinned
-
-# A window task sorts this many rows of one group without trouble.
-HOT_ROWS = 1_000_000
-
 
 def _beside(small: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
     """``small`` with its keys renamed, and the NULL-safe equality of both sides' keys."""
@@ -19,12 +14,6 @@ def _beside(small: DataFrame, keys: list[str]) -> tuple[DataFrame, Column]:
     return renamed, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``rows`` rows, or None. Counted with map-side aggregation."""
-    hot = pinned(df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > rows).select(*keys))
-    return None if hot.isEmpty() else hot
-
-
 def lookup(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """Left join ``small`` (one row per key) to ``df``, NULL keys matching NULL keys.
 
@@ -34,30 +23,3 @@ def lookup(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """
     right, test = _beside(small, keys)
     return df.join(right, test, "left").drop(*[f"__{k}" for k in keys])
-
-
-def split_by(df: DataFrame, hot: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows outside the hot groups, rows inside them)."""
-    right, test = _beside(hot, keys)
-    return df.join(right, test, "left_anti"), df.join(right, test, "left_semi")
-
-
-def bucketed_row_number(
-    df: DataFrame, keys: list[str], order: list[str], bucket: Column, name: str
-) -> DataFrame:
-    """``row_number`` over (keys, order) that sorts a group bucket by bucket.
-
-    Rows of one bucket (also those whose bucket is NULL) are sorted in one task.
-
-    ``bucket`` must rise with the order: rows are numbered inside (keys, bucket)
-    and shifted by the number of rows in the group's earlier buckets.
-    """
-    marked = df.withColumn("__bucket", bucket)
-    inside = [*keys, "__bucket"]
-    sizes = marked.groupBy(*inside).agg(F.count("*").alias("__size"))
-    earlier = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.withColumn("__shift", F.coalesce(F.sum("__size").over(earlier), F.lit(0))).drop("__size")
-    ranked = lookup(marked, shifts, inside).withColumn(
-        name, F.row_number().over(Window.partitionBy(*inside).orderBy(*order)) + F.col("__shift")
-    )
-    return ranked.drop("__bucket", "__shift")

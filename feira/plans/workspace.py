@@ -28,6 +28,13 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/feira/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write once into the shared folder and read back; unlike a checkpoint's, its readers prune columns."""
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """Compute once into the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.domain import STATES
-from feira.functions.columns import MONEY
+from feira.functions.columns import MONEY, minus
 from feira.schemas import ENTITIES, HOLIDAY_RECORD
 from feira.settings import Settings
 from feira.sources.files import json_records
@@ -205,12 +205,12 @@ class DriverTables:
         k = F.col("o_orderkey")
         due = self._lines().groupBy("l_orderkey").agg(F.sum(F.col("price") + F.col("freight")).alias("due"))
         total = (F.col("due") + F.when(k % 97 == 0, F.lit(1)).otherwise(F.lit(0))).cast(MONEY)
-        first = F.round(total * F.lit(6) / F.lit(10), 2).cast(MONEY)
+        first = F.round(total.cast("decimal(18,2)") * F.lit(6) / F.lit(10), 2).cast(MONEY)
         parts = F.when(
             k % 5 == 0,
             F.array(
                 F.struct(F.lit(1).alias("seq"), first.alias("value")),
-                F.struct(F.lit(2).alias("seq"), (total - first).cast(MONEY).alias("value")),
+                F.struct(F.lit(2).alias("seq"), minus(total, first).cast(MONEY).alias("value")),
             ),
         ).otherwise(F.array(F.struct(F.lit(1).alias("seq"), total.alias("value"))))
         return (

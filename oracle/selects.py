@@ -542,7 +542,7 @@ _STAGED_TYPES = {
     "geolocation": "geolocation_zip_code_prefix:s latitude:d longitude:d city:s state:s",
     "category_translation": "product_category_name:s product_category_name_english:s",
 }
-_TYPE_NAMES = {"s": "string", "i": "bigint", "t": "timestamp", "m": "decimal(18,2)", "d": "decimal(18,9)"}
+_TYPE_NAMES = {"s": "string", "i": "bigint", "t": "timestamp", "m": "decimal(37,9)", "d": "decimal(18,9)"}
 COLUMNS = {t: [tuple(c.split(":")) for c in spec.split()] for t, spec in _STAGED_TYPES.items()}
 
 add("profile_tables", union([

@@ -18,11 +18,11 @@ CUSTOMERS = (
 )
 ITEMS = (
     "order_id string, order_item_id bigint, product_id string, seller_id string, shipping_limit_date timestamp, "
-    "price decimal(18,2), freight_value decimal(18,2)"
+    "price decimal(37,9), freight_value decimal(37,9)"
 )
 PAYMENTS = (
     "order_id string, payment_sequential bigint, payment_type string, payment_installments bigint, "
-    "payment_value decimal(18,2)"
+    "payment_value decimal(37,9)"
 )
 REVIEWS = (
     "review_id string, order_id string, review_score bigint, review_comment_title string, "

@@ -1,14 +1,15 @@
 """One person with a third of all orders is numbered like everybody else."""
 
 import random
+import re
 from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feira.operators import intermediate, marts
-from feira.plans.skew import hot_groups
 from frames import CUSTOMERS, ORDERS, make, rows
 
 
@@ -26,19 +27,58 @@ def frames(spark):
     return make(spark, orders, ORDERS), make(spark, customers, CUSTOMERS)
 
 
-def test_hot_and_plain_numbering_agree(spark):
-    orders, customers = frames(spark)
-    plain = intermediate.int_customer_orders(orders, customers)
-    split = intermediate.int_customer_orders(orders, customers, hot_rows=20)
-    assert rows(split) == rows(plain)
+@pytest.fixture
+def many_parts(spark):
+    """Ranges are not merged, as they would not be with more data."""
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
 
 
-def test_hot_groups_are_found_including_null(spark):
-    orders, customers = frames(spark)
+def by_windows(orders, customers):
     history = intermediate.order_accounts(orders, customers)
-    hot = {r[0] for r in hot_groups(history, ["customer_unique_id"], 20).collect()}
-    assert hot == {"hot", None}
-    assert hot_groups(history, ["customer_unique_id"], 10_000) is None
+    person = Window.partitionBy("customer_unique_id")
+    own = Window.partitionBy("customer_unique_id", "is_qualifying_order").orderBy("order_purchase_timestamp", "order_id")
+    qualifies = F.col("is_qualifying_order")
+    return history.withColumns({
+        "first_order_timestamp": F.min(F.when(qualifies, F.col("order_purchase_timestamp"))).over(person),
+        "customer_order_number": F.when(qualifies, F.row_number().over(own).cast("bigint")),
+    })
+
+
+def test_numbers_equal_those_of_windows(many_parts):
+    orders, customers = frames(many_parts)
+    got = intermediate.int_customer_orders(orders, customers)
+    assert rows(got) == rows(by_windows(orders, customers), *got.columns)
+
+
+@pytest.mark.parametrize("moment", [None, "2018-01-01 10:00:00"])
+def test_one_person_of_one_moment_is_numbered_by_several_tasks(many_parts, moment):
+    """A third of all orders have one person and one time, or none; order_ids repeat as well."""
+    base = hot_third(many_parts, 5000).withColumn("order_id", F.concat(F.lit("o"), (F.col("id") % (N - 900)).cast("string")))
+    orders = base.select(
+        "order_id", F.col("id").cast("string").alias("customer_id"), F.lit("DELIVERED").alias("order_status"),
+        F.to_timestamp(F.lit(moment)).alias("order_purchase_timestamp"),
+    )
+    customers = base.select(
+        F.col("id").cast("string").alias("customer_id"), F.col("k").alias("customer_unique_id"),
+        *[F.lit("x").alias(c) for c in ("customer_zip_code_prefix", "customer_city", "customer_state")],
+    )
+    numbered = intermediate.int_customer_orders(orders, customers)
+    marked = numbered.withColumn("task", F.spark_partition_id()).filter("customer_unique_id = 'hot'").collect()
+    assert len({r["task"] for r in marked}) > 1
+    assert sorted(r["customer_order_number"] for r in marked) == list(range(1, N // 3 + 1))
+    ordered = [r["order_id"] for r in sorted(marked, key=lambda r: r["customer_order_number"])]
+    assert ordered == sorted(ordered)
+    assert numbered.filter("customer_order_number = 1").count() == base.select("k").distinct().count()
+
+
+def test_accounts_are_joined_once(spark):
+    orders, customers = frames(spark)
+    text = intermediate.int_customer_orders(orders, customers)._jdf.queryExecution().executedPlan().toString()
+    assert "customer_id#" in text and "customer_city" in text
+    assert not re.search(r"Join[^\n]*customer_id#", text)
 
 
 SMALL = {
