@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 
 from feira.operators import marts, rfm
 from feira.plans.catalog import Catalog, MartTables
-from feira.sources.sinks import read_mart, write_mart
+from feira.sources.sinks import PARTITION_KEYS, ROWS_PER_BUCKET, mart_folder, read_mart, read_published, write_mart
+from feira.sources.versions import Draft, Publication
 
 MARTS = [
     "dim_date",
@@ -32,19 +33,34 @@ def mart_tables(catalog: Catalog, root: str, env: str = "dev") -> MartTables:
     )
 
 
+def buckets_for_orders(orders: DataFrame, rows: int = ROWS_PER_BUCKET) -> int:
+    """Buckets of the facts, a power of two so that layouts of different sizes still divide one another."""
+    return 1 << max(0, (orders.count() - 1) // rows).bit_length()
+
+
 def publish_marts(
-    catalog: Catalog, root: str, env: str = "dev", names: Iterable[str] = MARTS, writers: int = 4
+    catalog: Catalog,
+    root: str,
+    env: str = "dev",
+    names: Iterable[str] = MARTS,
+    writers: int = 4,
+    buckets: int | None = None,
 ) -> MartTables:
-    """Full refresh of the marts, a few writes at a time.
+    """Full refresh of the marts, a few writes at a time; readers see all new tables at once, at the end.
 
-    Dimensions that look up a ZIP read the published location table, and the
-    customer scores read the published orders, so neither is computed twice.
+    Dimensions that look up a ZIP read the new location table, and the customer scores read the new orders, so
+    neither is computed twice. ``buckets`` of the facts follow the number of orders unless given.
     """
     wanted = [n for n in MARTS if n in set(names)]
-    tables = mart_tables(catalog, root, env)
+    draft = Draft(catalog.spark, mart_folder(root, env))
+    facts = set(PARTITION_KEYS) & set(wanted)
+    parts = buckets or (buckets_for_orders(catalog.stg_orders) if facts else 1)
+
+    def written(name: str) -> DataFrame:
+        return read_published(catalog.spark, Publication(0, draft.version, draft.tables, draft.buckets), name)
 
     def location() -> DataFrame:
-        return tables.dim_geolocation if "dim_geolocation" in wanted else catalog.dim_geolocation
+        return written("dim_geolocation") if "dim_geolocation" in wanted else catalog.dim_geolocation
 
     def frame(name: str) -> DataFrame:
         if name == "dim_customer":
@@ -52,14 +68,15 @@ def publish_marts(
         if name == "dim_seller":
             return marts.dim_seller(catalog.stg_sellers, location())
         if name == "fct_customer_rfm" and "fact_orders" in wanted:
-            return rfm.fct_customer_rfm(tables.fact_orders(), catalog.settings.analysis_date)
+            return rfm.fct_customer_rfm(written("fact_orders"), catalog.settings.analysis_date)
         return catalog.model(name)
 
     def write(name: str) -> None:
-        write_mart(name, frame(name), root, env)
+        write_mart(draft, name, frame(name), parts)
 
     last = {"dim_customer", "dim_seller", "fct_customer_rfm"}
     with ThreadPoolExecutor(max_workers=writers) as pool:
         list(pool.map(write, [n for n in wanted if n not in last]))
         list(pool.map(write, [n for n in wanted if n in last]))
-    return tables
+    publication = draft.commit()
+    return MartTables(lambda name: read_published(catalog.spark, publication, name, with_month=True), catalog.settings)

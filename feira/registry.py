@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.operators import contract, drilldown, expectations, intermediate, model_tests, profiling, reports, rfm
+from feira.operators import contract, drilldown, expectations, fingerprint, intermediate, model_tests, profiling, reports, rfm
 from feira.plans.build import MARTS, publish_marts
 from feira.plans.catalog import Catalog
 from feira.plans.workspace import new_folder, pinned
@@ -270,10 +270,10 @@ def src_layer_frames(w: World) -> DataFrame:
 
 
 def sink_mart(w: World) -> DataFrame:
-    """Publish all marts and report on the tables read back."""
+    """Publish all marts and take the fingerprints of the tables read back."""
     root = new_folder(w.spark, "marts")
     publish_marts(w.cat, root)
-    return profiling.profile_tables({name: sinks.read_mart(w.spark, name, root) for name in MARTS})
+    return fingerprint.fingerprints({name: sinks.read_mart(w.spark, name, root) for name in MARTS})
 
 
 def marts_monthly_sales_trend(w: World) -> DataFrame:
@@ -318,9 +318,10 @@ def marts_holiday_window_demand(w: World) -> DataFrame:
 
 
 def sink_raw_load(w: World) -> DataFrame:
+    """Load the raw entities and take the fingerprints of the tables read back."""
     root = new_folder(w.spark, "raw")
-    paths = sinks.load_raw(w.raw.entities(), root)
-    return profiling.profile_tables({name: w.spark.read.parquet(path) for name, path in paths.items()})
+    sinks.load_raw(w.raw.entities(), root)
+    return fingerprint.fingerprints(sinks.read_raw(w.spark, root))
 
 
 def sink_report(w: World) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.sources.files import table_path
+from feira.sources.versions import (
+    Draft, Publication, bucketed_name, current, layer_folder, read_version, write_bucketed,
+)
 
 # fact -> the YYYYMMDD key its folders are split by
 PARTITION_KEYS = {
@@ -16,38 +18,62 @@ PARTITION_KEYS = {
 }
 
 
-def load_raw(entities: dict[str, DataFrame], root: str, env: str = "dev") -> dict[str, str]:
-    """Replace one raw table per entity; returns the written paths."""
-    paths = {}
+def load_raw(entities: dict[str, DataFrame], root: str, env: str = "dev") -> Publication:
+    """One raw table per entity, published together: a load that fails leaves the earlier one in force."""
+    draft = Draft(next(iter(entities.values())).sparkSession, layer_folder(root, "raw", env))
     for name, df in entities.items():
-        paths[name] = table_path(root, "raw", name, env)
-        df.write.mode("overwrite").parquet(paths[name])
-    return paths
+        df.write.parquet(draft.folder(name))
+        draft.add(name)
+    return draft.commit()
 
 
-def write_mart(name: str, df: DataFrame, root: str, env: str = "dev") -> str:
-    """Full refresh of a mart table.
+def read_raw(spark: SparkSession, root: str, env: str = "dev") -> dict[str, DataFrame]:
+    """The raw tables of the load in force."""
+    publication = current(spark, layer_folder(root, "raw", env))
+    return {name: spark.read.parquet(path) for name, path in publication.tables.items()} if publication else {}
 
-    Facts are split into month folders so that a report window prunes its scan.
-    The rebalance step gathers a month's rows before writing, and splits a month
-    that is far larger than the others over several tasks.
+
+BUCKET_KEY, MONTH = "order_key", "month_key"
+ROWS_PER_BUCKET = 4_000_000  # orders
+
+
+def mart_folder(root: str, env: str = "dev") -> str:
+    return layer_folder(root, "mart", env)
+
+
+def write_mart(draft: Draft, name: str, df: DataFrame, buckets: int) -> None:
+    """One mart table of a publication.
+
+    Facts lie in month folders, so that a report window prunes its scan, and in them in buckets of the order key, the same for
+    all facts, so that facts meet by order without a shuffle. All rows of one order are in one bucket: where an
+    order may hold very many rows, read with ``spark.sql.sources.bucketing.enabled=false`` and let run-time
+    skew handling split the join.
     """
-    path = table_path(root, "mart", name, env)
     key = PARTITION_KEYS.get(name)
+    path = draft.folder(name)
     if key is None:
-        df.hint("rebalance").write.mode("overwrite").parquet(path)
+        df.hint("rebalance").write.parquet(path)
+        draft.add(name)
     else:
-        monthly = df.withColumn("month_key", F.floor(F.col(key) / 100).cast("int"))
-        monthly.hint("rebalance", "month_key").write.mode("overwrite").partitionBy("month_key").parquet(path)
-    return path
+        monthly = df.withColumn(MONTH, F.floor(F.col(key) / 100).cast("int"))
+        write_bucketed(monthly, bucketed_name(name, path), path, buckets, BUCKET_KEY, MONTH)
+        draft.add(name, buckets)
+
+
+def read_published(spark: SparkSession, publication: Publication, name: str, with_month: bool = False) -> DataFrame:
+    """A mart table; ``with_month`` keeps the folder column that reports prune by."""
+    df = read_version(spark, publication, name, BUCKET_KEY, MONTH)
+    return df if with_month else df.drop(MONTH)
 
 
 def read_mart(
     spark: SparkSession, name: str, root: str, env: str = "dev", with_month: bool = False
 ) -> DataFrame:
-    """A mart table; ``with_month`` keeps the folder column that reports prune by."""
-    df = spark.read.parquet(table_path(root, "mart", name, env))
-    return df if with_month else df.drop("month_key")
+    """A mart table of the publication in force."""
+    publication = current(spark, mart_folder(root, env))
+    if publication is None or name not in publication.tables:
+        raise ValueError(f"{name} has not been published below {mart_folder(root, env)}")
+    return read_published(spark, publication, name, with_month)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -120,6 +120,30 @@ CTES["raw_holidays"] = f"""
 SELECT strftime(day, '%Y-%m-%d') AS date, name, 'national' AS type, {array(WEEKDAYS)}[dayofweek(day) + 1] AS weekday
 FROM holiday_days WHERE name IS NOT NULL"""
 
+CTES["raw_sellers"] = f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
+  n_name AS seller_city, {array(STATES)}[s_nationkey + 1] AS seller_state
+FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""
+
+CTES["raw_products"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id,
+  CASE WHEN p_partkey % 50 <> 0 THEN lower(p_type) END AS product_category_name, length(p_name) AS product_name_lenght,
+  length(p_name) * 10 AS product_description_lenght, 1 + p_size % 5 AS product_photos_qty, p_size * 100 AS product_weight_g,
+  p_size + 10 AS product_length_cm, p_size + 5 AS product_height_cm, p_size + 8 AS product_width_cm
+FROM part"""
+
+CTES["raw_translation"] = f"""
+SELECT DISTINCT lower(p_type) AS product_category_name, ' ' || lower(p_type) || '_goods' AS product_category_name_english
+FROM part WHERE p_type <> '{UNTRANSLATED}'"""
+
+CTES["raw_reviews"] = """
+SELECT 'R' || (o_orderkey // 2) AS review_id, CAST(o_orderkey AS VARCHAR) AS order_id, 1 + o_orderkey % 5 AS review_score,
+  CASE WHEN o_orderkey % 8 = 0 THEN ' title ' || o_orderkey END AS review_comment_title,
+  CASE WHEN o_orderkey % 2 <> 0 THEN 'message, "' || o_orderkey || '"' || chr(10) || 'second line ' END
+    AS review_comment_message,
+  o_orderdate + INTERVAL 20 DAY AS review_creation_date, o_orderdate + INTERVAL 22 DAY AS review_answer_timestamp
+FROM orders WHERE o_orderkey % 10 <> 0"""
+
 # --- staging ----------------------------------------------------------------
 
 CTES["stg_orders"] = """

@@ -56,7 +56,6 @@ _ENTITY_SIZES = " UNION ALL ".join(
     for name, source in _RAW_ROWS.items()
 )
 add("src_csv_entities", _ENTITY_SIZES)
-add("sink_raw_load", _ENTITY_SIZES)
 add("src_json_records", "SELECT date, name, type, weekday FROM raw_holidays")
 add("src_table", "SELECT * FROM stg_orders", text=MOMENTS)
 add("src_layer_frames", """
@@ -66,11 +65,61 @@ SELECT logical_name, value, COUNT(*) AS count FROM (
   UNION ALL SELECT 'orders', lower(order_status) FROM stg_orders
   UNION ALL SELECT 'products', product_name_length || '|' || product_description_length FROM stg_products)
 GROUP BY ALL""")
-_MART_WIDTH = {"dim_date": 17, "dim_geolocation": 7, "dim_customer": 8, "dim_product": 11, "dim_seller": 6,
-               "fact_orders": 23, "fact_order_items": 11, "fact_payments": 8, "fact_reviews": 11,
-               "fct_customer_rfm": 11}
-add("sink_mart", " UNION ALL ".join(
-    f"SELECT '{name}' AS \"table\", COUNT(*) AS rows, {n} AS columns FROM {name}" for name, n in _MART_WIDTH.items()))
+
+
+def fingerprint(table: str, source: str, numbers: str, others: str) -> str:
+    """Rows, columns, sum and exclusive or of row hashes over canonical text, columns by name."""
+    names = sorted([(c, True) for c in numbers.split()] + [(c, False) for c in others.split()])
+    texts = [f"CAST(CAST({c} AS DECIMAL(38,9)) AS VARCHAR)" if n else f"CAST({c} AS VARCHAR)" for c, n in names]
+    row = "concat_ws('|', " + ", ".join(f"COALESCE({t}, '~')" for t in texts) + ")"
+    return (
+        f"SELECT '{table}' AS \"table\", COUNT(*) AS rows, {len(names)} AS columns, "
+        f"CAST(COALESCE(SUM(h), 0) AS VARCHAR) AS hash_sum, COALESCE(bit_xor(h), 0) AS hash_xor "
+        f"FROM (SELECT CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT) AS h FROM {source})"
+    )
+
+
+def fingerprints(tables: dict[str, tuple[str, str, str]]) -> str:
+    return " UNION ALL ".join(fingerprint(t, *spec) for t, spec in tables.items())
+
+
+_SIZES = "product_weight_g product_height_cm product_length_cm product_width_cm"
+add("sink_raw_load", fingerprints({
+    "orders": ("raw_orders", "", "order_id customer_id order_status " + MOMENTS),
+    "order_items": ("stg_order_items", "order_item_id price freight_value", "order_id product_id seller_id shipping_limit_date"),
+    "customers": ("raw_customers", "", "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"),
+    "sellers": ("raw_sellers", "", "seller_id seller_zip_code_prefix seller_city seller_state"),
+    "products": ("raw_products", "product_name_lenght product_description_lenght product_photos_qty " + _SIZES,
+                 "product_id product_category_name"),
+    "category_translation": ("raw_translation", "", "product_category_name product_category_name_english"),
+    "geolocation": ("raw_geolocation", "geolocation_lat geolocation_lng",
+                    "geolocation_zip_code_prefix geolocation_city geolocation_state"),
+    "payments": ("stg_order_payments", "payment_sequential payment_installments payment_value", "order_id payment_type"),
+    "reviews": ("raw_reviews", "review_score", "review_id order_id review_comment_title review_comment_message "
+                "review_creation_date review_answer_timestamp"),
+}))
+add("sink_mart", fingerprints({
+    "dim_date": ("dim_date", "date_key day week month quarter year", "date day_of_week month_name is_weekend is_month_end "
+                 "is_quarter_end is_year_end is_holiday holiday_name holiday_type holiday_weekday"),
+    "dim_geolocation": ("dim_geolocation", "latitude longitude", "geolocation_key zip_code_prefix city state region"),
+    "dim_customer": ("dim_customer", "", "customer_key customer_id customer_unique_id customer_zip_code_prefix customer_city "
+                     "customer_state customer_first_order_date geolocation_key"),
+    "dim_product": ("dim_product", "product_name_length product_description_length product_photos_qty " + _SIZES,
+                    "product_key product_id product_category_name product_category_name_english"),
+    "dim_seller": ("dim_seller", "", "seller_key seller_id seller_zip_code_prefix seller_city seller_state geolocation_key"),
+    "fact_orders": ("fact_orders", "order_date_key number_of_items gross_merchandise_value delivery_days estimated_delivery_days "
+                    "average_review_score review_count " + ORDER_MONEY,
+                    "order_key order_id customer_key order_status is_late latest_review_date customer_type "
+                    "first_order_timestamp " + MOMENTS),
+    "fact_order_items": ("fact_order_items", "order_date_key order_item_id price freight_value",
+                         "order_item_key order_key product_key seller_key product_id seller_id shipping_limit_date"),
+    "fact_payments": ("fact_payments", "order_date_key payment_sequential payment_installments payment_value",
+                      "payment_key order_key customer_key payment_type"),
+    "fact_reviews": ("fact_reviews", "review_date_key review_score", "review_order_key review_key order_key customer_key "
+                     "review_id review_comment_title review_comment_message review_creation_date review_answer_timestamp"),
+    "fct_customer_rfm": ("fct_customer_rfm", "recency frequency monetary recency_score frequency_score monetary_score "
+                         "rfm_total_score", "customer_key analysis_date rfm_code customer_segment"),
+}))
 
 # --- staging, intermediate, marts -------------------------------------------
 

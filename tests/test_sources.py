@@ -3,13 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from feira.operators import contract, reports
-from feira.plans.build import publish_marts
+from feira.operators import contract, fingerprint, reports
+from feira.plans.build import mart_tables, publish_marts
 from feira.plans.workspace import shared_dir
 from feira.registry import World
 from feira.schemas import ENTITIES
-from feira.sources import files, sinks
-from frames import make, rows
+from feira.sources import files, sinks, versions
+from frames import make, money, rows
 
 
 def test_csv_with_byte_order_mark_other_order_and_line_breaks(spark, tmp_path):
@@ -64,6 +64,83 @@ def test_published_marts_serve_the_reports(spark, folder, tmp_path):
     assert rows(full) == rows(w.cat.fact_orders())
 
 
+def joined_by_order(tables):
+    items = tables.fact_order_items().groupBy("order_key").agg(F.sum("price").alias("gmv"))
+    return tables.fact_orders().join(items, "order_key", "left").select("order_key", "order_status", "gmv")
+
+
+def test_facts_meet_by_order_without_a_shuffle(spark, folder, tmp_path):
+    w = World(spark, folder)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        tables = publish_marts(w.cat, str(tmp_path), names=["fact_orders", "fact_order_items"], buckets=8)
+        joined = joined_by_order(tables)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Join" in plan and "Exchange" not in plan
+        got = rows(joined)
+        assert got == rows(joined_by_order(w.cat))
+        # another session knows the layout from the log alone
+        publication = versions.current(spark, sinks.mart_folder(str(tmp_path)))
+        for name in ("fact_orders", "fact_order_items"):
+            spark.sql(f"DROP TABLE {versions.bucketed_name(name, publication.tables[name])}")
+        again = joined_by_order(mart_tables(w.cat, str(tmp_path)))
+        assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and rows(again) == got
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_a_failed_publication_leaves_the_old_one_in_force(spark, folder, tmp_path):
+    w, root = World(spark, folder), str(tmp_path)
+    names = ["dim_product", "dim_geolocation", "fact_payments"]
+    publish_marts(w.cat, root, names=names)
+    before = {n: rows(sinks.read_mart(spark, n, root)) for n in names}
+    kept = versions.current(spark, sinks.mart_folder(root))
+
+    class Broken:
+        spark, settings, stg_orders = w.spark, w.cat.settings, w.cat.stg_orders
+
+        def model(self, name):
+            bad = F.when(F.col("payment_value") >= 0, F.raise_error(F.lit("no"))).otherwise("x")
+            return w.cat.fact_payments.withColumn("payment_type", bad) if name == "fact_payments" else w.cat.model(name).limit(1)
+
+    with pytest.raises(Exception, match="no"):
+        publish_marts(Broken(), root, names=names)
+    assert versions.current(spark, sinks.mart_folder(root)) == kept
+    assert {n: rows(sinks.read_mart(spark, n, root)) for n in names} == before
+
+
+def test_a_publication_of_some_tables_keeps_the_others(spark, folder, tmp_path):
+    w, root = World(spark, folder), str(tmp_path)
+    publish_marts(w.cat, root, names=["dim_product", "dim_geolocation"])
+    first = versions.current(spark, sinks.mart_folder(root))
+    old = sinks.read_mart(spark, "dim_geolocation", root)  # a reader that has begun
+    publish_marts(w.cat, root, names=["dim_geolocation", "fact_payments"], buckets=2)
+    second = versions.current(spark, sinks.mart_folder(root))
+    assert second.number == 2 and second.tables["dim_product"] == first.tables["dim_product"]
+    assert second.tables["dim_geolocation"] != first.tables["dim_geolocation"] and second.buckets == {"fact_payments": 2}
+    assert rows(old) == rows(sinks.read_mart(spark, "dim_geolocation", root))
+    with pytest.raises(ValueError, match="has not been published"):
+        sinks.read_mart(spark, "fact_reviews", root)
+
+
+def test_fingerprint_sees_every_cell_and_no_order(spark):
+    data = [(1, "a", money("1.5"), None), (2, None, money("0"), True), (2, None, money("0"), True)]
+    schema = "k int, t string, v decimal(37,9), b boolean"
+
+    def of(df):
+        return fingerprint.table_fingerprint(df, "x").collect()
+
+    base = of(make(spark, data, schema))
+    assert base == of(make(spark, data[::-1], schema).repartition(3).select("b", "v", "k", "t"))
+    for at, other in ((0, 3), (1, "b"), (2, money("1.500000001")), (3, False)):
+        changed = [tuple(other if i == at else x for i, x in enumerate(data[0])), *data[1:]]
+        assert of(make(spark, changed, schema)) != base
+    assert of(make(spark, data[:2], schema)) != base and of(make(spark, [], schema))[0]["rows"] == 0
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
 
