@@ -6,7 +6,7 @@ number and severity; only compound uniqueness needs its own grouping.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +18,7 @@ from feira.domain import (
     MART_BASELINES,
     ORDER_STATUSES,
     PAYMENT_TYPES,
+    RAW_ROWS,
     STAGING_ROWS,
     STATES,
 )
@@ -231,6 +232,12 @@ STAGING_RENAMES = {
         "state": "geolocation_state",
     },
 }
+LAYER_TABLES = {
+    # holidays come as one feed per year and are one table from staging on
+    "raw": {name: name for name in STAGING_MODELS if name != "holidays"},
+    "staging": STAGING_MODELS,
+}
+LAYER_ROWS = {"raw": RAW_ROWS, "staging": STAGING_ROWS}
 NUMERIC = {
     "order_items": ["order_item_id", "price", "freight_value"],
     "payments": ["payment_sequential", "payment_installments", "payment_value"],
@@ -257,14 +264,30 @@ ZIPS = {
 _EXACT = {"price": MONEY, "freight_value": MONEY, "payment_value": MONEY}
 
 
-def layer_frames(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staged frames under the raw layer's column names and status spelling."""
-    frames = {name: df.withColumnsRenamed(STAGING_RENAMES.get(name, {})) for name, df in staged.items()}
+def layer_frames(tables: dict[str, DataFrame], layer: str = "staging") -> dict[str, DataFrame]:
+    """A layer's tables under the raw layer's column names and status spelling, so that checks run on either."""
+    if layer == "raw":
+        return dict(tables)
+    frames = {name: df.withColumnsRenamed(STAGING_RENAMES.get(name, {})) for name, df in tables.items()}
     if "orders" in frames:
         frames["orders"] = frames["orders"].withColumn("order_status", F.lower("order_status"))
     return frames
 
 
+def read_layer(read: Callable[[str], DataFrame], layer: str) -> dict[str, DataFrame]:
+    """All logical tables of a layer; ``read`` opens a physical table by its name there."""
+    if layer not in LAYER_TABLES:
+        raise ValueError(f"unknown layer {layer!r}")
+    return layer_frames({logical: read(physical) for logical, physical in LAYER_TABLES[layer].items()}, layer)
+
+
+def layer_checks(layer: str, row_baselines: dict[str, int] | None = None) -> list[Check]:
+    """The checks that apply to a layer, with its own row baselines."""
+    baselines = LAYER_ROWS[layer] if row_baselines is None else row_baselines
+    tables = {*LAYER_TABLES[layer], "order_reconciliation"}
+    return [c for c in staging_checks({t: n for t, n in baselines.items() if t in tables}) if c.table in tables]
+
+
 def _coercions(table: str) -> dict[str, Column]:
     """Column -> its value as a number, moment or five-digit ZIP; NULL where it is none."""
     out = {c: F.col(c).try_cast(_EXACT.get(c, "double")) for c in NUMERIC.get(table, [])}
@@ -324,15 +347,26 @@ def dq_order_reconciliation(items: DataFrame, payments: DataFrame) -> DataFrame:
     return due.join(paid, "order_id").withColumn("payment_matches_items", gap <= cent)
 
 
-def check_frames(staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Everything the staging checks read, by logical table."""
-    frames = coerce(layer_frames(staged))
+def row_wise(name: str, df: DataFrame) -> DataFrame:
+    """A logical table with its columns coerced and the flags that need no other table."""
+    out = coerce({name: df})[name]
+    return dq_status_date_consistency(out) if name == "orders" else out
+
+
+def checked(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Everything the checks read, by logical table."""
+    frames = coerce(tables)
     frames["order_reconciliation"] = dq_order_reconciliation(frames["order_items"], frames["payments"])
     frames["order_items"] = dq_shipping_after_purchase(frames["order_items"], frames["orders"])
     frames["orders"] = dq_status_date_consistency(frames["orders"])
     return frames
 
 
+def check_frames(tables: dict[str, DataFrame], layer: str = "staging") -> dict[str, DataFrame]:
+    """What the checks read of a layer's tables."""
+    return checked(layer_frames(tables, layer))
+
+
 # --- evaluation -------------------------------------------------------------
 
 
@@ -357,7 +391,7 @@ def _fails(check: Check) -> Column:
     return tests[0] if len(tests) == 1 else tests[0] | tests[1]
 
 
-def _measures(check: Check, i: int) -> list[Column]:
+def measures(check: Check, i: int) -> list[Column]:
     """Aggregates of one check: values looked at, unexpected values, observed value."""
     nothing = F.lit(None).cast("double")
     total = F.count("*")
@@ -378,7 +412,7 @@ def _measures(check: Check, i: int) -> list[Column]:
     return [looked.alias(f"n{i}"), wrong.alias(f"u{i}"), seen.alias(f"v{i}")]
 
 
-def _result(check: Check, n: Column, wrong: Column, seen: Column) -> dict[str, Column]:
+def result(check: Check, n: Column, wrong: Column, seen: Column) -> dict[str, Column]:
     if check.kind.endswith("_between"):
         passed = seen.between(_number(check.low), _number(check.high))
     else:
@@ -406,7 +440,7 @@ def _evaluate_compound(df: DataFrame, check: Check) -> DataFrame:
         F.coalesce(F.sum("count"), F.lit(0)).alias("n"),
         F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("u"),
     )
-    return as_rows(counted, [_result(check, F.col("n"), F.col("u"), F.lit(None).cast("double"))])
+    return as_rows(counted, [result(check, F.col("n"), F.col("u"), F.lit(None).cast("double"))])
 
 
 def evaluate(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
@@ -414,8 +448,8 @@ def evaluate(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
     single = [c for c in checks if c.kind != "compound_unique"]
     parts = [_evaluate_compound(df, c) for c in checks if c.kind == "compound_unique"]
     if single:
-        measured = df.agg(*[m for i, c in enumerate(single) for m in _measures(c, i)])
-        rows = [_result(c, F.col(f"n{i}"), F.col(f"u{i}"), F.col(f"v{i}")) for i, c in enumerate(single)]
+        measured = df.agg(*[m for i, c in enumerate(single) for m in measures(c, i)])
+        rows = [result(c, F.col(f"n{i}"), F.col(f"u{i}"), F.col(f"v{i}")) for i, c in enumerate(single)]
         parts.insert(0, as_rows(measured, rows))
     return parts
 

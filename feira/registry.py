@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators import contract, drilldown, expectations, fingerprint, intermediate, model_tests, profiling, reports, rfm
+from feira.operators.checked_load import load_checked
 from feira.plans.build import MARTS, publish_marts
 from feira.plans.catalog import Catalog
 from feira.plans.workspace import new_folder, pinned
@@ -16,6 +17,7 @@ from feira.schemas import ENTITIES
 from feira.session import prepare
 from feira.sources import files, sinks
 from feira.sources.driver_tables import SETTINGS, DriverTables
+from feira.sources.versions import Draft
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +37,8 @@ MART_BASELINES = {
     "fact_orders": {"rows": 15_000, "column": "order_total_value", "value": 3_300_000_000.0},
     "fact_payments": {"rows": 17_700, "column": "payment_value", "value": 2_000_000_000.0},
 }
-STAGING_CHECKS = expectations.staging_checks(ROW_BASELINES)
+STAGING_CHECKS = expectations.layer_checks("staging", ROW_BASELINES)
+RAW_CHECKS = expectations.layer_checks("raw", ROW_BASELINES)
 MART_CHECKS = expectations.mart_checks(MART_BASELINES)
 
 RFM_INPUT = ["customer_key", "order_id", "order_status", "order_purchase_timestamp", "gross_merchandise_value"]
@@ -182,7 +185,16 @@ class World:
 
     @cached_property
     def check_details(self) -> DataFrame:
-        return expectations.run_checks(expectations.check_frames(self.staged), STAGING_CHECKS)
+        """Checks of the staging layer, measured while it is loaded."""
+        draft = Draft(self.spark, new_folder(self.spark, "checked-staging"))
+        return load_checked(expectations.layer_frames(self.staged), STAGING_CHECKS, draft)[1]
+
+    @cached_property
+    def raw_check_details(self) -> DataFrame:
+        """Checks of the raw layer, measured while it is loaded."""
+        draft = Draft(self.spark, new_folder(self.spark, "checked-raw"))
+        frames = expectations.read_layer(self.raw.entity, "raw")
+        return load_checked(frames, RAW_CHECKS, draft)[1]
 
     @cached_property
     def mart_details(self) -> DataFrame:
@@ -255,18 +267,19 @@ def src_table(w: World) -> DataFrame:
 
 
 def src_layer_frames(w: World) -> DataFrame:
-    """Products under the raw layer's column names, and orders with lower-case status."""
-    frames = expectations.layer_frames({k: w.staged[k] for k in ("orders", "products", "geolocation")})
-    geo = frames["geolocation"].select(
-        F.lit("geolocation").alias("logical_name"),
-        F.concat_ws("|", "geolocation_zip_code_prefix", "geolocation_city", "geolocation_state").alias("value"),
-    )
-    orders = frames["orders"].select(F.lit("orders").alias("logical_name"), F.col("order_status").alias("value"))
-    products = frames["products"].select(
-        F.lit("products").alias("logical_name"),
-        F.concat_ws("|", "product_name_lenght", "product_description_lenght").alias("value"),
-    )
-    return model_tests.stacked([geo, orders, products]).groupBy("logical_name", "value").count()
+    """Every logical table of both layers, read back by its name there, as value fingerprints."""
+    root = new_folder(w.spark, "layers")
+    sinks.load_raw(w.raw.entities(), root)
+    for name in expectations.STAGING_MODELS.values():
+        w.cat.model(name).write.parquet(files.table_path(root, "staging", name))
+    readers = {
+        "raw": sinks.read_raw(w.spark, root).__getitem__,
+        "staging": lambda name: files.read_table(w.spark, root, "staging", name),
+    }
+    return model_tests.stacked([
+        fingerprint.fingerprints(expectations.read_layer(read, layer)).withColumn("layer", F.lit(layer))
+        for layer, read in readers.items()
+    ])
 
 
 def sink_mart(w: World) -> DataFrame:
@@ -496,6 +509,10 @@ QUERIES |= {
     "dq_suite_run": lambda w: expectations.dq_suite_run(
         w.spark, w.check_details, [*expectations.STAGING_MODELS, "order_reconciliation"]
     ),
+    "dq_suite_run_raw": lambda w: expectations.dq_suite_run(
+        w.spark, w.raw_check_details, [*expectations.LAYER_TABLES["raw"], "order_reconciliation"]
+    ),
+    "dq_failure_detail_raw": lambda w: expectations.dq_failure_detail(w.raw_check_details),
     "dq_failure_detail": lambda w: expectations.dq_failure_detail(w.check_details),
     "dq_observation_unexpected": lambda w: expectations.dq_observation_unexpected(w.check_details),
     "dq_gate": lambda w: expectations.dq_gate(w.check_details.unionByName(w.mart_details)),

@@ -6,7 +6,7 @@ from feira.domain import REGIONS
 from feira.operators import expectations, model_tests
 from feira.operators.contract import REPORT_COLUMNS
 from feira.operators.expectations import CRITICAL, MART, OBSERVATION, Check
-from feira.registry import BEST, CHECK_KINDS, MART_CHECKS, PROFILE_KEYS, PROFILED, SEGMENTS, STAGING_CHECKS, STAGING_OF
+from feira.registry import BEST, CHECK_KINDS, MART_CHECKS, PROFILE_KEYS, PROFILED, RAW_CHECKS, SEGMENTS, STAGING_CHECKS, STAGING_OF
 from feira.schemas import ENTITIES
 from feira.sources.driver_tables import SETTINGS
 from oracle.ctes import half_up, quoted, region_case, with_ctes
@@ -58,15 +58,6 @@ _ENTITY_SIZES = " UNION ALL ".join(
 add("src_csv_entities", _ENTITY_SIZES)
 add("src_json_records", "SELECT date, name, type, weekday FROM raw_holidays")
 add("src_table", "SELECT * FROM stg_orders", text=MOMENTS)
-add("src_layer_frames", """
-SELECT logical_name, value, COUNT(*) AS count FROM (
-  SELECT 'geolocation' AS logical_name, geolocation_zip_code_prefix || '|' || city || '|' || state AS value
-  FROM stg_geolocation
-  UNION ALL SELECT 'orders', lower(order_status) FROM stg_orders
-  UNION ALL SELECT 'products', product_name_length || '|' || product_description_length FROM stg_products)
-GROUP BY ALL""")
-
-
 def fingerprint(table: str, source: str, numbers: str, others: str) -> str:
     """Rows, columns, sum and exclusive or of row hashes over canonical text, columns by name."""
     names = sorted([(c, True) for c in numbers.split()] + [(c, False) for c in others.split()])
@@ -84,7 +75,7 @@ def fingerprints(tables: dict[str, tuple[str, str, str]]) -> str:
 
 
 _SIZES = "product_weight_g product_height_cm product_length_cm product_width_cm"
-add("sink_raw_load", fingerprints({
+_RAW_VALUES = {
     "orders": ("raw_orders", "", "order_id customer_id order_status " + MOMENTS),
     "order_items": ("stg_order_items", "order_item_id price freight_value", "order_id product_id seller_id shipping_limit_date"),
     "customers": ("raw_customers", "", "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state"),
@@ -97,7 +88,26 @@ add("sink_raw_load", fingerprints({
     "payments": ("stg_order_payments", "payment_sequential payment_installments payment_value", "order_id payment_type"),
     "reviews": ("raw_reviews", "review_score", "review_id order_id review_comment_title review_comment_message "
                 "review_creation_date review_answer_timestamp"),
-}))
+}
+add("sink_raw_load", fingerprints(_RAW_VALUES))
+# the staging layer under raw names: what differs from the raw layer's own values
+_STAGED_VALUES = {
+    **{t: spec for t, spec in _RAW_VALUES.items() if t != "category_translation"},
+    "orders": ("(SELECT * REPLACE (lower(order_status) AS order_status) FROM stg_orders)", *_RAW_VALUES["orders"][1:]),
+    "customers": ("stg_customers", *_RAW_VALUES["customers"][1:]),
+    "sellers": ("stg_sellers", *_RAW_VALUES["sellers"][1:]),
+    "products": ("(SELECT * RENAME (product_name_length AS product_name_lenght, "
+                 "product_description_length AS product_description_lenght) FROM stg_products)", *_RAW_VALUES["products"][1:]),
+    "geolocation": ("(SELECT * RENAME (latitude AS geolocation_lat, longitude AS geolocation_lng, city AS geolocation_city, "
+                    "state AS geolocation_state) FROM stg_geolocation)", *_RAW_VALUES["geolocation"][1:]),
+    "reviews": ("stg_order_reviews", *_RAW_VALUES["reviews"][1:]),
+    "holidays": ("stg_holiday_calendar", "", "hol_date hol_name hol_type hol_day"),
+}
+add("src_layer_frames", " UNION ALL ".join(
+    f"SELECT *, '{layer}' AS layer FROM ({fingerprints(spec)})"
+    for layer, spec in (
+        ("raw", {t: v for t, v in _RAW_VALUES.items() if t != "category_translation"}), ("staging", _STAGED_VALUES),
+    )))
 add("sink_mart", fingerprints({
     "dim_date": ("dim_date", "date_key day week month quarter year", "date day_of_week month_name is_weekend is_month_end "
                  "is_quarter_end is_year_end is_holiday holiday_name holiday_type holiday_weekday"),
@@ -522,8 +532,8 @@ def _wrong(c: Check) -> str:
     return " OR ".join(tests + ([] if c.high is None else [f"{c.column} > {c.high}"]))
 
 
-def check_row(c: Check) -> str:
-    source = c.table if c.group == MART else f"c_{c.table}"
+def check_row(c: Check, layer: str = "c") -> str:
+    source = c.table if c.group == MART else f"{layer}_{c.table}"
     head = (f"SELECT '{c.group}' AS \"group\", '{c.table}' AS \"table\", '{c.kind}' AS expectation, "
             f"'{c.label}' AS \"column\", '{c.detail}' AS detail, ")
     if c.kind in ("mean_between", "sum_between", "row_count_between"):
@@ -550,6 +560,21 @@ def check_row(c: Check) -> str:
 
 
 VIEWS["details"] = union([check_row(c) for c in STAGING_CHECKS])
+_R_MOMENTS = ", ".join(f"TRY_CAST({m} AS TIMESTAMP) AS {m}" for m in MOMENTS.split())
+VIEWS["r_customers"] = "SELECT * FROM raw_customers"
+VIEWS["r_sellers"] = "SELECT * FROM raw_sellers"
+VIEWS["r_payments"] = "SELECT * FROM stg_order_payments"
+VIEWS["r_reviews"] = "SELECT * FROM raw_reviews"
+VIEWS["r_products"] = "SELECT * FROM raw_products"
+VIEWS["r_geolocation"] = "SELECT * FROM raw_geolocation"
+VIEWS["r_orders"] = f"""
+SELECT *, (order_status = 'delivered') = (order_delivered_customer_date IS NOT NULL) AS delivery_date_matches_status
+FROM (SELECT * REPLACE ({_R_MOMENTS}) FROM raw_orders)"""
+VIEWS["r_order_items"] = """
+SELECT i.*, NOT COALESCE(i.shipping_limit_date < o.order_purchase_timestamp, FALSE) AS shipping_after_purchase
+FROM stg_order_items i LEFT JOIN r_orders o ON i.order_id = o.order_id"""
+VIEWS["r_order_reconciliation"] = "SELECT * FROM c_order_reconciliation"
+VIEWS["raw_details"] = union([check_row(c, "r") for c in RAW_CHECKS])
 VIEWS["mart_rows"] = union([check_row(c) for c in MART_CHECKS])
 for _name, _kind in CHECK_KINDS.items():
     add(_name, union([check_row(c) for c in STAGING_CHECKS if c.kind == _kind]))
@@ -563,6 +588,13 @@ SELECT p.*, p."table" || '_' || p."group" || '_validation' AS validation, COALES
 FROM ({union([f"SELECT '{g}' AS " + '"group"' + f", '{t}' AS " + '"table"' for g in (CRITICAL, OBSERVATION) for t in _TABLES])}) p
 LEFT JOIN (SELECT "group", "table", bool_and(success) AS success FROM details GROUP BY ALL) v
   ON p."group" = v."group" AND p."table" = v."table" """)
+_RAW_TABLES = [*expectations.LAYER_TABLES["raw"], "order_reconciliation"]
+add("dq_suite_run_raw", f"""
+SELECT p.*, p."table" || '_' || p."group" || '_validation' AS validation, COALESCE(v.success, TRUE) AS success
+FROM ({union([f"SELECT '{g}' AS " + '"group"' + f", '{t}' AS " + '"table"' for g in (CRITICAL, OBSERVATION) for t in _RAW_TABLES])}) p
+LEFT JOIN (SELECT "group", "table", bool_and(success) AS success FROM raw_details GROUP BY ALL) v
+  ON p."group" = v."group" AND p."table" = v."table" """)
+add("dq_failure_detail_raw", "SELECT * FROM raw_details WHERE NOT success")
 add("dq_gate", f"""
 SELECT "group", COUNT(*) AS checks, COUNT(*) FILTER (NOT success) AS failed,
   "group" = '{CRITICAL}' AND COUNT(*) FILTER (NOT success) > 0 AS blocking

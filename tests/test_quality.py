@@ -2,10 +2,14 @@
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from feira.operators import expectations as ex
 from feira.operators import model_tests, profiling
+from feira.operators.checked_load import load_checked
+from feira.registry import ROW_BASELINES, World
+from feira.sources.versions import Draft
 from frames import ITEMS, ORDERS, PAYMENTS, make, money, order, rows, ts
 
 
@@ -170,3 +174,57 @@ def test_distribution_matches_pandas(spark):
                  "50%": "p50", "75%": "p75", "90%": "p90", "95%": "p95"}
         for theirs, ours in names.items():
             assert abs(want[theirs] - got[metric][ours]) < 1e-9, (metric, theirs)
+
+
+def test_a_load_reads_each_table_once_for_writing_and_checking(spark, folder, tmp_path):
+    """Counted rows: every source row is seen by one evaluation only; results equal those of separate checks."""
+    w = World(spark, folder)
+    frames = ex.layer_frames(w.staged)
+    checks = ex.layer_checks("staging", ROW_BASELINES)
+    reads = {}
+    counted = {}
+    for name, df in frames.items():
+        seen = reads[name] = spark.sparkContext.accumulator(0)
+
+        def look(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        counted[name] = df.mapInArrow(look, df.schema)
+    draft = Draft(spark, str(tmp_path))
+    publication, details = load_checked(counted, checks, draft)
+    for name, df in frames.items():
+        assert reads[name].value == df.count(), name
+        assert rows(spark.read.parquet(publication.tables[name])) == rows(df), name
+    columns = ("group", "table", "expectation", "column", "detail", "success", "observed_value", "unexpected_count")
+    apart = ex.run_checks(ex.check_frames(w.staged), checks)
+    assert rows(details, *columns) == rows(apart, *columns)
+
+
+def test_raw_layer_has_its_own_tables_names_and_baselines(spark, folder):
+    w = World(spark, folder)
+    asked = []
+
+    def read(name):
+        asked.append(name)
+        return w.raw.entity(name)
+
+    frames = ex.read_layer(read, "raw")
+    assert "holidays" not in frames and set(asked) == set(frames) == set(ex.RAW_ROWS)
+    assert frames["orders"].columns == w.raw.entity("orders").columns
+    checks = ex.layer_checks("raw")
+    assert {c.table for c in checks} == {*frames, "order_reconciliation"}
+    rowed = {c.table: c.low for c in checks if c.kind == "row_count_between"}
+    assert rowed == {t: int(n * 0.95) for t, n in ex.RAW_ROWS.items()}
+    assert ex.run_checks(ex.check_frames(frames, "raw"), checks).count() == len(checks)
+    with pytest.raises(ValueError, match="unknown layer"):
+        ex.read_layer(read, "gold")
+
+
+def test_a_load_of_no_rows_has_results(spark, tmp_path):
+    empty = {"sellers": make(spark, [], "seller_id string, seller_zip_code_prefix string, seller_city string, seller_state string")}
+    checks = [c for c in ex.layer_checks("raw") if c.table == "sellers"]
+    _, details = load_checked(empty, checks, Draft(spark, str(tmp_path)))
+    got = {r["expectation"]: r["success"] for r in details.collect()}
+    assert got == {"in_set": True, "regex": True, "row_count_between": False, "not_null": True}
