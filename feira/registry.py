@@ -233,11 +233,14 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def src_csv(w: World) -> DataFrame:
-    """Reviews, the entity with line breaks and quotes, written as CSV and read back."""
+    """Reviews, the entity with line breaks and quotes, written as CSV in two orders of columns and read back."""
     root = new_folder(w.spark, "csv")
-    path = f"{root}/reviews.csv"
-    sinks.write_csv(as_text(w.raw.entity("reviews")), path)
-    return files.read_csv_entity(w.spark, ENTITIES["reviews"], path)
+    reviews = as_text(w.raw.entity("reviews"))
+    early = F.col("review_creation_date") < "1995-01-01"
+    sinks.write_csv(reviews.filter(early), f"{root}/reviews/early")
+    late = reviews.filter(~early | early.isNull())
+    sinks.write_csv(late.select("order_id", *reversed([c for c in late.columns if c != "order_id"])), f"{root}/reviews/late")
+    return files.read_csv_entity(w.spark, ENTITIES["reviews"], [f"{root}/reviews/early", f"{root}/reviews/late"])
 
 
 def src_csv_entities(w: World) -> DataFrame:
@@ -247,7 +250,7 @@ def src_csv_entities(w: World) -> DataFrame:
         df = as_text(w.raw.entity(name))
         marked = df.withColumnRenamed(df.columns[0], files.BYTE_ORDER_MARK + df.columns[0])
         sinks.write_csv(marked, f"{root}/{name}.csv")
-    return profiling.profile_tables(files.read_csv_folder(w.spark, root))
+    return fingerprint.fingerprints(files.read_csv_folder(w.spark, root))
 
 
 def src_json_records(w: World) -> DataFrame:

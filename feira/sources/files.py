@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,25 +15,86 @@ from feira.schemas import ENTITIES, HOLIDAY_RECORD, Entity
 BYTE_ORDER_MARK = "﻿"
 
 
-def read_csv_entity(spark: SparkSession, entity: Entity, path: str) -> DataFrame:
-    """One raw entity from CSV files with a header, as text columns in declared order.
+HEADER_BYTES = 1 << 16
+_BAD, _FILE = "__bad", "__file"
+
+
+def _header(spark: SparkSession, file: str) -> tuple[str, ...] | None:
+    """Column names in a file's first line, None for an empty file; only its first bytes are read."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(spark._jvm.java.net.URI(file))
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        start = bytes(stream.readNBytes(HEADER_BYTES))
+    finally:
+        stream.close()
+    line = start.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+    return tuple(next(csv.reader([line]))) if line else None
+
+
+def csv_headers(spark: SparkSession, path: str | list[str], readers: int = 32) -> dict[tuple[str, ...], list[str]]:
+    """Files below ``path`` by their header. A few bytes per file are read, several files at a time."""
+    files = sorted(spark.read.text(path).inputFiles())
+    with ThreadPoolExecutor(max_workers=readers) as pool:
+        found = list(pool.map(lambda f: _header(spark, f), files))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, header in zip(files, found):
+        if header is not None:
+            groups.setdefault(header, []).append(file)
+    return groups
 
-    Columns are matched by header name, after a byte-order mark is dropped.
-    Only entities with line breaks inside values give up split reading.
+
+def _csv_rows(spark: SparkSession, entity: Entity, path: str | list[str]) -> DataFrame:
+    """The entity's columns of all files, with the file's name and the whole record where it does not fit the header.
+
+    Spark takes one header for all files of a reader, so files are read in groups of equal headers.
+    """
+    parts = []
+    for header, files in csv_headers(spark, path).items():
+        missing = [c for c in entity.columns if c not in header]
+        if missing:
+            raise ValueError(f"{entity.name}: columns missing in {files[0]}: {missing}")
+        # a name may repeat among columns that nobody reads
+        names = [n if n in entity.columns else f"__{i}" for i, n in enumerate(header)]
+        if len(set(names)) < len(names):
+            raise ValueError(f"{entity.name}: a column repeats in {files[0]}: {list(header)}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _BAD]])
+        raw = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("multiLine", entity.multi_line)
+            .option("quote", '"')
+            .option("escape", '"')
+            .option("encoding", "UTF-8")
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", _BAD)
+            # a record's length is judged whatever columns a query reads
+            .option("columnPruning", False)
+            .csv(files)
+        )
+        parts.append(raw.select(*entity.columns, _BAD, F.col("_metadata.file_path").alias(_FILE)))
+    if not parts:
+        raise ValueError(f"{entity.name}: no file with a header in {path}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_csv_entity(spark: SparkSession, entity: Entity, path: str | list[str]) -> DataFrame:
+    """One raw entity from CSV files with a header each, as text columns in declared order.
+
+    Columns are matched by the header of their own file, after a byte-order mark is dropped; files may differ in the order and
+    number of columns. Records with fewer or more values than their header are left out here and
+    listed by ``csv_quarantine``. Only entities with line breaks inside values give up split reading.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("multiLine", entity.multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
-    named = raw.toDF(*[c.lstrip(BYTE_ORDER_MARK) for c in raw.columns])
-    missing = [c for c in entity.columns if c not in named.columns]
-    if missing:
-        raise ValueError(f"{entity.name}: columns missing in {path}: {missing}")
-    return named.select(*entity.columns)
+    # Spark refuses a scan of the bad-record column alone; the second test is always true and keeps a column beside it
+    fits = F.col(_BAD).isNull() & (F.length(F.concat_ws("", F.col(entity.columns[0]))) >= 0)
+    return _csv_rows(spark, entity, path).filter(fits).select(*entity.columns)
+
+
+def csv_quarantine(spark: SparkSession, entity: Entity, path: str | list[str]) -> DataFrame:
+    """Records that do not fit their file's header: entity, file, record as it stands in the file."""
+    some = F.length(F.concat_ws("", F.col(entity.columns[0]))) >= 0
+    bad = _csv_rows(spark, entity, path).filter(F.col(_BAD).isNotNull() & some)
+    return bad.select(F.lit(entity.name).alias("entity"), F.col(_FILE).alias("file"), F.col(_BAD).alias("record"))
 
 
 def read_csv_folder(spark: SparkSession, root: str, files: dict[str, str] | None = None) -> dict[str, DataFrame]:

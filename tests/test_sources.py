@@ -32,6 +32,42 @@ def test_csv_without_a_declared_column_is_refused(spark, tmp_path):
         files.read_csv_entity(spark, ENTITIES["sellers"], str(path))
 
 
+SELLERS = ENTITIES["sellers"]
+
+
+def test_csv_files_are_matched_by_their_own_header(spark, tmp_path):
+    """Another order of columns, an extra column, a byte-order mark, an empty file: every value finds its column."""
+    (tmp_path / "a.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n1,01000,x,SP\n")
+    (tmp_path / "b.csv").write_text('\ufeff"seller_state",seller_city,note,note,seller_id,seller_zip_code_prefix\r\nRJ,"y, z",n,,2,02000\r\n')
+    (tmp_path / "c.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n3,03000,,MG\n")
+    (tmp_path / "d.csv").write_text("")
+    got = rows(files.read_csv_entity(spark, SELLERS, str(tmp_path)))
+    assert got == [("1", "01000", "x", "SP"), ("2", "02000", "y, z", "RJ"), ("3", "03000", None, "MG")]
+    assert [len(f) for f in files.csv_headers(spark, str(tmp_path)).values()] == [2, 1]
+    assert files.csv_quarantine(spark, SELLERS, str(tmp_path)).count() == 0
+
+
+def test_bad_records_are_listed_and_not_fatal(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n1,01000,x,SP\n2,short\n3,03000,x,SP,extra\n4,04000,y,RJ\n")
+    (tmp_path / "b.csv").write_text("seller_state,seller_city,seller_zip_code_prefix,seller_id\nSP,x\nSP,x,05000,5\n")
+    assert [r[0] for r in rows(files.read_csv_entity(spark, SELLERS, str(tmp_path)))] == ["1", "4", "5"]
+    bad = rows(files.csv_quarantine(spark, SELLERS, str(tmp_path)))
+    assert [(e, f.rsplit("/", 1)[1], r) for e, f, r in bad] == [
+        ("sellers", "a.csv", "2,short"), ("sellers", "a.csv", "3,03000,x,SP,extra"), ("sellers", "b.csv", "SP,x"),
+    ]
+    narrow = files.read_csv_entity(spark, SELLERS, str(tmp_path)).select("seller_id")
+    assert [r[0] for r in rows(narrow)] == ["1", "4", "5"] and narrow.count() == 3
+
+
+def test_csv_without_files_or_with_a_repeated_column_is_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("")
+    with pytest.raises(ValueError, match="no file with a header"):
+        files.read_csv_entity(spark, SELLERS, str(tmp_path))
+    (tmp_path / "b.csv").write_text("seller_id,seller_id,seller_zip_code_prefix,seller_city,seller_state\n")
+    with pytest.raises(ValueError, match="repeats"):
+        files.read_csv_entity(spark, SELLERS, str(tmp_path))
+
+
 def test_json_array_file_and_column(spark, tmp_path):
     text = '[{"date":"2017-01-01","name":"a","type":"national","weekday":"domingo"},{"date":"2017-04-21","name":"b"}]'
     (tmp_path / "2017.json").write_text(text)
