@@ -358,8 +358,11 @@ def holiday_window_demand(
         )
     )
     # only days inside a window are summed, so the rest of the history is left out before the sum
-    days = checked_broadcast(windows.select("order_date_key").distinct())
-    sold = fact_order_items.join(days, "order_date_key", "left_semi")
+    days = windows.select("order_date_key").distinct()
+    on = ["order_date_key"]
+    if "month_key" in fact_order_items.columns:  # the days name the folders that are opened
+        days, on = days.withColumn("month_key", F.floor(F.col("order_date_key") / 100).cast("int")), [*on, "month_key"]
+    sold = fact_order_items.join(checked_broadcast(days), on, "left_semi")
     # days x categories: both the completeness test and the sums read it
     sales = pinned(category_daily_sales(sold, dim_product))
     sold_days = sales.select("order_date_key").distinct()
@@ -411,27 +414,32 @@ def holiday_category_label(changes: DataFrame) -> DataFrame:
 # --- customers ------------------------------------------------------------
 
 
+def rfm_columns(rfm: DataFrame) -> DataFrame:
+    """The scores under the names of the drill-downs."""
+    return rfm.select(
+        "customer_key",
+        "customer_segment",
+        F.col("recency").alias("recency_days"),
+        "frequency",
+        F.col("monetary").alias("monetary_value"),
+        "recency_score",
+        "frequency_score",
+        "monetary_score",
+        "rfm_code",
+        F.col("rfm_total_score").alias("rfm_score"),
+    )
+
+
+def _named(scored: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    persons = dim_customer.select("customer_key", "customer_unique_id")
+    rest = [c for c in scored.columns if c != "customer_key"]
+    return scored.join(persons, "customer_key", "left").select("customer_key", "customer_unique_id", *rest)
+
+
 def rfm_detail(rfm: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Scored customers with their person id, highest spend first."""
-    persons = dim_customer.select("customer_key", "customer_unique_id")
-    return (
-        rfm.join(persons, "customer_key", "left")
-        .select(
-            "customer_key",
-            "customer_unique_id",
-            "customer_segment",
-            F.col("recency").alias("recency_days"),
-            "frequency",
-            F.col("monetary").alias("monetary_value"),
-            "recency_score",
-            "frequency_score",
-            "monetary_score",
-            "rfm_code",
-            F.col("rfm_total_score").alias("rfm_score"),
-        )
-        # the key splits customers of equal spend over the sorted parts
-        .orderBy(F.desc("monetary_value"), "customer_key")
-    )
+    # the key splits customers of equal spend over the sorted parts
+    return _named(rfm_columns(rfm), dim_customer).orderBy(F.desc("monetary_value"), "customer_key")
 
 
 def rfm_scores(rfm: DataFrame) -> DataFrame:
@@ -466,11 +474,24 @@ def rfm_segment_list(detail: DataFrame) -> DataFrame:
     return named.select("customer_segment").distinct().orderBy("customer_segment")
 
 
-def top_customers(detail: DataFrame, n: int = 10, metric: str = "monetary_value") -> DataFrame:
-    """Best customers by a metric: the smallest recency, the largest of anything else."""
-    first = F.asc_nulls_last(metric) if metric == "recency_days" else F.desc(metric)
+def top_customers(
+    rfm: DataFrame, dim_customer: DataFrame, n: int = 10, metric: str = "monetary_value"
+) -> DataFrame:
+    """Best customers by a metric: the smallest recency, the largest of anything else; equal ones by their person id.
+
+    The n-th best value is found first, so only customers at least as good look up their names.
+    """
+    smallest = metric == "recency_days"
+    detail = rfm_columns(rfm)
+    value = F.col(metric)
+    best = detail.select(metric).orderBy(F.asc_nulls_last(metric) if smallest else F.desc(metric)).limit(n)
+    # no limit when the list holds a customer without a value, or fewer than n
+    edge = best.agg(F.when(F.count(metric) == n, F.max(metric) if smallest else F.min(metric))).scalar()
+    good = detail.filter(F.coalesce(value <= edge if smallest else value >= edge, edge.isNull()))
+    first = F.asc_nulls_last(metric) if smallest else F.desc(metric)
     return (
-        detail.orderBy(first, "customer_unique_id")
+        _named(good, dim_customer)
+        .orderBy(first, "customer_unique_id")
         .limit(n)
         .select(
             "customer_unique_id", "customer_segment", "recency_days", "frequency", "monetary_value", "rfm_score"

@@ -19,6 +19,8 @@ from feira.plans.skew import lookup
 from feira.settings import Settings
 
 
+Frame = Callable[[], DataFrame]
+
 # --- dimensions -----------------------------------------------------------
 
 
@@ -63,20 +65,46 @@ def dim_geolocation(zips: DataFrame) -> DataFrame:
     )
 
 
+def _given(frame: DataFrame | Frame) -> DataFrame:
+    return frame if isinstance(frame, DataFrame) else frame()
+
+
 def _geolocation_key(df: DataFrame, zip_column: str, geolocation: DataFrame) -> DataFrame:
     """Key of a ZIP's location; one ZIP may hold any share of the rows."""
     known = geolocation.filter(F.col("zip_code_prefix").isNotNull())
     return lookup(df, known.select(F.col("zip_code_prefix").alias(zip_column), "geolocation_key"), [zip_column])
 
 
-def dim_customer(customers: DataFrame, orders: DataFrame, geolocation: DataFrame) -> DataFrame:
+DIM_CUSTOMER = [
+    "customer_key",
+    "customer_id",
+    "customer_unique_id",
+    "customer_zip_code_prefix",
+    "customer_city",
+    "customer_state",
+    "customer_first_order_date",
+    "geolocation_key",
+]
+
+
+def dim_customer(
+    customers: DataFrame,
+    orders: DataFrame | Frame,
+    geolocation: DataFrame | Frame,
+    columns: Iterable[str] | None = None,
+) -> DataFrame:
     """One row per person: first order date and the address of the latest order.
 
     Orders are reduced to their first and latest per account before they meet the
     accounts, and accounts to persons by the largest struct. Both steps aggregate
     on the map side, so neither a busy account nor a busy person is a hot task.
+    Keys and names alone need no orders, and only ``geolocation_key`` needs the locations.
     """
-    per_account = orders.groupBy("customer_id").agg(
+    wanted = list(columns) if columns is not None else DIM_CUSTOMER
+    if set(wanted) <= {"customer_key", "customer_unique_id"}:
+        persons = customers.select("customer_unique_id").distinct()
+        return persons.withColumn("customer_key", surrogate_key("customer_unique_id")).select(*wanted)
+    per_account = _given(orders).groupBy("customer_id").agg(
         F.min("order_purchase_timestamp").alias("first"),
         F.max(F.struct("order_purchase_timestamp", "order_id")).alias("last"),
     )
@@ -106,7 +134,9 @@ def dim_customer(customers: DataFrame, orders: DataFrame, geolocation: DataFrame
         F.when(known, F.col("latest.customer_state")).alias("customer_state"),
         F.when(known, F.to_date("first")).alias("customer_first_order_date"),
     )
-    return _geolocation_key(dim, "customer_zip_code_prefix", geolocation).select(*dim.columns, "geolocation_key")
+    if "geolocation_key" in wanted:
+        dim = _geolocation_key(dim, "customer_zip_code_prefix", _given(geolocation))
+    return dim.select(*wanted)
 
 
 def dim_product(products: DataFrame, translation: DataFrame) -> DataFrame:
@@ -163,8 +193,6 @@ _REVIEW_MEASURES = {"average_review_score", "review_count", "latest_review_date"
 _DELIVERY = {"delivery_days", "estimated_delivery_days", "is_late"}
 _HISTORY = {"customer_type", "first_order_timestamp"}
 
-Frame = Callable[[], DataFrame]
-
 
 def fact_orders(
     orders: DataFrame,

@@ -113,7 +113,13 @@ class Catalog:
 
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return marts.dim_customer(self.stg_customers, self.stg_orders, self.dim_geolocation)
+        return self.customers()
+
+    def customers(self, columns: Iterable[str] | None = None) -> DataFrame:
+        """The customer dimension, built only as far as ``columns`` need it."""
+        return marts.dim_customer(
+            self.stg_customers, lambda: self.stg_orders, lambda: self.dim_geolocation, columns
+        )
 
     @cached_property
     def dim_product(self) -> DataFrame:

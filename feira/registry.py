@@ -47,6 +47,8 @@ ITEM_VALUES = ["order_key", "price", "freight_value"]
 ITEM_MONEY = ["order_key", "order_date_key", "price", "freight_value"]
 ITEM_SALES = [*ITEM_MONEY, "product_key"]
 SALE_ORDERS = ["order_key", "customer_key", "order_status", "order_purchase_timestamp"]
+CUSTOMER_NAME = ["customer_key", "customer_unique_id"]
+CUSTOMER_STATE = ["customer_key", "customer_state"]
 # the generated tables have seven categories, so lists of ten would never cut
 BEST = 3
 SEGMENTS = ["Big Spenders", "Champions", "Lost Customers"]
@@ -125,7 +127,7 @@ class World:
     @cached_property
     def monthly_state_sales(self) -> DataFrame:
         orders = self.cat.fact_orders(SALE_ORDERS)
-        return drilldown.monthly_state_sales(self.values, orders, self.cat.dim_customer, SETTINGS.compare_years)
+        return drilldown.monthly_state_sales(self.values, orders, self.cat.customers(CUSTOMER_STATE), SETTINGS.compare_years)
 
     @cached_property
     def comparison(self) -> DataFrame:
@@ -139,7 +141,7 @@ class World:
     def monthly_trend(self) -> DataFrame:
         orders = self.cat.fact_orders([*ORDER_SPINE, "customer_key"])
         return reports.monthly_sales_trend(
-            orders, self.money, self.dates, self.cat.dim_customer, SETTINGS
+            orders, self.money, self.dates, self.cat.customers(CUSTOMER_STATE), SETTINGS
         )
 
     @cached_property
@@ -161,7 +163,7 @@ class World:
 
     @cached_property
     def rfm_detail(self) -> DataFrame:
-        return drilldown.rfm_detail(self.cat.fct_customer_rfm, self.cat.dim_customer)
+        return drilldown.rfm_detail(self.cat.fct_customer_rfm, self.names)
 
     @cached_property
     def rfm_scores(self) -> DataFrame:
@@ -169,7 +171,15 @@ class World:
 
     @cached_property
     def rfm_report(self) -> DataFrame:
-        return reports.rfm_analysis(self.cat.fct_customer_rfm, self.cat.dim_customer, SETTINGS.top_customers)
+        places = self.cat.customers([*CUSTOMER_NAME, "customer_state", "customer_city"])
+        return reports.rfm_analysis(self.cat.fct_customer_rfm, places, SETTINGS.top_customers)
+
+    @cached_property
+    def names(self) -> DataFrame:
+        return self.cat.customers(CUSTOMER_NAME)
+
+    def top(self, metric: str) -> DataFrame:
+        return drilldown.top_customers(self.cat.fct_customer_rfm, self.names, 10, metric)
 
     @cached_property
     def staged(self) -> dict[str, DataFrame]:
@@ -478,9 +488,9 @@ QUERIES |= {
     "rfm_segment_filtered": lambda w: drilldown.rfm_segment_filtered(w.rfm_scores, SEGMENTS),
     "rfm_kpis": lambda w: drilldown.rfm_kpis(w.rfm_scores),
     "rfm_segment_list": lambda w: drilldown.rfm_segment_list(w.rfm_scores),
-    "top_customers": lambda w: drilldown.top_customers(w.rfm_detail, 10, "monetary_value"),
-    "top_customers_by_frequency": lambda w: drilldown.top_customers(w.rfm_detail, 10, "frequency"),
-    "top_customers_by_recency": lambda w: drilldown.top_customers(w.rfm_detail, 10, "recency_days"),
+    "top_customers": lambda w: w.top("monetary_value"),
+    "top_customers_by_frequency": lambda w: w.top("frequency"),
+    "top_customers_by_recency": lambda w: w.top("recency_days"),
     "report_top10_view": lambda w: drilldown.report_top10_view(w.rfm_report),
     "pivot_month_region": lambda w: drilldown.pivot_month_region(w.monthly_trend),
     "pivot_state_month_region": lambda w: drilldown.pivot_month_region(

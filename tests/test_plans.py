@@ -5,7 +5,7 @@ import re
 import pytest
 
 from feira import registry
-from feira.operators import rfm
+from feira.operators import drilldown, rfm
 from feira.registry import RFM_INPUT, World
 
 
@@ -53,6 +53,21 @@ def test_windows_open_month_folders_of_both_facts(spark, folder, name):
     assert all("month_key" in re.search(r"PartitionFilters: \[([^\]]*)", line)[1] for line in facts)
 
 
+def test_holiday_windows_open_their_month_folders(spark, folder):
+    text = plan(registry.queries()["marts_holiday_window_demand"](spark, folder))
+    # the sums are pinned, so the plan of the summing itself is looked at
+    w = registry.World(spark, folder)
+    tables = registry._published(w, "dim_product", "fact_order_items")
+    seen = []
+    kept = drilldown.pinned
+    drilldown.pinned = lambda df: (seen.append(plan(df)), kept(df))[1]
+    try:
+        drilldown.holiday_window_demand(w.cat.stg_holiday_calendar, tables.fact_order_items(), tables.dim_product)
+    finally:
+        drilldown.pinned = kept
+    assert text and any(re.search(r"PartitionFilters: \[[^\]]*dynamicpruning", t) for t in seen)
+
+
 def test_segment_figures_leave_out_the_customer_dimension(spark, folder):
     w = World(spark, folder)
     assert "first_order" not in plan(w.rfm_scores) and "customer_unique_id" not in plan(w.rfm_scores)
@@ -65,6 +80,17 @@ def test_narrow_facts_skip_lookups(spark, folder):
     assert "lineitem" not in plan(w.spine)
 
 
+@pytest.mark.parametrize("name", [
+    "monthly_sales_trend", "monthly_state_sales", "region_rollup", "rfm_analysis", "rfm_detail", "top_customers",
+    "report_top10_view", "pivot_month_region",
+])
+def test_locations_are_left_out_where_nobody_reads_them(spark, folder, name):
+    text = plan(registry.queries()[name](spark, folder))
+    assert "geolocation" not in text
+    if name in ("rfm_detail", "top_customers"):  # names alone need no orders either
+        assert "customer_city" not in text and "max(struct(order_purchase_timestamp" not in text
+
+
 def test_only_counted_frames_are_broadcast(spark):
     from feira.plans.sizing import checked_broadcast
 

@@ -1,7 +1,9 @@
 """Report and drill-down edge cases."""
 
 from datetime import date
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from feira.operators import drilldown as dd
@@ -149,3 +151,19 @@ def test_unknown_product_key_is_a_category_of_the_report_only(spark):
     assert {r["product_category"] for r in mix.collect()} == {"Unknown"}
     known = dd.holiday_category_mix_known(items, calendar(spark), products, 10, ONE_MONTH)
     assert known.filter(F.lit(True)).count() == 0
+
+
+@pytest.mark.parametrize("metric", ["monetary_value", "frequency", "recency_days"])
+@pytest.mark.parametrize("n", [1, 3, 5, 50])
+def test_top_customers_with_ties_and_missing_values(spark, metric, n):
+    data = [(f"k{i}", None if i % 7 == 0 else i % 4, i % 3 + 1, None if i % 5 == 0 else Decimal(i % 6)) for i in range(20)]
+    scores = make(spark, data, "customer_key string, recency bigint, frequency bigint, monetary decimal(38,9)")
+    for c in ("customer_segment", "recency_score", "frequency_score", "monetary_score", "rfm_code", "rfm_total_score"):
+        scores = scores.withColumn(c, F.lit(1))
+    # one customer has no name
+    people = make(spark, [(k, f"u{19 - i:02d}") for i, (k, *_) in enumerate(data) if i != 13], "customer_key string, customer_unique_id string")
+    got = dd.top_customers(scores, people, n, metric).select("customer_unique_id", metric).collect()
+    everyone = dd.rfm_detail(scores, people).select("customer_unique_id", metric).collect()
+    sign = 1 if metric == "recency_days" else -1
+    everyone.sort(key=lambda r: (r[1] is None, sign * (r[1] or 0), r[0] is not None, r[0] or ""))
+    assert got == everyone[:n]
