@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from feira.operators.model_tests import stacked
+from feira.sources.files import csv_headers
+from feira.sources.sinks import read_report
 
 # --- fixed values: report -> its columns in order ---------------------------
 REPORT_COLUMNS = {
@@ -46,26 +49,51 @@ def column_faults(actual: list[str], expected: list[str]) -> dict[str, object]:
     }
 
 
+def _verdict(report: str, rows: DataFrame, actual: list[str], expected: list[str]) -> DataFrame:
+    """One verdict row; ``rows`` is a frame of one row count."""
+    faults = column_faults(actual, expected)
+    sound = not any(faults.values())
+    lists = [
+        F.lit(", ".join(faults[k])).alias(k) for k in ("duplicate_columns", "missing_columns", "unexpected_columns")
+    ]
+    return rows.select(
+        F.lit(report).alias("report"),
+        "rows",
+        F.lit(len(actual)).alias("columns"),
+        *lists,
+        F.lit(faults["wrong_order"]).alias("wrong_order"),
+        ((F.col("rows") > 0) & F.lit(sound)).alias("success"),
+    )
+
+
 def report_contract(
     reports: dict[str, DataFrame], expected: dict[str, list[str]] = REPORT_COLUMNS
 ) -> DataFrame:
     """One verdict row per report: not empty, no repeated column, exactly the expected columns."""
+    return stacked([
+        _verdict(name, df.agg(F.count("*").alias("rows")), df.columns, expected[name]) for name, df in reports.items()
+    ])
+
+
+def published_contract(
+    spark: SparkSession, root: str, expected: dict[str, list[str]] = REPORT_COLUMNS
+) -> DataFrame:
+    """The contract of the files as published: the header every file has, and the records below it.
+
+    A report that is absent or cannot be read lacks all its columns; of files with different headers, the first
+    that breaks the contract is reported.
+    """
     parts = []
-    for name, df in reports.items():
-        faults = column_faults(df.columns, expected[name])
-        sound = not any(faults.values())
-        lists = [
-            F.lit(", ".join(faults[k])).alias(k)
-            for k in ("duplicate_columns", "missing_columns", "unexpected_columns")
-        ]
-        parts.append(
-            df.agg(F.count("*").alias("rows")).select(
-                F.lit(name).alias("report"),
-                "rows",
-                F.lit(len(df.columns)).alias("columns"),
-                *lists,
-                F.lit(faults["wrong_order"]).alias("wrong_order"),
-                ((F.col("rows") > 0) & F.lit(sound)).alias("success"),
-            )
-        )
+    for name, columns in expected.items():
+        path = f"{root.rstrip('/')}/{name}"
+        try:
+            headers = [list(h) for h in csv_headers(spark, path)]
+        except AnalysisException:  # no such report
+            headers = []
+        if headers:
+            rows = read_report(spark, name, root).agg(F.count("*").alias("rows"))
+        else:
+            rows, headers = spark.range(1).select(F.lit(0).cast("bigint").alias("rows")), [[]]
+        broken = [h for h in headers if any(column_faults(h, columns).values())]
+        parts.append(_verdict(name, rows, (broken or headers)[0], columns))
     return stacked(parts)

@@ -110,3 +110,8 @@ def read_report(spark: SparkSession, name: str, root: str) -> DataFrame:
 def published_columns(df: DataFrame, read_back: DataFrame) -> bool:
     """Whether the written report kept the columns and their order."""
     return df.columns == read_back.columns
+
+
+def as_text(df: DataFrame) -> DataFrame:
+    """Every column as the text that CSV holds of it; an empty text is no value there."""
+    return df.select(*[F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns])

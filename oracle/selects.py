@@ -674,9 +674,12 @@ add("report_contract", union([
     f"SELECT '{r}' AS report, COUNT(*) AS rows, {len(REPORT_COLUMNS[r])} AS columns, '' AS duplicate_columns, "
     f"'' AS missing_columns, '' AS unexpected_columns, FALSE AS wrong_order, COUNT(*) > 0 AS success FROM {view}"
     for r, view in REPORT_VIEWS.items()]))
+_WRITTEN = REPORT_VIEWS | {
+    f"profile_{p}": f"({ORACLE[f'profile_{p}']})" for p in ("tables", "columns", "missing", "duplicates", "distribution")
+}
 add("sink_report", union([
-    f"SELECT '{r}' AS report, COUNT(*) AS rows, COUNT(*) AS written_rows, TRUE AS same_columns FROM {view}"
-    for r, view in REPORT_VIEWS.items()]))
+    f"SELECT '{r}' AS report, COUNT(*) AS rows, COUNT(*) AS written_rows, TRUE AS same_columns, TRUE AS same_values FROM {view}"
+    for r, view in _WRITTEN.items()]))
 
 # over published tables the answers are the same
 for _name in ("order_vs_aov", "holiday_impact_all_orders", "category_sales", "holiday_window_demand"):

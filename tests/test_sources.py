@@ -215,3 +215,37 @@ def test_csv_files_lead_to_the_same_marts(spark, folder, tmp_path):
     assert rows(cat.fact_order_items()) == rows(w.cat.fact_order_items())
     for name in ("dim_customer", "dim_product", "dim_seller", "fact_payments", "fact_reviews"):
         assert rows(cat.model(name)) == rows(w.cat.model(name)), name
+
+
+def test_published_files_are_held_against_the_contract(spark, tmp_path):
+    good = make(spark, [("x", 1, 2.0, 3.0)], "day_type string, order_count bigint, gmv double, avg_order_value double")
+    want = contract.REPORT_COLUMNS["holiday_impact"]
+    expected = {n: want for n in ("whole", "empty", "absent", "turned", "mixed", "extra")}
+    sinks.write_report("whole", good, str(tmp_path))
+    sinks.write_report("empty", good.limit(0), str(tmp_path))
+    sinks.write_report("turned", good.select(*reversed(want)), str(tmp_path))
+    sinks.write_report("extra", good.withColumn("note", F.lit("n")).drop("gmv"), str(tmp_path))
+    sinks.write_report("mixed", good, str(tmp_path))
+    (tmp_path / "mixed" / "z.csv").write_text("day_type,day_type,order_count,gmv,avg_order_value\na,a,1,1,1\n")
+    got = {r["report"]: r for r in contract.published_contract(spark, str(tmp_path), expected).collect()}
+    assert {n for n, r in got.items() if r["success"]} == {"whole"}
+    assert got["empty"]["rows"] == 0 and got["turned"]["wrong_order"] and got["mixed"]["duplicate_columns"] == "day_type"
+    assert got["absent"]["missing_columns"] == ", ".join(want)
+    assert (got["extra"]["missing_columns"], got["extra"]["unexpected_columns"]) == ("gmv", "note")
+
+
+def test_a_changed_cell_of_a_report_shows(spark, tmp_path):
+    data = make(spark, [("a, \"b\"", money("1.50"), None), ("", money("2"), True)], "t string, v decimal(38,9), b boolean")
+    sinks.write_report("r", data, str(tmp_path))
+
+    def same():
+        back = sinks.read_report(spark, "r", str(tmp_path))
+        pair = [fingerprint.table_fingerprint(sinks.as_text(d), "r").collect() for d in (data, back)]
+        return pair[0] == pair[1]
+
+    assert same()
+    for part in (tmp_path / "r").glob("*.csv"):
+        part.write_text(part.read_text().replace("1.500000000", "1.500000001"))
+    for check in (tmp_path / "r").glob(".*.crc"):
+        check.unlink()
+    assert not same()
