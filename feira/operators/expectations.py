@@ -24,6 +24,7 @@ from feira.domain import (
 )
 from feira.functions.columns import MONEY, TOTAL, minus
 from feira.operators.model_tests import as_rows, stacked
+from feira.plans.duplicates import Key, repeated_keys
 
 CRITICAL, OBSERVATION, MART = "critical", "observation", "mart"
 NO_COLUMN = "<table or column pair>"
@@ -432,21 +433,22 @@ def result(check: Check, n: Column, wrong: Column, seen: Column) -> dict[str, Co
     }
 
 
-def _evaluate_compound(df: DataFrame, check: Check) -> DataFrame:
+def _evaluate_compound(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Every member of a repeated key is unexpected; rows without any value are ignored."""
-    some = F.coalesce(*[F.col(c).cast("string") for c in check.columns]).isNotNull()
-    groups = df.filter(some).groupBy(*check.columns).count()
-    counted = groups.agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("n"),
-        F.coalesce(F.sum(F.when(F.col("count") > 1, F.col("count"))), F.lit(0)).alias("u"),
+    found = repeated_keys(df, [Key(c.columns, "some") for c in checks])
+    counted = df.sparkSession.createDataFrame(
+        [tuple(v for r in found for v in (r.rows, r.members))],
+        ", ".join(f"n{i} bigint, u{i} bigint" for i in range(len(checks))),
     )
-    return as_rows(counted, [result(check, F.col("n"), F.col("u"), F.lit(None).cast("double"))])
+    nothing = F.lit(None).cast("double")
+    return as_rows(counted, [result(c, F.col(f"n{i}"), F.col(f"u{i}"), nothing) for i, c in enumerate(checks)])
 
 
 def evaluate(df: DataFrame, checks: list[Check]) -> list[DataFrame]:
-    """Result rows of one table's checks: one aggregation, plus one per compound key."""
+    """Result rows of one table's checks: one aggregation, plus one search for all compound keys."""
     single = [c for c in checks if c.kind != "compound_unique"]
-    parts = [_evaluate_compound(df, c) for c in checks if c.kind == "compound_unique"]
+    compound = [c for c in checks if c.kind == "compound_unique"]
+    parts = [_evaluate_compound(df, compound)] if compound else []
     if single:
         measured = df.agg(*[m for i, c in enumerate(single) for m in measures(c, i)])
         rows = [result(c, F.col(f"n{i}"), F.col(f"u{i}"), F.col(f"v{i}")) for i, c in enumerate(single)]

@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.domain import REGIONS, UNKNOWN_REGION
+from feira.plans.duplicates import Key, repeated_in, repeated_keys
 from feira.plans.workspace import pinned
 
 # (model, columns) -> frame that holds at least these columns of the model
@@ -138,12 +139,14 @@ def not_null(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     return as_rows(counted, [{**_label(model=model, column=c), "failures": F.col(c)} for c in columns])
 
 
-def unique(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Values that occur more than once; NULLs do not count."""
-    repeated = df.filter(F.col(column).isNotNull()).groupBy(column).count().filter(F.col("count") > 1)
-    return repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(column).alias("column"), "failures"
-    )
+def _failures(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame:
+    return spark.createDataFrame(rows, "model string, column string, failures bigint")
+
+
+def unique(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """Values per column that occur more than once; NULLs do not count."""
+    found = repeated_keys(df, [Key((c,), "none") for c in columns])
+    return _failures(df.sparkSession, [(model, c, r.values) for c, r in zip(columns, found)])
 
 
 def key_set(df: DataFrame, column: str) -> DataFrame:
@@ -165,11 +168,9 @@ def accepted_values(df: DataFrame, model: str, column: str, values: list[str]) -
 
 
 def unique_combination(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """Compound keys that occur more than once."""
-    repeated = df.groupBy(*columns).count().filter(F.col("count") > 1)
-    return repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(", ".join(columns)).alias("column"), "failures"
-    )
+    """Compound keys that occur more than once; NULL is a value like others."""
+    found = repeated_keys(df, [Key(tuple(columns))])
+    return _failures(df.sparkSession, [(model, ", ".join(columns), found[0].values)])
 
 
 def equal_rowcount(df: DataFrame, other: DataFrame, model: str, compared: str) -> DataFrame:
@@ -194,7 +195,11 @@ def dq_not_null(models: Models) -> DataFrame:
 
 
 def dq_unique(models: Models) -> DataFrame:
-    return stacked([unique(models(m, []), m, c) for m, columns in UNIQUE.items() for c in columns])
+    """Every declared unique column; a model is read once for all of its columns."""
+    tables = {m: (models(m, columns), [Key((c,), "none") for c in columns]) for m, columns in UNIQUE.items()}
+    found = repeated_in(tables)
+    rows = [(m, c, r.values) for m, columns in UNIQUE.items() for c, r in zip(columns, found[m])]
+    return _failures(next(iter(tables.values()))[0].sparkSession, rows)
 
 
 def dq_relationships(models: Models) -> DataFrame:
@@ -218,7 +223,10 @@ def dq_accepted_values(models: Models) -> DataFrame:
 
 
 def dq_unique_combination(models: Models) -> DataFrame:
-    return stacked([unique_combination(models(m, columns), m, columns) for m, columns in UNIQUE_COMBINATION])
+    tables = {m: (models(m, columns), [Key(tuple(columns))]) for m, columns in UNIQUE_COMBINATION}
+    found = repeated_in(tables)
+    rows = [(m, ", ".join(columns), found[m][0].values) for m, columns in UNIQUE_COMBINATION]
+    return _failures(next(iter(tables.values()))[0].sparkSession, rows)
 
 
 def dq_equal_rowcount(models: Models) -> DataFrame:

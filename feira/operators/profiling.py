@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feira.operators.model_tests import stacked
+from feira.plans.duplicates import Key, repeated_in
 from feira.plans.ranking import order_statistics
 
 
@@ -81,19 +82,14 @@ def profile_duplicates(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def profile_keys(frames: dict[str, DataFrame], keys: dict[str, tuple[str, ...]]) -> DataFrame:
-    """Rows beyond the first per candidate key, and whether the key is unique."""
-    parts = []
+    """Rows beyond the first per candidate key, and whether the key is unique; NULL is a value like others."""
+    found = repeated_in({name: (frames[name], [Key(columns)]) for name, columns in keys.items()})
+    rows = []
     for name, columns in keys.items():
-        groups = frames[name].groupBy(*columns).agg(F.count("*").alias("__n"))
-        parts.append(
-            groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias("duplicate_count")).select(
-                F.lit(name).alias("table"),
-                F.lit(", ".join(columns)).alias("key"),
-                (F.col("duplicate_count") == 0).alias("is_unique"),
-                "duplicate_count",
-            )
-        )
-    return stacked(parts)
+        extra = found[name][0].members - found[name][0].values
+        rows.append((name, ", ".join(columns), extra == 0, extra))
+    spark = next(iter(frames.values())).sparkSession
+    return spark.createDataFrame(rows, "table string, key string, is_unique boolean, duplicate_count bigint")
 
 
 PERCENTILES = (50, 75, 90, 95)

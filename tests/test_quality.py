@@ -147,7 +147,7 @@ def test_structural_tests(spark):
     child = make(spark, [("a",), ("a",), ("b",), ("x",), ("x",), (None,)], "k string")
     parent = make(spark, [("a",), ("b",), ("b",), (None,)], "k string")
     assert model_tests.relationships(child, "k", model_tests.key_set(parent, "k")).collect()[0][0] == 2
-    assert model_tests.unique(child, "m", "k").collect()[0]["failures"] == 2
+    assert model_tests.unique(child, "m", ["k"]).collect()[0]["failures"] == 2
     assert model_tests.accepted_values(child, "m", "k", ["a", "b"]).collect()[0]["failures"] == 2
     assert model_tests.not_null(child, "m", ["k"]).collect()[0]["failures"] == 1
 
