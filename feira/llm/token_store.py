@@ -7,12 +7,14 @@ ascending document ids, and each holds
 * ``keys``      its document ids in order (null flags aside), for sequential reading
 * ``levels``, ``bits``  the minimal perfect hash: bit fields of falling size; a key's slot is
   the rank of its bit in the first level where it stands alone
+* ``ranks``     the bits set before each block of 512, so that a rank counts inside one block only
 * ``prints``    per slot a 32-bit fingerprint, which turns away keys that are not in the shard
 * ``offsets``, ``lengths``  per slot where the document's ids begin in the payload and how many they are
 * ``part``, ``first_id``  its range partition, and the ids before it in that partition
 
 Documents are dealt to range partitions of the ascending id, sorted inside, and
-encoded and written in one pass. Only one total per partition is ever gathered.
+encoded and written in one pass. Only one total per partition is ever gathered, and there are at most 20,000
+partitions, larger ones for more text. Shards and row groups are small, so a reader holds a few shards at a time.
 
 Defined results
 * NULL text is empty: such a document has only its end id. A NULL document id sorts first.
@@ -34,13 +36,16 @@ from pyspark.sql import functions as F
 from feira.llm.common import buckets_for, total_of
 from feira.llm.tokens import text_encoder
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
+ROW_GROUP_BYTES = 4 << 20
 SHARD_KEYS = 1 << 16
-PARTITION_TEXT = 32 << 20
+PARTITION_TEXT, PARTITIONS = 32 << 20, 20_000
+BLOCK_BYTES = 64  # of bits that share a rank
+SENT_KEYS = 100_000
 GAMMA = 2  # bits per remaining key and level
 SCHEMA = (
     "part int, first_id bigint, n_docs int, n_ids bigint, low bigint, high bigint, has_null boolean, payload binary, "
-    "keys binary, levels array<int>, bits binary, prints binary, offsets binary, lengths binary"
+    "keys binary, levels array<int>, bits binary, ranks binary, prints binary, offsets binary, lengths binary"
 )
 
 
@@ -56,8 +61,8 @@ def fingerprint(keys: np.ndarray) -> np.ndarray:
     return (mixed(keys, 1_000_003) >> np.uint64(32)).astype("<u4")
 
 
-def build_hash(keys: np.ndarray) -> tuple[list[int], np.ndarray]:
-    """Level sizes in bits, and all levels' bits one after the other, of distinct keys."""
+def build_hash(keys: np.ndarray) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Of distinct keys: level sizes in bits, all levels' bits one after the other as bytes, bits set before each block."""
     levels: list[int] = []
     fields: list[np.ndarray] = []
     left = keys
@@ -68,18 +73,28 @@ def build_hash(keys: np.ndarray) -> tuple[list[int], np.ndarray]:
         levels.append(size)
         fields.append(alone)
         left = left[~alone[at]]
-    return levels, np.concatenate(fields) if fields else np.zeros(0, dtype=bool)
+    packed = np.packbits(np.concatenate(fields) if fields else np.zeros(0, dtype=bool))
+    packed = np.pad(packed, (0, -packed.size % BLOCK_BYTES))
+    inside = np.bitwise_count(packed.reshape(-1, BLOCK_BYTES)).sum(axis=1)
+    return levels, packed, (np.cumsum(inside) - inside).astype("<u4")
 
 
-def slots_of(keys: np.ndarray, levels: list[int], bits: np.ndarray) -> np.ndarray:
-    """Each key's slot, or -1 where no level has a bit for it; constant time a key."""
-    ranks = np.cumsum(bits) - 1
+def slots_of(keys: np.ndarray, levels: list[int], bits: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """Each key's slot, or -1 where no level has a bit for it: a bit per level and one block, whatever the shard's size."""
     out = np.full(keys.size, -1, dtype=np.int64)
+    blocks, bytes_before = bits.reshape(-1, BLOCK_BYTES), np.arange(BLOCK_BYTES)
     left, begin = np.arange(keys.size), 0
     for level, size in enumerate(levels):
         at = begin + (mixed(keys[left], level) % np.uint64(size)).astype(np.int64)
-        hit = bits[at]
-        out[left[hit]] = ranks[at[hit]]
+        hit = (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+        mine, at = left[hit], at[hit]
+        for some in range(0, at.size, 4096):  # a few blocks at a time
+            place = at[some : some + 4096]
+            block, byte = place // (8 * BLOCK_BYTES), (place >> 3) % BLOCK_BYTES
+            near = blocks[block]
+            whole = np.where(bytes_before < byte[:, None], np.bitwise_count(near), 0).sum(axis=1)
+            part = np.bitwise_count(near[np.arange(place.size), byte] >> (8 - (place & 7)).astype(np.uint16))
+            out[mine[some : some + 4096]] = ranks[block] + whole + part
         left, begin = left[~hit], begin + size
     return out
 
@@ -91,8 +106,8 @@ def _shard(part: int, first_id: int, keys: list, ids: list[bytes]) -> dict:
     values = np.array([0 if k is None else k for k in keys], dtype="<i8")
     distinct, first_row = np.unique(values[known], return_index=True)
     rows = np.flatnonzero(known)[first_row]
-    levels, bits = build_hash(distinct)
-    slots = slots_of(distinct, levels, bits)
+    levels, bits, ranks = build_hash(distinct)
+    slots = slots_of(distinct, levels, bits, ranks)
     prints = np.zeros(distinct.size, dtype="<u4")
     at, size = np.zeros(distinct.size, dtype="<i8"), np.zeros(distinct.size, dtype="<i8")
     prints[slots], at[slots], size[slots] = fingerprint(distinct), offsets[rows], lengths[rows]
@@ -101,7 +116,7 @@ def _shard(part: int, first_id: int, keys: list, ids: list[bytes]) -> dict:
         "low": int(distinct[0]) if distinct.size else None, "high": int(distinct[-1]) if distinct.size else None,
         "has_null": bool((~known).any()), "payload": b"".join(ids),
         "keys": known.tobytes() + values.tobytes() + lengths.tobytes(),
-        "levels": levels, "bits": np.packbits(bits).tobytes(), "prints": prints.tobytes(),
+        "levels": levels, "bits": bits.tobytes(), "ranks": ranks.tobytes(), "prints": prints.tobytes(),
         "offsets": at.tobytes(), "lengths": size.tobytes(),
     }
 
@@ -109,7 +124,7 @@ def _shard(part: int, first_id: int, keys: list, ids: list[bytes]) -> dict:
 ARROW = pa.schema([
     ("part", pa.int32()), ("first_id", pa.int64()), ("n_docs", pa.int32()), ("n_ids", pa.int64()), ("low", pa.int64()),
     ("high", pa.int64()), ("has_null", pa.bool_()), ("payload", pa.binary()), ("keys", pa.binary()),
-    ("levels", pa.list_(pa.int32())), ("bits", pa.binary()), ("prints", pa.binary()), ("offsets", pa.binary()),
+    ("levels", pa.list_(pa.int32())), ("bits", pa.binary()), ("ranks", pa.binary()), ("prints", pa.binary()), ("offsets", pa.binary()),
     ("lengths", pa.binary()),
 ])
 
@@ -123,7 +138,7 @@ def write_shards(
     shared = spark.sparkContext.broadcast(definition)  # the tokenizer file, of fixed size
     end = np.asarray([end_id], dtype="<u4").tobytes()
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    parts = buckets_for(total_of(rows, F.octet_length("text")), PARTITION_TEXT)
+    parts = min(PARTITIONS, buckets_for(total_of(rows, F.octet_length("text")), PARTITION_TEXT))
     ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,11 +163,15 @@ def write_shards(
         if keys:
             yield pa.RecordBatch.from_pylist([_shard(part, first, keys, ids)], schema=ARROW)
 
-    ordered.mapInArrow(shards, SCHEMA).write.parquet(path)
+    ordered.mapInArrow(shards, SCHEMA).write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 
 def open_shards(spark: SparkSession, path: str) -> DataFrame:
-    """The shards below ``path`` with ``first_id`` counted over all documents."""
+    """The shards below ``path`` with ``first_id`` counted over all documents.
+
+    Shards travel to Python a few at a time from here on, as a row is about ``SHARD_BYTES``.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
     shards = spark.read.schema(SCHEMA).parquet(path)
     totals = shards.groupBy("part").agg(F.sum("n_ids").alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per range partition
@@ -165,8 +184,8 @@ class Shard:
 
     def __init__(self, row: dict):
         self.levels = row["levels"]
-        total = sum(self.levels)
-        self.bits = np.unpackbits(np.frombuffer(row["bits"], dtype=np.uint8), count=total).astype(bool)
+        self.bits = np.frombuffer(row["bits"], dtype=np.uint8)
+        self.ranks = np.frombuffer(row["ranks"], dtype="<u4")
         self.prints = np.frombuffer(row["prints"], dtype="<u4")
         self.offsets = np.frombuffer(row["offsets"], dtype="<i8")
         self.lengths = np.frombuffer(row["lengths"], dtype="<i8")
@@ -174,7 +193,7 @@ class Shard:
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(found, offset, length) of each key."""
-        slots = slots_of(keys, self.levels, self.bits)
+        slots = slots_of(keys, self.levels, self.bits, self.ranks)
         found = slots >= 0
         found[found] = self.prints[slots[found]] == fingerprint(keys[found])
         at, size = np.zeros(keys.size, dtype=np.int64), np.zeros(keys.size, dtype=np.int64)
@@ -214,15 +233,21 @@ def read_documents(shards: DataFrame) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    wanted = ["first_id", "n_docs", "payload", "keys", "levels", "bits", "prints", "offsets", "lengths"]
+    wanted = ["first_id", "n_docs", "payload", "keys", "levels", "bits", "ranks", "prints", "offsets", "lengths"]
     return shards.select(*wanted).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
 def look_up(shards: DataFrame, keys: Iterable[int]) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of the given keys (at most 100,000); keys that are nowhere give no row."""
+    """(doc_id, start, n_tokens, ids) of the given keys; keys that are nowhere give no row.
+
+    Up to ``SENT_KEYS`` keys go to the shards whose range holds them; more of them are joined with the documents.
+    """
     wanted = np.unique(np.array(list(keys), dtype=np.int64))
-    if wanted.size > 100_000:
-        raise ValueError("join with read_documents() instead of looking up so many keys")
+    if wanted.size > SENT_KEYS:
+        asked = shards.sparkSession.createDataFrame([(int(k),) for k in wanted], "doc_id bigint")
+        first = F.row_number().over(Window.partitionBy("doc_id").orderBy("start"))
+        found = read_documents(shards).join(asked, "doc_id", "left_semi")
+        return found.withColumn("__nth", first).filter("__nth = 1").drop("__nth")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
