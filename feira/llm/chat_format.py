@@ -7,8 +7,8 @@ Grammar of a formatted conversation::
     body         := "[INST] " text " [/INST]"     for the role user
                   | text                          for any other role
 
-A turn is rendered plainly first and parsed again. Where the parse does not
-give back exactly that turn, its role and text are escaped and parsed again;
+The four control strings are reserved: neither role nor text may hold one. A turn is rendered plainly first and parsed again. Where
+the parse does not give back exactly that turn, its role and text are escaped and parsed again;
 the escape splits every control string with an escape character, and doubles
 as "ESC 0" what was an escape character already, so it can always be undone.
 The whole conversation is then parsed once more, and only an equal sequence of
@@ -23,6 +23,8 @@ Defined results
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,11 +69,11 @@ def parsed_turn(piece: Column) -> Column:
     body = F.substr(piece, at)
     lead, tail = INST + " ", " " + INST_END
     inner = F.substr(body, F.lit(len(lead) + 1), F.greatest(F.length(body) - F.lit(len(lead) + len(tail)), F.lit(0)))
+    text = F.when(role == "user", inner).otherwise(body)
+    free = reduce(lambda a, b: a & b, [~F.contains(part, F.lit(m)) for part in (role, text) for m in CONTROL])
     wrapped = F.startswith(body, F.lit(lead)) & F.endswith(body, F.lit(tail)) & (F.length(body) >= len(lead) + len(tail))
     well_formed = F.startswith(piece, F.lit(OPEN)) & F.contains(piece, F.lit("\n")) & ((role != "user") | wrapped)
-    return F.when(
-        well_formed, F.struct(role.alias("role"), F.when(role == "user", inner).otherwise(body).alias("body"))
-    )
+    return F.when(well_formed & free, F.struct(role.alias("role"), text.alias("body")))
 
 
 def parsed(formatted: Column) -> Column:
@@ -143,13 +145,23 @@ def format_chats(
 
 
 def read_chats(formatted: DataFrame, conv_id: str = "conv_id") -> DataFrame:
-    """Digests of what a reader of ``formatted`` recovers: turns, and the text under the loss mask."""
+    """Digests of what a reader of ``formatted`` recovers: turns, and the text under the loss mask.
+
+    The loss text is cut out of ``formatted`` by ``loss_spans`` and then unescaped, as a trainer would.
+    """
     turns = read_turns(F.col("formatted"))
+    cut = F.transform(
+        "loss_spans",
+        lambda s: unescaped(
+            F.substr(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))
+        ),
+    )
+    masked = F.concat_ws("", cut)
     read = formatted.select(
-        F.col(conv_id), turns.alias("turns"), F.length("formatted").cast("bigint").alias("formatted_chars"), "round_trip"
+        F.col(conv_id), turns.alias("turns"), masked.alias("loss"), F.length("formatted").cast("bigint").alias("formatted_chars"), "round_trip"
     )
     said = F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))))
-    loss = F.concat_ws("", F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]))
+    loss = F.col("loss")
     return read.select(
         conv_id,
         F.size("turns").cast("bigint").alias("n_turns"),

@@ -95,7 +95,8 @@ def _escaped_sql(value: str) -> str:
     return out
 
 
-# a turn is escaped when its text holds a turn end, or something that unescaping would change
+# a turn is escaped when its text holds a control string, or an escape character that unescaping would change
+_CONFLICT = " OR ".join(f"contains(text, {m})" for m in ("'<s>'", "'</s>'", "'[INST]'", "'[/INST]'", "chr(27)"))
 ORACLE["op3_chat_format"] = f"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -103,7 +104,7 @@ WITH turns AS (
   UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), pieces AS (
   SELECT *, length(role) + 8 + CASE WHEN role = 'user' THEN 15 ELSE 0 END
-    + length(CASE WHEN contains(text, '</s>') OR contains(text, chr(27)) THEN {_escaped_sql('text')} ELSE text END) AS chars
+    + length(CASE WHEN {_CONFLICT} THEN {_escaped_sql('text')} ELSE text END) AS chars
   FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
