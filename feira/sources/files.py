@@ -108,12 +108,73 @@ def read_csv_folder(spark: SparkSession, root: str, files: dict[str, str] | None
 
 def read_json_records(spark: SparkSession, path: str, schema: T.StructType = HOLIDAY_RECORD) -> DataFrame:
     """Files that each hold one JSON array of records."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    return json_records(_documents(spark, path), F.col("value"), schema)
+
+
+def json_drift_of_files(spark: SparkSession, path: str, schema: T.StructType = HOLIDAY_RECORD) -> DataFrame:
+    """``json_drift`` of files, with the file's name."""
+    named = _documents(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    return json_drift(named, F.col("value"), schema, keep=["file"])
+
+
+def _documents(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("wholetext", True).text(path)
+
+
+def _records(df: DataFrame, document: Column, keep: list[str]) -> DataFrame:
+    """A row per array element, (position, record); one without them for a document that is no JSON array, or an empty one."""
+    elements = F.try_variant_get(F.try_parse_json(document), "$", "array<variant>")
+    return df.select(
+        *keep,
+        document.alias("document"),
+        elements.isNull().alias("unreadable"),
+        F.posexplode_outer(elements).alias("position", "record"),
+    )
 
 
 def json_records(df: DataFrame, document: Column, schema: T.StructType = HOLIDAY_RECORD) -> DataFrame:
-    """The records of a column of JSON arrays, one row each."""
-    return df.select(F.explode(F.from_json(document, T.ArrayType(schema))).alias("record")).select("record.*")
+    """The records of a column of JSON arrays, one row each, with the fields of ``schema``.
+
+    Fields are taken one by one: a record with further fields, without some, or with a value of another kind keeps
+    what fits, and every other field. Elements that are no objects have no fields.
+    """
+    found = _records(df, document, []).filter(F.col("record").isNotNull())
+    return found.select(*[
+        F.try_variant_get("record", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields
+    ])
+
+
+def json_drift(
+    df: DataFrame, document: Column, schema: T.StructType = HOLIDAY_RECORD, keep: list[str] | None = None
+) -> DataFrame:
+    """Records that differ from ``schema``: position, extra and missing fields, fields of another kind, the record as JSON.
+
+    Documents that are no JSON array are one row without a position. ``keep`` names columns to carry along.
+    """
+    keep = keep or []
+    names = F.array(*[F.lit(n) for n in schema.fieldNames()])
+    fields = F.try_variant_get("record", "$", "map<string,variant>")
+    present = F.coalesce(F.map_keys(fields), F.array().cast("array<string>"))
+    unlike = F.array_compact(F.array(*[
+        F.when(
+            F.try_variant_get("record", f"$.{f.name}", "variant").isNotNull()
+            & F.try_variant_get("record", f"$.{f.name}", f.dataType.simpleString()).isNull()
+            & ~F.is_variant_null(F.try_variant_get("record", f"$.{f.name}", "variant")),
+            f.name,
+        )
+        for f in schema.fields
+    ]))
+    told = _records(df, document, keep).select(
+        *keep,
+        "unreadable",
+        "position",
+        F.array_sort(F.array_except(present, names)).alias("extra"),
+        F.when(F.col("position").isNotNull(), F.array_except(names, present)).alias("missing"),
+        unlike.alias("unlike"),
+        F.coalesce(F.to_json("record"), "document").alias("record"),
+    )
+    differs = (F.size("extra") > 0) | (F.size("missing") > 0) | (F.size("unlike") > 0)
+    return told.filter(F.col("unreadable") | (F.col("position").isNotNull() & differs)).drop("unreadable")
 
 
 def resolve_dataset(layer: str, env: str = "dev") -> str:

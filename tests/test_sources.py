@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.operators import contract, fingerprint, reports
 from feira.plans.build import mart_tables, publish_marts
@@ -77,6 +78,33 @@ def test_json_array_file_and_column(spark, tmp_path):
     assert rows(files.json_records(column, F.col("doc"))) == want
 
 
+def test_drifted_records_survive_and_are_reported(spark, tmp_path):
+    whole = '{"date":"2017-01-01","name":"a","type":"national","weekday":"domingo"}'
+    documents = {
+        "2017.json": f'[{whole}, {{"date":"2017-04-21","name":"b","type":null,"weekday":"x","state":"SP","note":1}}, '
+                     '{"name":"c"}, 7, {"date":20170501,"name":{"pt":"d"},"type":"t","weekday":"w"}]',
+        "2018.json": '{"not": "an array"}',
+        "2019.json": "[{broken",
+        "2020.json": "[]",
+    }
+    for name, text in documents.items():
+        (tmp_path / name).write_text(text)
+    got = rows(files.read_json_records(spark, str(tmp_path)))
+    assert got == sorted([
+        ("2017-01-01", "a", "national", "domingo"), ("2017-04-21", "b", None, "x"), (None, "c", None, None),
+        (None, None, None, None), ("20170501", '{"pt":"d"}', "t", "w"),
+    ], key=str)
+    drift = {(r["file"].rsplit("/", 1)[1], r["position"]): r for r in files.json_drift_of_files(spark, str(tmp_path)).collect()}
+    assert set(drift) == {("2017.json", 1), ("2017.json", 2), ("2017.json", 3), ("2018.json", None), ("2019.json", None)}
+    assert drift["2017.json", 1]["extra"] == ["note", "state"] and drift["2017.json", 1]["missing"] == []
+    assert drift["2017.json", 2]["missing"] == ["date", "type", "weekday"] and drift["2017.json", 3]["record"] == "7"
+    assert drift["2019.json", None]["record"] == "[{broken"
+    typed = T.StructType([T.StructField("date", T.LongType()), T.StructField("name", T.StringType())])
+    column = make(spark, [('[{"date":1,"name":"x"},{"date":"soon","name":"y"}]',)], "doc string")
+    assert rows(files.json_records(column, F.col("doc"), typed)) == [(1, "x"), (None, "y")]
+    assert [(r["position"], r["unlike"]) for r in files.json_drift(column, F.col("doc"), typed).collect()] == [(1, ["date"])]
+
+
 def test_dataset_names():
     assert files.resolve_dataset("staging", "prod") == "staging"
     assert files.resolve_dataset("mart") == "mart_dev"
