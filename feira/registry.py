@@ -8,7 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feira.operators import contract, drilldown, expectations, fingerprint, intermediate, model_tests, profiling, reports, rfm
+from feira.operators import contract, drilldown, expectations, fingerprint, intermediate, model_tests, profiling, reports, rfm, sketches
 from feira.operators.checked_load import load_checked
 from feira.plans.build import MARTS, publish_marts
 from feira.plans.catalog import Catalog
@@ -399,6 +399,23 @@ def report_contract(w: World) -> DataFrame:
     return contract.published_contract(w.spark, root)
 
 
+def profile_columns_merged(w: World) -> DataFrame:
+    """Profiles of the facts merged from monthly sketches, added in two steps, beside exact distinct counts."""
+    tables = _published(w, "fact_orders", "fact_order_items")
+    path = new_folder(w.spark, "sketches")
+    middle = SETTINGS.report_start[0] * 100
+    facts = {"fact_orders": tables.fact_orders(), "fact_order_items": tables.fact_order_items()}
+    for name, df in facts.items():
+        sketches.update_sketches(df.filter(F.col("month_key") < middle), name, path)
+        sketches.update_sketches(df, name, path)
+    merged = sketches.merged_profile(sketches.kept_sketches(w.spark, path))
+    exact = profiling.profile_columns({n: df.drop("month_key") for n, df in facts.items()})
+    near = F.abs(F.col("unique_estimate") - F.col("unique_count")) <= F.greatest(F.col("unique_count") * 0.02, F.lit(0))
+    return merged.join(exact.select("table", "column", "unique_count"), ["table", "column"]).select(
+        "table", "column", "rows", "null_count", near.alias("within_2_percent")
+    )
+
+
 def rounded(df: DataFrame, digits: int) -> DataFrame:
     """Floating statistics to a precision two engines agree on."""
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
@@ -561,6 +578,7 @@ QUERIES |= {
     # profiles
     "profile_tables": lambda w: profiling.profile_tables(w.profiled),
     "profile_columns": lambda w: profiling.profile_columns(w.profiled),
+    "profile_columns_merged": profile_columns_merged,
     "profile_missing": lambda w: profiling.profile_missing(w.profiled),
     "profile_duplicates": lambda w: profiling.profile_duplicates(w.profiled),
     "profile_keys": lambda w: profiling.profile_keys(w.profiled, PROFILE_KEYS),

@@ -637,6 +637,17 @@ add("profile_columns", union([
     f"CAST(COUNT(*) - COUNT({c}) AS DOUBLE) * 100 / CAST(COUNT(*) AS DOUBLE) AS null_pct, "
     f"COUNT(DISTINCT {c}) AS unique_count FROM {STAGING_OF[t]}"
     for t in PROFILED for c, k in COLUMNS[t]]))
+_FACTS = {
+    "fact_orders": "order_key order_id customer_key order_date_key order_status number_of_items gross_merchandise_value "
+                   "delivery_days estimated_delivery_days is_late average_review_score review_count latest_review_date "
+                   "customer_type first_order_timestamp " + ORDER_MONEY + " " + MOMENTS,
+    "fact_order_items": "order_item_key order_key product_key seller_key order_date_key order_item_id product_id seller_id "
+                        "price freight_value shipping_limit_date",
+}
+add("profile_columns_merged", union([
+    f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS null_count, "
+    f"TRUE AS within_2_percent FROM {t}"
+    for t, columns in _FACTS.items() for c in columns.split()]))
 add("profile_missing", "SELECT * FROM (" + union([
     f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", COUNT(*) - COUNT({c}) AS null_count, "
     f"{half_up(f'(COUNT(*) - COUNT({c}))', 'COUNT(*)', factor=100)} AS null_pct FROM {STAGING_OF[t]}"

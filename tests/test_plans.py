@@ -17,7 +17,8 @@ def plan(df) -> str:
 LARGE = {
     "src_csv_entities", "sink_mart", "sink_raw_load", "sink_report", "marts_monthly_sales_trend", "report_contract",
     "marts_order_vs_aov", "marts_holiday_impact_all_orders", "marts_category_sales", "marts_holiday_window_demand",
-    "dq_not_null", "dq_unique", "dq_relationships",
+    "dq_not_null", "dq_unique", "dq_relationships", "profile_columns_merged", "src_layer_frames", "dq_suite_run_raw",
+    "dq_failure_detail_raw",
 }
 NAMES = sorted(set(registry.queries()) - LARGE)
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feira.operators import expectations as ex
-from feira.operators import model_tests, profiling
+from feira.operators import model_tests, profiling, sketches
 from feira.operators.checked_load import load_checked
 from feira.registry import ROW_BASELINES, World
 from feira.sources.versions import Draft
@@ -228,3 +228,25 @@ def test_a_load_of_no_rows_has_results(spark, tmp_path):
     _, details = load_checked(empty, checks, Draft(spark, str(tmp_path)))
     got = {r["expectation"]: r["success"] for r in details.collect()}
     assert got == {"in_set": True, "regex": True, "row_count_between": False, "not_null": True}
+
+
+def test_new_months_are_merged_and_old_ones_stay_unread(spark, tmp_path):
+    base = spark.range(60_000).select(
+        F.col("id"), (F.col("id") % 997).cast("string").alias("few"), F.when(F.col("id") % 3 == 0, F.col("id") % 20_000).alias("some"),
+        F.when(F.col("id") % 50 != 7, 201801 + F.col("id") % 4).cast("int").alias("month_key"),
+    )
+    base.write.partitionBy("month_key").parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    path = str(tmp_path / "sketches")
+    assert sketches.kept_sketches(spark, path).count() == 0
+    sketches.update_sketches(fact.filter("month_key < 201803"), "fact", path)
+    late = sketches.new_periods(fact, "fact", path)
+    plan = late._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(NOT month_key" in plan and late.count() == fact.filter("month_key >= 201803 OR month_key IS NULL").count()
+    sketches.update_sketches(fact, "fact", path)
+    assert sketches.new_periods(fact, "fact", path).count() == 0
+    got = {r["column"]: r for r in sketches.merged_profile(sketches.kept_sketches(spark, path)).collect()}
+    for column in ("id", "few", "some"):
+        exact = fact.agg(F.count_distinct(column), F.count("*"), F.count_if(F.col(column).isNull())).first()
+        assert abs(got[column]["unique_estimate"] - exact[0]) <= 0.02 * exact[0]
+        assert (got[column]["rows"], got[column]["null_count"]) == (exact[1], exact[2])
