@@ -474,24 +474,15 @@ def rfm_segment_list(detail: DataFrame) -> DataFrame:
     return named.select("customer_segment").distinct().orderBy("customer_segment")
 
 
-def top_customers(
-    rfm: DataFrame, dim_customer: DataFrame, n: int = 10, metric: str = "monetary_value"
-) -> DataFrame:
-    """Best customers by a metric: the smallest recency, the largest of anything else; equal ones by their person id.
+def _best_first(metric: str):
+    """Order of a list of best customers: the smallest recency, the largest of anything else."""
+    return F.asc_nulls_last(metric) if metric == "recency_days" else F.desc(metric)
 
-    The n-th best value is found first, so only customers at least as good look up their names.
-    """
-    smallest = metric == "recency_days"
-    detail = rfm_columns(rfm)
-    value = F.col(metric)
-    best = detail.select(metric).orderBy(F.asc_nulls_last(metric) if smallest else F.desc(metric)).limit(n)
-    # no limit when the list holds a customer without a value, or fewer than n
-    edge = best.agg(F.when(F.count(metric) == n, F.max(metric) if smallest else F.min(metric))).scalar()
-    good = detail.filter(F.coalesce(value <= edge if smallest else value >= edge, edge.isNull()))
-    first = F.asc_nulls_last(metric) if smallest else F.desc(metric)
+
+def top_customers(detail: DataFrame, n: int = 10, metric: str = "monetary_value") -> DataFrame:
+    """Best customers by a metric; equal ones by their person id."""
     return (
-        _named(good, dim_customer)
-        .orderBy(first, "customer_unique_id")
+        detail.orderBy(_best_first(metric), "customer_unique_id")
         .limit(n)
         .select(
             "customer_unique_id", "customer_segment", "recency_days", "frequency", "monetary_value", "rfm_score"
@@ -499,6 +490,20 @@ def top_customers(
     )
 
 
+def best_customers(
+    rfm: DataFrame, dim_customer: DataFrame, n: int = 10, metric: str = "monetary_value"
+) -> DataFrame:
+    """``top_customers`` from the scores: the n-th best value is found first, and only customers at least as good
+    look up their names."""
+    scored, value = rfm_columns(rfm), F.col(metric)
+    smallest = metric == "recency_days"
+    best = scored.select(metric).orderBy(_best_first(metric)).limit(n)
+    # no bound when the list holds a customer without a value, or fewer than n
+    edge = best.agg(F.when(F.count(metric) == n, F.max(metric) if smallest else F.min(metric))).scalar()
+    good = scored.filter(F.coalesce(value <= edge if smallest else value >= edge, edge.isNull()))
+    return top_customers(_named(good, dim_customer), n, metric)
+
+
 def report_top10_view(report: DataFrame, n: int = 10) -> DataFrame:
     """Chart rows of the best customers: shortened id, smallest value first."""
     return (

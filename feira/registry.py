@@ -179,7 +179,7 @@ class World:
         return self.cat.customers(CUSTOMER_NAME)
 
     def top(self, metric: str) -> DataFrame:
-        return drilldown.top_customers(self.cat.fct_customer_rfm, self.names, 10, metric)
+        return drilldown.best_customers(self.cat.fct_customer_rfm, self.names, 10, metric)
 
     @cached_property
     def staged(self) -> dict[str, DataFrame]:

@@ -162,7 +162,7 @@ def test_top_customers_with_ties_and_missing_values(spark, metric, n):
         scores = scores.withColumn(c, F.lit(1))
     # one customer has no name
     people = make(spark, [(k, f"u{19 - i:02d}") for i, (k, *_) in enumerate(data) if i != 13], "customer_key string, customer_unique_id string")
-    got = dd.top_customers(scores, people, n, metric).select("customer_unique_id", metric).collect()
+    got = dd.best_customers(scores, people, n, metric).select("customer_unique_id", metric).collect()
     everyone = dd.rfm_detail(scores, people).select("customer_unique_id", metric).collect()
     sign = 1 if metric == "recency_days" else -1
     everyone.sort(key=lambda r: (r[1] is None, sign * (r[1] or 0), r[0] is not None, r[0] or ""))
