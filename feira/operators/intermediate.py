@@ -90,7 +90,7 @@ def int_customer_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
 
     history = order_accounts(orders, customers)
     needed = [c for c in _HISTORY if c in history.columns]
-    layout = range_layout(history.select(*needed), [*group, *order])
+    layout = range_layout(history.select(*needed), [*group, *order], group)
     out = layout.with_minimum(layout.frame, person, qualifying_time, "first_order_timestamp")
     out = layout.with_row_number(out, group, order, "__number")
     number = F.when(F.col("is_qualifying_order"), F.col("__number").cast("bigint"))
