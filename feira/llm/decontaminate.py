@@ -59,6 +59,7 @@ UNITS = [
     "percent", "degree", "degrees", "celsius", "fahrenheit",
 ]
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
+_BEHIND_MARKS = "\x04"
 BROADCAST_ROWS = 300_000
 
 SENTENCES, BLIND = 0, 1
@@ -86,28 +87,39 @@ def _replaced(out: Column, steps: list[tuple[str, str]]) -> Column:
 
 
 def _parted(out: Column) -> Column:
-    return _replaced(F.translate(out, PARTING, " " * len(PARTING)), STEPS[-2:])
+    """The last steps, but for the single spaces: ``tokens_of`` leaves empty tokens out instead."""
+    return _replaced(F.translate(out, PARTING, " " * len(PARTING)), [STEPS[5]])
 
 
 def marked(text: Column) -> Column:
-    """What both templates begin with: single spaces, and capitalised words with a mark."""
-    return _replaced(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), STEPS[:2])
+    """What both templates begin with: single spaces, and capitalised words and numbers with a mark.
+
+    Numbers are marked before sentences are looked at; neither step touches what the other finds.
+    """
+    return _replaced(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), [STEPS[0], STEPS[1], STEPS[3]])
 
 
 def valued(start: Column) -> Column:
-    """Template tokens of ``marked`` text joined by single spaces; slots are a type mark and the value."""
-    return F.trim(F.lower(_parted(_replaced(start, STEPS[2:-2]))))
+    """Template tokens of ``marked`` text between spaces; slots are a type mark and the value."""
+    return F.lower(_parted(_replaced(start, [STEPS[2], STEPS[4]])))
 
 
 def blind_valued(start: Column) -> Column:
     """The same for the blind template, with all capitalised words as names."""
-    numbers = F.lower(_replaced(start, [STEPS[3]]))
-    return F.trim(_parted(F.regexp_replace(numbers, _BLIND_UNIT_PATTERN, STEPS[4][1])))
+    return _parted(F.regexp_replace(F.lower(start), _BLIND_UNIT_PATTERN, STEPS[4][1]))
+
+
+def tokens_of(values: Column) -> Column:
+    return F.array_remove(F.split(values, " "), "")
+
+
+def _is_slot(token: Column) -> Column:
+    return (token >= NUMBER) & (token < _BEHIND_MARKS)
 
 
-def _tokens(values: Column) -> Column:
-    """Template tokens: slots are their type mark alone."""
-    return F.split(F.regexp_replace(values, SLOT, "$1"), " ")
+def _bare(token: Column) -> Column:
+    """Slots as their type mark alone."""
+    return F.when(_is_slot(token), F.substring(token, 1, 1)).otherwise(token)
 
 
 def templates(rows: DataFrame, text: str) -> DataFrame:
@@ -115,9 +127,9 @@ def templates(rows: DataFrame, text: str) -> DataFrame:
     others = [c for c in rows.columns if c != text]
     starts = rows.select(*others, marked(F.col(text)).alias("start"))
     values = starts.select(*others, valued(F.col("start")).alias("a"), blind_valued(F.col("start")).alias("b"))
-    ways = [(SENTENCES, F.col("a")), (BLIND, F.col("b")), (BLIND, F.translate("b", NAME, ""))]
+    ways = [(SENTENCES, F.col("a")), (BLIND, F.col("b")), (BLIND, F.replace("b", F.lit(NAME)))]
     structs = [
-        F.struct(F.lit(kind).alias("kind"), F.lit(way).alias("way"), _tokens(v).alias("tokens"))
+        F.struct(F.lit(kind).alias("kind"), F.lit(way).alias("way"), tokens_of(v).alias("tokens"))
         for way, (kind, v) in enumerate(ways)
     ]
     return values.select(*others, F.explode_outer(F.array(*structs)).alias("t")).select(*others, "t.*")
@@ -126,17 +138,23 @@ def templates(rows: DataFrame, text: str) -> DataFrame:
 def with_window_keys(rows: DataFrame) -> DataFrame:
     """``rows`` with ``keys``: a 64-bit key per window of eight of their ``tokens``, other ones for each ``way``.
 
-    Explode the keys with the outer form: of the inner one the optimizer infers a filter that computes them again.
+    Keys of one, two and four tokens are paired with those that begin where they end. Explode the keys with the
+    outer form: of the inner one the optimizer infers a filter that computes them again.
     """
-    rows = rows.withColumn("hashes", F.transform("tokens", lambda t: F.xxhash64(t)))
-    starts = F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1))
-    keys = F.transform(starts, lambda at: F.xxhash64(F.col("way"), F.slice("hashes", at, WINDOW)))
-    return rows.withColumn("keys", F.when(F.size("hashes") >= WINDOW, keys)).drop("hashes")
+    rows = rows.withColumn("keys", F.transform("tokens", lambda t: F.xxhash64(_bare(t))))
+    size = 1
+    while size < WINDOW:
+        behind = F.slice("keys", size + 1, F.size("keys"))
+        salt = [F.col("way")] if 2 * size == WINDOW else []
+        rows = rows.withColumn("keys", F.zip_with("keys", behind, lambda a, b: F.xxhash64(*salt, a, b)))
+        size *= 2
+    # the last seven were paired with nothing
+    whole = F.size("keys") - (WINDOW - 1)
+    return rows.withColumn("keys", F.when(whole > 0, F.slice("keys", 1, F.greatest(whole, F.lit(0)))))
 
 
 def _mostly_slots(tokens: Column) -> Column:
-    slots = F.filter(tokens, lambda t: t.isin(NUMBER, NAME, UNIT))
-    return F.size(slots) * 2 > F.size(tokens)
+    return F.size(F.filter(tokens, _is_slot)) * 2 > F.size(tokens)
 
 
 def item_windows(items: DataFrame, item_id: str, text: str) -> DataFrame:
@@ -268,7 +286,7 @@ def contaminated(
     item_tokens = items.select(F.col(item_id).alias("item"), *_values_by_kind(F.col(item_text), "own"))
     both = found.join(item_tokens, "item").join(doc_tokens, ["doc", "ver"])
     for side in ("own", "theirs"):
-        both = both.withColumn(side, F.split(F.when(F.col("kind") == BLIND, F.col(f"{side}_b")).otherwise(F.col(f"{side}_a")), " "))
+        both = both.withColumn(side, tokens_of(F.when(F.col("kind") == BLIND, F.col(f"{side}_b")).otherwise(F.col(f"{side}_a"))))
     marks = [NUMBER, NAME, UNIT]
 
     def slots_of(part: Column) -> Column:
