@@ -62,3 +62,22 @@ def test_hashed_keys_are_not_shuffled(spark, folder, name):
 
 def test_a_bucket_holds_at_most_what_one_task_sorts(spark):
     assert 9_000_000 / buckets_for_orders(spark.range(9_000_000)) <= 400_000
+
+
+def test_items_of_other_orders_are_left_out_before_the_shuffle(spark, folder):
+    """Run-time filters reach tables of a few row groups, whatever the size of the filtered side's files."""
+    w = World(spark, folder)
+    threshold = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+    assert spark.conf.get(threshold) == "64MB"
+    sums = rows(w.category_sales(1999))
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", threshold: "0"}
+    before = {k: spark.conf.get(k, None) for k in off}
+    for k, v in off.items():
+        spark.conf.set(k, v)
+    try:
+        filtered = w.category_sales(1999)
+        assert "might_contain" in filtered._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(filtered) == sums
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
