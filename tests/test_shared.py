@@ -10,3 +10,9 @@ def read(df):
 def test_reports_share_facts_and_customers(spark, folder):
     for name, df in World(spark, folder).reports.items():
         assert not {"lineitem.parquet", "customer.parquet"} & read(df), name
+
+
+def test_profiles_share_joined_tables(spark, folder):
+    profiles = World(spark, folder).profiles
+    for name in ("profile_tables", "profile_columns", "profile_missing"):
+        assert "customer.parquet" not in read(profiles[name])
