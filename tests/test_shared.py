@@ -1,6 +1,8 @@
 """What several reports or profiles read is computed once."""
 
-from feira.registry import World
+from feira.registry import QUERIES, World
+from feira.schemas import ENTITIES
+from feira.sources.driver_tables import DriverTables
 
 
 def read(df):
@@ -16,3 +18,10 @@ def test_profiles_share_joined_tables(spark, folder):
     profiles = World(spark, folder).profiles
     for name in ("profile_tables", "profile_columns", "profile_missing"):
         assert "customer.parquet" not in read(profiles[name])
+
+
+def test_staging_is_built_from_the_loaded_raw_tables(spark, folder, monkeypatch):
+    built, entity = [], DriverTables.entity
+    monkeypatch.setattr(DriverTables, "entity", lambda self, name: built.append(name) or entity(self, name))
+    QUERIES["src_layer_frames"](World(spark, folder))
+    assert sorted(built) == sorted(ENTITIES)
