@@ -71,3 +71,12 @@ def test_declared_unique_columns_share_a_pass(spark, folder, monkeypatch):
     out = model_tests.dq_unique(models)
     assert sorted(asked) == sorted(model_tests.UNIQUE)
     assert len(rows(out)) == sum(map(len, model_tests.UNIQUE.values()))
+
+
+def test_compact_keys_are_equal_for_equal_keys_only(spark):
+    digest = "0123456789abcdef0123456789abcdef"
+    texts = ["", "a", "a" * 15, "a" * 16, "\x00" + "a" * 15, "\x00" + "a" * 16, digest, digest.upper(), digest[:-1] + "g", digest[:-1]]
+    texts += [bytes.fromhex("61" * 16).decode(), "61" * 16, "é" * 8, "é" * 16]
+    texts = list(dict.fromkeys(texts))
+    df = spark.createDataFrame([(t,) for t in texts], "k string").select(model_tests.compact(F.col("k")).alias("c"))
+    assert df.distinct().count() == len(texts)

@@ -1,5 +1,6 @@
 """What several reports or profiles read is computed once."""
 
+from feira.operators import model_tests
 from feira.registry import QUERIES, World
 from feira.schemas import ENTITIES
 from feira.sources.driver_tables import DriverTables
@@ -25,3 +26,9 @@ def test_staging_is_built_from_the_loaded_raw_tables(spark, folder, monkeypatch)
     monkeypatch.setattr(DriverTables, "entity", lambda self, name: built.append(name) or entity(self, name))
     QUERIES["src_layer_frames"](World(spark, folder))
     assert sorted(built) == sorted(ENTITIES)
+
+
+def test_relationships_read_each_model_once(spark, folder):
+    asked, world = [], World(spark, folder)
+    model_tests.dq_relationships(lambda name, columns: asked.append(name) or world.models(name, columns))
+    assert sorted(asked) == sorted({m for child, _, parent, _, _ in model_tests.RELATIONSHIPS for m in (child, parent)})
