@@ -1,6 +1,6 @@
 """What several reports or profiles read is computed once."""
 
-from feira.operators import model_tests
+from feira.operators import model_tests, profiling
 from feira.registry import QUERIES, World
 from feira.schemas import ENTITIES
 from feira.sources.driver_tables import DriverTables
@@ -32,3 +32,9 @@ def test_relationships_read_each_model_once(spark, folder):
     asked, world = [], World(spark, folder)
     model_tests.dq_relationships(lambda name, columns: asked.append(name) or world.models(name, columns))
     assert sorted(asked) == sorted({m for child, _, parent, _, _ in model_tests.RELATIONSHIPS for m in (child, parent)})
+
+
+def test_profiled_columns_travel_as_numbers(spark, folder):
+    profile = profiling.profile_columns({"orders": World(spark, folder).raw.entity("orders")})
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(at" in plan and "hashpartitioning(column" not in plan
