@@ -38,3 +38,9 @@ def test_profiled_columns_travel_as_numbers(spark, folder):
     profile = profiling.profile_columns({"orders": World(spark, folder).raw.entity("orders")})
     plan = profile._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(at" in plan and "hashpartitioning(column" not in plan
+
+
+def test_gate_checks_the_marts_of_the_loaded_layer(spark, folder):
+    world = World(spark, folder)
+    assert not {"lineitem.parquet", "orders.parquet", "customer.parquet"} & read(world.loaded_mart_details)
+    assert sorted(world.loaded_mart_details.collect()) == sorted(world.mart_details.collect())
