@@ -80,6 +80,20 @@ SLOT = "([\\x01-\\x03])[^ ]*"
 _BLIND_UNIT_PATTERN = _UNIT_PATTERN.replace(" ?(", " ?\x02?(", 1)
 
 
+# The same steps as Java runs them fastest: a single space stays as it is, a word that begins with a small letter is left at
+# once, groups do not hold the first character, and the marks become blanks in the pass that strips the others from words.
+_MARKS = "".join("\\" + c if c in "[]\\^&" else c for c in PARTING)
+_QUICK_SPACES = ("[\\x01-\\x03\\x09-\\x0D][\\x01-\\x03\\x09-\\x0D\\x20]*| [\\x01-\\x03\\x09-\\x0D\\x20]+", " ")
+_QUICK_NAMES = (" (?![a-z])[^\\p{L}\\p{N} ]*(\\p{Lu})", STEPS[1][1])
+_QUICK_SENTENCES = ("\x02(?<=[.!?:] \x02|^ \x02)", "")
+_QUICK_NUMBERS = (" (?![a-z\x02])[^\\p{L}\\p{N}\x02 ]*([0-9])", STEPS[3][1])
+_QUICK_PARTED = (f"(?![0-9a-z])(?:[.,'%/]+([ {_MARKS}]|$)|[ {_MARKS}][.,'%/]+|[{_MARKS}])", " ")
+
+
+def _quick_unit(pattern: str) -> tuple[str, str]:
+    return pattern.replace("(\x01", "\x01(", 1), "\x01" + STEPS[4][1]
+
+
 def _replaced(out: Column, steps: list[tuple[str, str]]) -> Column:
     for pattern, replacement in steps:
         out = F.regexp_replace(out, pattern, replacement)
@@ -88,7 +102,7 @@ def _replaced(out: Column, steps: list[tuple[str, str]]) -> Column:
 
 def _parted(out: Column) -> Column:
     """The last steps, but for the single spaces: ``tokens_of`` leaves empty tokens out instead."""
-    return _replaced(F.translate(out, PARTING, " " * len(PARTING)), [STEPS[5]])
+    return _replaced(out, [_QUICK_PARTED])
 
 
 def marked(text: Column) -> Column:
@@ -96,17 +110,17 @@ def marked(text: Column) -> Column:
 
     Numbers are marked before sentences are looked at; neither step touches what the other finds.
     """
-    return _replaced(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), [STEPS[0], STEPS[1], STEPS[3]])
+    return _replaced(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), [_QUICK_SPACES, _QUICK_NAMES, _QUICK_NUMBERS])
 
 
 def valued(start: Column) -> Column:
     """Template tokens of ``marked`` text between spaces; slots are a type mark and the value."""
-    return F.lower(_parted(_replaced(start, [STEPS[2], STEPS[4]])))
+    return F.lower(_parted(_replaced(start, [_QUICK_SENTENCES, _quick_unit(_UNIT_PATTERN)])))
 
 
 def blind_valued(start: Column) -> Column:
     """The same for the blind template, with all capitalised words as names."""
-    return _parted(F.regexp_replace(F.lower(start), _BLIND_UNIT_PATTERN, STEPS[4][1]))
+    return _parted(_replaced(F.lower(start), [_quick_unit(_BLIND_UNIT_PATTERN)]))
 
 
 def tokens_of(values: Column) -> Column:

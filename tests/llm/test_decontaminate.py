@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from feira.llm import decontaminate as d
 from feira.llm.queries import QUERIES
@@ -180,3 +181,25 @@ def test_very_long_text(spark):
     want = brute(rows, items)
     assert {r[:2] for r in want} == {(1, 1)}
     assert rows_of(d.contaminated(given, spark.createDataFrame(items, "item_id int, text string"))) == want
+
+
+def test_quick_steps_give_the_tokens_of_the_steps(spark):
+    """The patterns for Java find what ``STEPS``, which the SQL uses, find; and no text is translated letter by letter."""
+    rng = random.Random(4)
+    marks = " \x01\x02\x03\t\n\r\x0b..,'%/!?:;ABaé1230-kmKM \x85 ÄßΣ–—‘“…·()[]\\^&{}~`|<>@#$*+=\"_¡«"
+    words = ["5", "3.5km", "12 KM", "1,000", "km.", "%", "A", "$3", "a. B", "in", "5 in.", "9 %", "3 km/h,", "2 Hours!", "x:"]
+    texts = ["".join(rng.choices(marks, k=rng.randrange(40))) for _ in range(2000)]
+    texts += [" ".join(rng.choices(words, k=rng.randrange(14))) for _ in range(1000)]
+
+    def parted(out):
+        return d._replaced(F.translate(out, d.PARTING, " " * len(d.PARTING)), [d.STEPS[5]])
+
+    start = d._replaced(F.concat(F.lit(" "), "t"), [d.STEPS[0], d.STEPS[1], d.STEPS[3]])
+    slow = F.lower(parted(d._replaced(start, [d.STEPS[2], d.STEPS[4]])))
+    slow_blind = parted(F.regexp_replace(F.lower(start), d._BLIND_UNIT_PATTERN, d.STEPS[4][1]))
+    quick = d.marked(F.col("t"))
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select(d.valued(quick).alias("a"), d.blind_valued(quick).alias("b"))
+    assert "translate(" not in found._jdf.queryExecution().executedPlan().toString()
+    same = (d.tokens_of(d.valued(quick)) == d.tokens_of(slow)) & (d.tokens_of(d.blind_valued(quick)) == d.tokens_of(slow_blind))
+    assert df.filter(~same).count() == 0
