@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from feira.operators import model_tests
+from feira.operators import intermediate, model_tests
 from feira.plans import duplicates
 from feira.plans.duplicates import Key, Repeated, repeated_in, repeated_keys
 from feira.registry import World
@@ -80,3 +80,52 @@ def test_compact_keys_are_equal_for_equal_keys_only(spark):
     texts = list(dict.fromkeys(texts))
     df = spark.createDataFrame([(t,) for t in texts], "k string").select(model_tests.compact(F.col("k")).alias("c"))
     assert df.distinct().count() == len(texts)
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_many_suspects_are_grouped_without_a_join(spark, monkeypatch, limit):
+    monkeypatch.setattr(duplicates, "BROADCAST_ROWS", limit)
+    data = some(300, 7) + [("0123456789abcdef" * 2, 1, 0.0)] * 2 + [("0123456789ABCDEF" * 2, 1, 0.0), ("a" * 16, None, None)]
+    got = repeated_keys(make(spark, data, "t string, i bigint, d double"), [Key(("t", "i", "d")[a:b], n) for a, b, n in SPANS])
+    assert got == [by_grouping(data, range(a, b), n) for a, b, n in SPANS]
+
+
+SPANS = [(0, 1, "none"), (0, 1, "all"), (0, 2, "some"), (1, 3, "all"), (2, 3, "none"), (0, 3, "some")]
+
+
+def plainly(w):
+    """Repeated values of every declared column in the models built whole."""
+    out = []
+    for model, columns in model_tests.UNIQUE.items():
+        df = w.cat.model(model)
+        out += [(model, c, df.filter(F.col(c).isNotNull()).groupBy(c).count().filter("count > 1").count()) for c in columns]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("again", ["customers", "orders", "products"])
+def test_repeated_keys_of_lookups_count_in_the_models_that_use_them(spark, folder, again):
+    """A model is only taken without its joins where these cannot repeat its rows."""
+    w = World(spark, folder)
+    given = w.cat.entity
+
+    def entity(name):
+        df = given(name)
+        if name != again:
+            return df
+        key = {"customers": "customer_id", "orders": "order_id", "products": "product_id"}[name]
+        return df.unionByName(df.filter(F.length(key) <= 3))
+
+    w.cat.entity = entity
+    got = rows(model_tests.dq_unique(w.models, w.unjoined))
+    assert got == plainly(w)
+    assert {m for m, _, n in got if n} >= {f"stg_{again}", {"products": "fact_order_items"}.get(again, "fact_orders")}
+
+
+def test_sound_lookups_are_not_joined(spark, folder, monkeypatch):
+    w, asked = World(spark, folder), []
+    monkeypatch.setattr(intermediate, "range_layout", None)
+    model_tests.dq_unique(w.models, lambda name, columns: asked.append(name) or w.unjoined(name, columns))
+    assert sorted(asked) == sorted(model_tests.LOOKED_UP)
+    joined = [m for m in ("int_customer_orders", "int_orders", "fact_payments", "fact_reviews")
+              if "Join" in w.unjoined(m, model_tests.UNIQUE[m])._jdf.queryExecution().optimizedPlan().toString()]
+    assert not joined
