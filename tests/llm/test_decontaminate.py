@@ -203,3 +203,28 @@ def test_quick_steps_give_the_tokens_of_the_steps(spark):
     assert "translate(" not in found._jdf.queryExecution().executedPlan().toString()
     same = (d.tokens_of(d.valued(quick)) == d.tokens_of(slow)) & (d.tokens_of(d.blind_valued(quick)) == d.tokens_of(slow_blind))
     assert df.filter(~same).count() == 0
+
+
+def test_only_texts_with_a_sign_become_templates(spark, monkeypatch):
+    """A text without any sign of the benchmark's windows is left out before; no text that holds a window is."""
+    rng = random.Random(5)
+    items = [*ITEMS, "ΟΔΥΣΣΕΥΣ:Α ΠΑΣ’Β και ένας ΛΟΓΟΣ. τέλος οδός προς ΤΗΣ İstanbul ǅ", "§ Ann says § it § € 5 kg's don't-stop naïve co-op re:do x/y"]
+    texts = [edited(rng.choice(items), rng) for _ in range(300)] + ["nothing of it is here, in 5 km of other words"] * 50
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc int, text string")
+    wanted = {key for text in items for _, _, key, mostly in windows(text) if not mostly}
+    holding = {k for k, text in enumerate(texts) if any(key in wanted for _, _, key, _ in windows(text))}
+    kept = {r.doc for r in d.holding_signs(docs, "text", d.window_signs(bench, "text")).collect()}
+    assert not [texts[k] for k in holding - kept]
+    assert not [texts[k] for k in kept if k >= 300]
+
+    with_signs = rows_of(d.contaminated(docs, bench, "doc").withColumnRenamed("doc", "doc_id"))
+    monkeypatch.setattr(d, "SIGNED_WINDOWS", -1)
+    assert rows_of(d.contaminated(docs, bench, "doc").withColumnRenamed("doc", "doc_id")) == with_signs != set()
+
+
+def test_windows_without_words_keep_all_texts(spark):
+    bench = spark.createDataFrame([(1, "§ € § € § € § € § €")], "item_id int, text string")
+    docs = spark.createDataFrame([(1, "§ € § € § € § € § €"), (2, "words")], "doc_id int, text string")
+    assert d.holding_signs(docs, "text", d.window_signs(bench, "text")).count() == 2
+    assert {r[:2] for r in rows_of(d.contaminated(docs, bench))} == {(1, 1)}
