@@ -1,5 +1,6 @@
 """Checks, coercion and gate on small fixtures."""
 
+import glob
 from decimal import Decimal
 
 import pytest
@@ -162,6 +163,37 @@ def test_profiles(spark):
     assert (keys["is_unique"], keys["duplicate_count"]) == (False, 2)
 
 
+def test_profiles_in_turns_are_exact(spark):
+    """Columns counted one after the other, and in parts of their values, tell what one grouping of all cells tells."""
+    key = F.md5(F.col("id").cast("string"))
+    df = spark.range(3000).select(
+        F.col("id").alias("number"), key.alias("key"), F.upper(key).alias("upper"), F.unhex(key).alias("bytes"),
+        F.when(F.col("id") % 3 == 0, F.col("id") % 700).alias("some"), F.lit(None).cast("int").alias("none"),
+        (F.col("id") % 2 == 0).alias("flag"), (F.col("id") / 7).cast("decimal(37,9)").alias("money"), F.lit("").alias("empty"),
+    ).drop("bytes")
+    whole = profiling.profile_columns({"t": df})
+    expected = {("t", c): (3000, 3000 if c in ("number", "key", "upper", "money") else 700) for c in df.columns}
+    moved = []
+    kept = profiling._distinct
+
+    def watched(frame, columns, parts=1, part=0):
+        found = kept(frame, columns, parts, part)
+        moved.append((columns, parts, part, sum(found.values())))
+        return found
+
+    profiling._distinct = watched
+    try:
+        turned = profiling.profile_columns({"t": df}, expected, together=21_000)
+    finally:
+        profiling._distinct = kept
+    assert rows(turned) == rows(whole) and turned.dtypes == whole.dtypes
+    assert max(n for *_, n in moved) < 2000
+    assert {c[0]: parts for c, parts, *_ in moved if parts > 1} == {"key": 3, "upper": 3, "number": 2, "money": 2}
+    assert {part for c, parts, part, _ in moved if c == ["key"]} == {0, 1, 2}
+    empty = df.limit(0)
+    assert rows(profiling.profile_columns({"t": empty}, expected, together=21_000)) == rows(profiling.profile_columns({"t": empty}))
+
+
 def test_distribution_matches_pandas(spark):
     import pandas as pd
 
@@ -230,6 +262,22 @@ def test_a_load_of_no_rows_has_results(spark, tmp_path):
     assert got == {"in_set": True, "regex": True, "row_count_between": False, "not_null": True}
 
 
+def test_sketches_of_a_few_months_at_a_time_are_the_same(spark, tmp_path):
+    fact = spark.range(5_000).select(
+        F.col("id"), (F.col("id") % 97).alias("few"),
+        F.when(F.col("id") % 50 != 7, 201801 + F.col("id") % 4).cast("int").alias("month_key"),
+    )
+    got = {}
+    for together in (5_000, 10**9):
+        path = str(tmp_path / str(together))
+        sketches.update_sketches(fact, "fact", path, together=together)
+        sketches.update_sketches(fact, "fact", path, together=together)
+        kept = sketches.kept_sketches(spark, path)
+        got[together] = rows(sketches.merged_profile(kept)), kept.count(), len(glob.glob(f"{path}/*.parquet"))
+    assert got[5_000][:2] == got[10**9][:2] and got[5_000][1] == 5 * 2
+    assert got[5_000][2] > 3
+
+
 def test_new_months_are_merged_and_old_ones_stay_unread(spark, tmp_path):
     base = spark.range(60_000).select(
         F.col("id"), (F.col("id") % 997).cast("string").alias("few"), F.when(F.col("id") % 3 == 0, F.col("id") % 20_000).alias("some"),
